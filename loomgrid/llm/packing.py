@@ -16,6 +16,7 @@ number, so that they are unique and come out the same when a task is run again.
 from __future__ import annotations
 
 import functools
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -24,24 +25,28 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-#: Words whose ids a worker keeps; the memo is emptied beyond that, which changes no result.
-MEMO_WORDS = 300_000
+#: Words whose ids a worker keeps in each of two generations of its memo; this changes no result.
+MEMO_WORDS = 400_000
 
 
 class WordTokenizer:
-    """Ids of whole texts by a ``tokenizers`` file whose pre-tokeniser never joins what ASCII white space parts.
+    """Ids of whole texts by a ``tokenizers`` file that lower-cases and whose pre-tokeniser never joins what
+    ASCII white space parts, nor an ASCII letter or digit and the punctuation after it (but for apostrophes).
 
-    Such a tokeniser gives for a text the concatenation of what it gives for its words, so ids are memoised by
-    word; words that the memo lacks are encoded together, parted by a one-id mark.
+    Such a tokeniser gives for a text the concatenation of what it gives for its words, A-Z lower-cased and cut before
+    punctuation, so ids are memoised by those; words that the memo lacks are encoded together, parted by
+    a one-id mark. Texts that might name a special token aren't cut.
     """
 
-    MARK = b"|"
+    MARK, SPECIAL = b"|", b"<|"
+    CUT = re.compile(rb"([!-&(-/:-@\[-`{-~])(?<=[a-z0-9].)")
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         mark = self._ids(self.MARK.decode())
         self.mark = mark[0] if len(mark) == 1 else None
 
@@ -64,10 +69,15 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        split = [t.encode().split() for t in texts]
+        raw = [t.encode().lower() for t in texts]
+        split = [(t if self.SPECIAL in t else self.CUT.sub(rb" \1", t)).split() for t in raw]
         if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
+            self.memo, self.older = {}, self.memo
         fresh = set().union(*split).difference(self.memo.keys())
+        if self.older and fresh:
+            known = fresh & self.older.keys()  # what is still used moves on
+            self.memo.update((w, self.older[w]) for w in known)
+            fresh -= known
         if fresh:
             self._learn(list(fresh))
         get = self.memo.__getitem__
