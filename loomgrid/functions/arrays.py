@@ -11,7 +11,8 @@ def total(values: Column) -> Column:
 
 
 def mean(values: Column) -> Column:
-    return total(values) / F.size(values)
+    """The mean; the array is bound once, so that a computed one isn't computed twice."""
+    return F.element_at(F.transform(F.array(values), lambda v: total(v) / F.size(v)), 1)
 
 
 def mean_abs_difference(a: Column, b: Column) -> Column:
@@ -44,13 +45,14 @@ def block_differences(a: Column, b: Column, side: int, blocks: int = 4) -> Colum
     """Mean absolute difference within each block of a square image, row by row of blocks."""
     edges = block_edges(side, blocks)
     spans = list(zip(edges, edges[1:], strict=False))
+
+    def parts(difference: Column) -> Column:
+        rows = lambda top, bottom, left, right: F.concat(*(F.slice(difference, row * side + left + 1, right - left) for row in range(top, bottom)))
+        return F.array(*(mean(rows(*ys, *xs)) for ys in spans for xs in spans))
+
     difference = F.zip_with(a, b, lambda x, y: F.abs(x.cast("double") - y.cast("double")))
-    parts = []
-    for top, bottom in spans:
-        for left, right in spans:
-            rows = [F.slice(difference, row * side + left + 1, right - left) for row in range(top, bottom)]
-            parts.append(mean(F.concat(*rows)))
-    return F.array(*parts)
+    # bound by a lambda so that the difference is taken once, not once a block
+    return F.element_at(F.transform(F.array(difference), parts), 1)
 
 
 def axis_names(robots: Column, joints: Column) -> Column:

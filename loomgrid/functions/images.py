@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Channels of each encoding, in the order in which RGB is taken from them.
 ENCODINGS = {"rgb8": (3, (0, 1, 2)), "bgr8": (3, (2, 1, 0)), "rgba8": (4, (0, 1, 2)), "bgra8": (4, (2, 1, 0)), "mono8": (1, (0, 0, 0))}
@@ -25,7 +26,7 @@ def to_rgb(data: bytes, encoding: str, height: int, width: int, step: int) -> by
     return np.ascontiguousarray(rows.reshape(height, width, channels)[:, :, list(order)]).tobytes()
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def rgb_pixels(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for data, encoding, height, width, step in parts:
         yield pd.Series([to_rgb(*row) for row in zip(data, encoding, height, width, step, strict=True)])
@@ -52,14 +53,14 @@ def area_thumbnail(rgb: bytes, height: int, width: int, side: int) -> list[float
 def thumbnail_signature(side: int = 32):
     """A pandas UDF over (rgb, height, width): the frame's signature."""
 
-    @F.pandas_udf("array<float>")
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
     def signature(rgb: pd.Series, height: pd.Series, width: pd.Series) -> pd.Series:
         return pd.Series([area_thumbnail(a, h, w, side) for a, h, w in zip(rgb, height, width, strict=True)])
 
     return signature
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def background_image(width: pd.Series, height: pd.Series, camera: pd.Series, tick: pd.Series) -> pd.Series:
     """Test frames: a background seeded by the camera's name, with a bar that moves with the tick."""
     out = []

@@ -459,20 +459,29 @@ def temporal_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(signatures.robust_thresholds(scores, ["label"], "temporal_score", 0.2), "temporal_threshold")
 
 
+#: Frames of one bright pixel each, so that outliers of the events stand out.
+SPIKED = signatures.AnalysisConfig(flat_frame_std_threshold=0.5, artifact_block_threshold=150.0, artifact_max_duration_frames=1)
+
+
 @query(
-    f"""WITH {EMBEDDED_SQL}, {TEMPORAL_SQL}, {ARTIFACTS_SQL},
-excluded AS (SELECT label, frame_index, max(CASE WHEN flat OR artifact_score >= 0.05 THEN 1 ELSE 0 END) OVER (PARTITION BY label ORDER BY frame_index ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS e FROM artifacts),
-masked AS (SELECT f.label, f.frame_index, coalesce(b.score, 0) AS score, temporal_threshold, coalesce(b.score, 0) >= temporal_threshold AND e = 0 AS hit
-  FROM frames f LEFT JOIN bends b ON f.label = b.label AND f.frame_index = b.frame_index JOIN robust r ON r.label = f.label JOIN excluded e ON e.label = f.label AND e.frame_index = f.frame_index),
-grouped AS (SELECT *, sum(CASE WHEN hit THEN 0 ELSE 1 END) OVER (PARTITION BY label ORDER BY frame_index ROWS UNBOUNDED PRECEDING) AS run FROM masked)
-SELECT label, min(frame_index) AS start_frame, max(frame_index) AS end_frame, round(max(score), 6) AS score, round(max(temporal_threshold), 6) AS threshold FROM grouped WHERE hit GROUP BY label, run"""
+    """WITH frames AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS frame_index, value AS v FROM events),
+around AS (SELECT *, lag(v) OVER w AS p, lead(v) OVER w AS q FROM frames WINDOW w AS (PARTITION BY user_id ORDER BY frame_index)),
+scored AS (SELECT *, coalesce(abs(p - 2 * v + q) / 4, 0) AS score, v * sqrt(3) / 4 <= 0.5 AS flat,
+  coalesce(abs(v - p) >= 150 AND abs(q - v) >= 150 AND abs(q - p) <= least(abs(v - p), abs(q - v)) * 0.5, false) AS hit FROM around),
+medians AS (SELECT user_id, median(score) AS m FROM scored WHERE p IS NOT NULL AND q IS NOT NULL GROUP BY 1),
+robust AS (SELECT user_id, greatest(5.0, max(m) + 6.0 * 1.4826 * median(abs(score - m))) AS t FROM scored JOIN medians USING (user_id) WHERE p IS NOT NULL AND q IS NOT NULL GROUP BY 1),
+masked AS (SELECT *, max(CASE WHEN flat OR hit THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY frame_index ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS e FROM scored JOIN robust USING (user_id)),
+grouped AS (SELECT *, sum(CASE WHEN score >= t AND e = 0 THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY frame_index ROWS UNBOUNDED PRECEDING) AS run FROM masked)
+SELECT user_id, min(frame_index) AS start_frame, max(frame_index) AS end_frame, round(max(score), 6) AS score, round(max(t), 4) AS threshold FROM grouped WHERE score >= t AND e = 0 GROUP BY user_id, run"""
 )
 def temporal_discontinuity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames = embedded(spark, sf_dir)
-    support = frames.select("label", "frame_index", F.lit(False).alias("supported"))
-    none = frames.select("label", F.lit(0).alias("start_frame"), F.lit(0).alias("end_frame")).limit(0)
-    found = signatures.temporal_discontinuities(frames, signatures.artifact_scores(frames, ["label"], 8, EMBEDDED), support, none, ["label"], EMBEDDED)
-    return _rounded(found.select("label", "start_frame", "end_frame", "score", "threshold"), "score", "threshold")
+    w = Window.partitionBy("user_id").orderBy("event_id")
+    dark = F.lit(0.0)
+    frames = read(spark, sf_dir, "events").select("user_id", (F.row_number().over(w) - 1).cast("bigint").alias("frame_index"), F.array("value", dark, dark, dark).alias("sig"))
+    support = frames.select("user_id", "frame_index", F.lit(False).alias("supported"))
+    none = frames.select("user_id", F.lit(0).alias("start_frame"), F.lit(0).alias("end_frame")).limit(0)
+    found = signatures.temporal_discontinuities(frames, signatures.artifact_scores(frames, ["user_id"], 2, SPIKED), support, none, ["user_id"], SPIKED)
+    return _rounded(found.select("user_id", "start_frame", "end_frame", "score", "threshold"), "score").withColumn("threshold", F.round("threshold", 4))
 
 
 @query(

@@ -16,6 +16,7 @@ from pathlib import Path
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SCHEMA = "episode_index int, seq bigint, topic string, type string, bag_stamp_ns bigint, payload binary"
@@ -161,10 +162,24 @@ def decode(kind: str, data: bytes) -> dict:
     raise ValueError(f"unsupported message type {kind!r}")
 
 
-@F.pandas_udf("struct<source_stamp_ns:bigint,vec:array<float>,names:array<string>,image:binary,height:int,width:int,encoding:string,step:int>")
+DECODED = (
+    T.StructType()
+    .add("source_stamp_ns", T.LongType())
+    .add("vec", T.ArrayType(T.FloatType()))
+    .add("names", T.ArrayType(T.StringType()))
+    .add("image", T.BinaryType())
+    .add("height", T.IntegerType())
+    .add("width", T.IntegerType())
+    .add("encoding", T.StringType())
+    .add("step", T.IntegerType())
+)
+
+
+@F.pandas_udf(DECODED)
 def decoded(kinds: pd.Series, payloads: pd.Series) -> pd.DataFrame:
-    fields = ["source_stamp_ns", "vec", "names", "image", "height", "width", "encoding", "step"]
-    return pd.DataFrame([{f: row.get(f) for f in fields} for row in (decode(k, bytes(p)) for k, p in zip(kinds, payloads, strict=True))], columns=fields)
+    rows = [decode(k, bytes(p)) for k, p in zip(kinds, payloads, strict=True)]
+    whole = {"source_stamp_ns": "Int64", "height": "Int32", "width": "Int32", "step": "Int32"}
+    return pd.DataFrame({f: pd.Series([r.get(f) for r in rows], dtype=whole.get(f, "object")) for f in DECODED.names})
 
 
 def decoded_events(messages: DataFrame, topics: DataFrame) -> DataFrame:
