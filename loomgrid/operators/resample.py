@@ -4,9 +4,10 @@ The grid of an episode starts when each required topic has been seen and ends wi
 at ``start + round_half_even(k * 1e9 / fps)``. A tick takes of each topic the latest message at or before it;
 of messages at one time, the one read last.
 
-Episodes are cut into chunks of ticks, so that a long episode is not one task. A chunk starts from seeds, the last
-message of each topic before it, which a window over (episode, topic, chunk) hands on; within a chunk,
-samples and ticks are unioned and one window with one sort holds the values of all topics.
+Time is cut into chunks, so that a long episode is not one task. A chunk starts from seeds, the last message of each
+topic before it, which a window over (episode, topic, chunk) hands on; within a chunk, samples and ticks are
+unioned and one window with one sort holds the values of all topics. Messages are read and sorted once: the
+grid's bounds and the seeds come from one small aggregate of them.
 """
 
 from __future__ import annotations
@@ -19,52 +20,45 @@ from pyspark.sql import functions as F
 from loomgrid.functions.clock import NANOS, tick_offset
 
 
-def grid_bounds(messages: DataFrame, topics: list[str]) -> DataFrame:
-    """``episode_index, start_ns, last_ns`` of the episodes that have every topic."""
-    firsts = messages.groupBy("episode_index", "topic").agg(F.min("bag_stamp_ns").alias("first"), F.max("bag_stamp_ns").alias("last"))
-    return (
-        firsts.groupBy("episode_index")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("first").alias("start_ns"), F.max("last").alias("last_ns"))
-        .where(F.col("n") == len(topics))
-        .drop("n")
-    )
-
-
 def resample(messages: DataFrame, topics: list[str], fps: Fraction | int, payload: list[str] | None = None, chunk_ticks: int = 100_000) -> DataFrame:
     """``episode_index, frame_index, tick_ns`` and, per topic, a struct column named as the topic:
     ``source_index, bag_stamp_ns`` and the columns ``payload`` of the message that is held."""
     fps = Fraction(fps)
     fields = ["source_index", "bag_stamp_ns", *(payload or [])]
-    span = -(-chunk_ticks // fps.numerator) * fps.numerator  # chunks of a whole number of nanoseconds
-    chunk_ns = span * NANOS * fps.denominator // fps.numerator
+    period = f"{NANOS * fps.denominator}D / {fps.numerator}D"
+    width = max(1, chunk_ticks * NANOS * fps.denominator // fps.numerator)
+    chunk_of = lambda column: F.expr(f"({column} - pmod({column}, {width}L)) div {width}L")
+
     wanted = messages.where(F.col("topic").isin(topics))
     indexed = wanted.withColumn("source_index", (F.row_number().over(Window.partitionBy("episode_index", "topic").orderBy("seq")) - 1).cast("bigint"))
-    bounds = grid_bounds(wanted, topics)
-
-    last_chunk = F.expr(f"(last_ns - start_ns) div {chunk_ns}L")
-    chunks = bounds.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)).alias("chunk"))
-    most = F.expr(f"CAST(ceil((last_ns - start_ns + 1) * {fps.numerator}D / {NANOS * fps.denominator}D) AS BIGINT)")
-    ticks = chunks.select("*", F.explode(F.sequence(F.col("chunk") * span, F.greatest(F.col("chunk") * span, F.least((F.col("chunk") + 1) * span - 1, most)))).alias("frame_index"))
-    ticks = (
-        ticks.withColumn("at", F.col("start_ns") + tick_offset(F.col("frame_index"), fps))
-        .where(F.col("at") <= F.col("last_ns"))
-        .select("episode_index", "chunk", "at", F.lit(1).alias("is_tick"), F.lit(0).cast("bigint").alias("seq"), F.col("frame_index"))
+    placed = indexed.withColumn("chunk", chunk_of("bag_stamp_ns"))
+    ends = placed.groupBy("episode_index", "topic", "chunk").agg(
+        F.max_by(F.struct(*fields, "seq"), F.struct("bag_stamp_ns", "seq")).alias("end"), F.min("bag_stamp_ns").alias("first_ns"), F.max("bag_stamp_ns").alias("last_ns")
     )
-
-    # an episode's bounds are one row; the join keeps only episodes that have every topic
-    placed = indexed.join(bounds, "episode_index").withColumn(
-        "chunk", F.when(F.col("bag_stamp_ns") < F.col("start_ns"), F.lit(-1).cast("bigint")).otherwise(F.expr(f"(bag_stamp_ns - start_ns) div {chunk_ns}L"))
+    whole = ends.groupBy("episode_index", "topic").agg(F.min("first_ns").alias("first_ns"), F.max("last_ns").alias("last_ns"))
+    bounds = (
+        whole.groupBy("episode_index")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("first_ns").alias("start_ns"), F.max("last_ns").alias("last_ns"))
+        .where(F.col("n") == len(topics))
     )
-    held = F.struct(*fields).alias("held")
-    samples = placed.where("chunk >= 0").select("episode_index", "chunk", F.col("bag_stamp_ns").alias("at"), F.lit(0).alias("is_tick"), "seq", F.lit(None).cast("bigint").alias("frame_index"), "topic", held)
-    ends = placed.groupBy("episode_index", "topic", "chunk").agg(F.max_by(F.struct(*fields, "seq"), F.struct("bag_stamp_ns", "seq")).alias("end"), F.first("last_ns").alias("last_ns"), F.first("start_ns").alias("start_ns"))
+
+    # ticks of each chunk: a few too many by rounding, then those that fall into it
+    chunks = bounds.select("episode_index", "start_ns", "last_ns", F.explode(F.sequence(chunk_of("start_ns"), chunk_of("last_ns"))).alias("chunk"))
+    low = F.expr(f"greatest(0L, CAST(floor((chunk * {width}L - start_ns) / ({period})) AS BIGINT) - 1)")
+    high = F.expr(f"CAST(ceil((least((chunk + 1) * {width}L, last_ns + 1) - start_ns) / ({period})) AS BIGINT) + 1")
+    ticks = chunks.select("*", F.explode(F.sequence(low, F.greatest(low, high))).alias("frame_index")).withColumn("at", F.col("start_ns") + tick_offset(F.col("frame_index"), fps))
+    ticks = ticks.where((F.col("at") <= F.col("last_ns")) & (chunk_of("at") == F.col("chunk")))
+    ticks = ticks.select("episode_index", "chunk", "at", F.lit(1).alias("is_tick"), F.lit(0).cast("bigint").alias("seq"), "frame_index")
+
+    nothing = F.lit(None).cast("bigint").alias("frame_index")
+    samples = placed.select("episode_index", "chunk", F.col("bag_stamp_ns").alias("at"), F.lit(0).alias("is_tick"), "seq", nothing, "topic", F.struct(*fields).alias("held"))
     following = F.lead("chunk").over(Window.partitionBy("episode_index", "topic").orderBy("chunk"))
-    reach = F.coalesce(following, last_chunk)
+    final = F.max("chunk").over(Window.partitionBy("episode_index"))
     seeds = (
-        ends.withColumn("reach", reach)
+        ends.select("*", F.coalesce(following, final).alias("reach"))
         .where(F.col("reach") > F.col("chunk"))
         .select("*", F.explode(F.sequence(F.col("chunk") + 1, F.col("reach"))).alias("into"))
-        .select("episode_index", F.col("into").alias("chunk"), F.col("end.bag_stamp_ns").alias("at"), F.lit(0).alias("is_tick"), F.col("end.seq").alias("seq"), F.lit(None).cast("bigint").alias("frame_index"), "topic", F.struct(*(F.col(f"end.{f}").alias(f) for f in fields)).alias("held"))
+        .select("episode_index", F.col("into").alias("chunk"), F.col("end.bag_stamp_ns").alias("at"), F.lit(0).alias("is_tick"), F.col("end.seq").alias("seq"), nothing, "topic", F.struct(*(F.col(f"end.{f}").alias(f) for f in fields)).alias("held"))
     )
     rows = samples.unionByName(seeds).unionByName(ticks, allowMissingColumns=True)
     w = Window.partitionBy("episode_index", "chunk").orderBy("at", "is_tick", "seq").rowsBetween(Window.unboundedPreceding, 0)
