@@ -33,54 +33,90 @@ END_HASH, START_HASH = xxhash.xxh64_intdigest(b""), xxhash.xxh64_intdigest(b" ")
 UNIGRAM, BIGRAM = 0, 1
 
 
+#: The planes of the low bytes of hashes' differences are noise: only those above are compressed.
+NOISE = 4
+
+
+def _planes(numbers: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 8).T)
+
+
+def _numbers(planes: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(planes.T).view(np.uint64).ravel()
+
+
 def pack_sorted(keys: np.ndarray) -> bytes:
-    """Sorted 64-bit numbers as compressed byte planes of their differences."""
-    steps = np.diff(keys, prepend=np.uint64(0))
-    return zlib.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+    """Sorted 64-bit numbers as byte planes of their differences, the high ones compressed."""
+    planes = _planes(np.diff(keys, prepend=np.uint64(0)))
+    return len(keys).to_bytes(4, "little") + planes[:NOISE].tobytes() + zlib.compress(planes[NOISE:].tobytes(), 1)
 
 
 def unpack_sorted(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+    n = int.from_bytes(data[:4], "little")
+    raw = np.frombuffer(data, np.uint8, NOISE * n, 4).reshape(NOISE, n)
+    rest = np.frombuffer(zlib.decompress(data[4 + NOISE * n :]), np.uint8).reshape(8 - NOISE, n)
+    return np.cumsum(_numbers(np.concatenate([raw, rest])), dtype=np.uint64)
 
 
 def pack_counts(counts: np.ndarray) -> bytes:
-    wide = counts.astype(np.uint64)
-    return zlib.compress(np.ascontiguousarray(wide.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+    """Counts as the smallest unsigned type that holds them, compressed."""
+    kind = next(k for k in ("<u1", "<u2", "<u4", "<u8") if not len(counts) or counts.max() <= np.iinfo(k).max)
+    return kind[-1:].encode() + zlib.compress(counts.astype(kind).tobytes(), 1)
 
 
 def unpack_counts(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1)
-    return np.ascontiguousarray(planes.T).view(np.int64).ravel()
+    return np.frombuffer(zlib.decompress(data[1:]), f"<u{data[:1].decode()}").astype(np.int64)
 
 
 def _mix(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     h = (left * np.uint64(0x9E3779B97F4A7C15)) ^ (right + np.uint64(0x632BE59BD9B4E019))
     h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(29))
+    return (h ^ (h >> np.uint64(29))) & ~np.uint64(1)  # the last bit is free for a mark
 
 
 class Block:
-    """The tokens of a block's texts: hashes of unigrams and bigrams by position, and where texts start."""
+    """The tokens of a block's texts as numbers of its vocabulary (0: the end), and the hashes of both n-gram streams."""
 
     def __init__(self, texts: list[str | None]) -> None:
         numbers: dict[bytes, int] = defaultdict()
         numbers.default_factory = numbers.__len__
+        numbers[b""]
         ids, self.lengths = [], np.zeros(len(texts), dtype=np.int64)
         for i, text in enumerate(texts):
             words = text.encode().lower().split() if text else []
+            words.append(b"")
             ids.append(np.fromiter(map(numbers.__getitem__, words), dtype=np.int32, count=len(words)))
-            ids.append(np.array([-1], dtype=np.int32))
-            self.lengths[i] = len(words) + 1
-        digest = xxhash.xxh64_intdigest
-        hashes = np.array([*map(digest, numbers), END_HASH], dtype=np.uint64)
-        self.unigrams = hashes[np.concatenate(ids) if ids else np.zeros(0, np.int32)]  # -1 is the end
+            self.lengths[i] = len(words)
+        self.ids = np.concatenate(ids) if ids else np.zeros(0, np.int32)
         self.starts = np.cumsum(self.lengths) - self.lengths
-        history = np.roll(self.unigrams, 1)
+        digest = xxhash.xxh64_intdigest
+        hashes = np.fromiter(map(digest, numbers), dtype=np.uint64, count=len(numbers))
+        self.order = np.argsort(hashes)
+        self.vocabulary = hashes[self.order]  # the unigrams, sorted
+        history = hashes[np.roll(self.ids, 1)]
         history[self.starts] = np.uint64(START_HASH)
-        self.history = history
-        self.bigrams = _mix(history, self.unigrams)
+        self.bigrams = _mix(history, hashes[self.ids])
+
+    def unigram_counts(self, where: np.ndarray) -> np.ndarray:
+        """In the order of the sorted vocabulary."""
+        return np.bincount(self.ids[where], minlength=len(self.order))[self.order]
+
+    def bigram_counts(self, where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The sorted bigrams, and the counts of those at the places ``where``: one sort, with the place's kind as the last bit."""
+        marked = np.sort(self.bigrams | where)
+        keys = marked & ~np.uint64(1)
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+        counts = np.add.reduceat((marked & np.uint64(1)).astype(np.int64), first) if len(keys) else first
+        return keys[first], counts
+
+    def bigram_places(self) -> np.ndarray:
+        """For each place its bigram's number among the sorted ones."""
+        order = np.argsort(self.bigrams)
+        keys = self.bigrams[order]
+        out = np.empty(len(keys), dtype=np.int64)
+        out[order] = np.cumsum(np.concatenate([[False], keys[1:] != keys[:-1]])) if len(keys) else 0
+        return out
 
 
 def _bounds(keys: np.ndarray, ranges: int) -> np.ndarray:
@@ -101,11 +137,8 @@ def count_requests(blocks: DataFrame, ranges: int) -> DataFrame:
         block = Block(table.column("text").to_pylist())
         training = np.repeat(~table.column("held_out").to_numpy(zero_copy_only=False).astype(bool), block.lengths)
         rows = []
-        for kind, stream in ((UNIGRAM, block.unigrams), (BIGRAM, block.bigrams)):
-            keys = np.unique(stream)
-            counts = np.zeros(len(keys), dtype=np.int64)
-            seen, n = np.unique(stream[training], return_counts=True)
-            counts[np.searchsorted(keys, seen)] = n
+        streams = ((UNIGRAM, block.vocabulary, block.unigram_counts(training)), (BIGRAM, *block.bigram_counts(training)))
+        for kind, keys, counts in streams:
             bounds = _bounds(keys, ranges)
             for owner in range(ranges):
                 a, b = bounds[owner], bounds[owner + 1]
@@ -153,13 +186,12 @@ def answer_requests(requests: DataFrame) -> DataFrame:
 
 
 class Automaton:
-    """A block's slice of the automaton, over its sorted unigrams and bigrams."""
+    """A block's slice of the automaton: counts of its words (as states and as the root's arcs) and of its bigrams (arcs)."""
 
-    def __init__(self, unigrams: np.ndarray, unigram_counts: np.ndarray, bigrams: np.ndarray, bigram_counts: np.ndarray, totals: tuple[int, int, int], mu: float) -> None:
+    def __init__(self, words: np.ndarray, arcs: np.ndarray, totals: tuple[int, int, int], mu: float) -> None:
         tokens, kinds, self.texts = totals
-        self.unigrams, self.bigrams, self.mu = unigrams, bigrams, mu
-        self.counts, self.arcs = unigram_counts, bigram_counts
-        self.root = np.log10((unigram_counts + 1.0) / (tokens + kinds + 1.0))
+        self.words, self.arcs, self.mu = words, arcs, mu
+        self.root = np.log10((words + 1.0) / (tokens + kinds + 1.0))
 
     def traverse(self, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Weights along the texts: the model's and the root's, and whether each token is known.
@@ -167,17 +199,15 @@ class Automaton:
         The state after a token is that token's, so the states that the pass carries are the tokens one
         place before; at a text's start it is the start state, which training left once a text.
         """
-        token = np.searchsorted(self.unigrams, block.unigrams)
-        state = np.searchsorted(self.unigrams, block.history)
-        visits = np.where(block.history == np.uint64(START_HASH), self.texts, self.counts[np.minimum(state, len(self.counts) - 1)])
-        arc = self.arcs[np.searchsorted(self.bigrams, block.bigrams)]
-        root = self.root[token]
+        visits = self.words[np.roll(block.ids, 1)]
+        visits[block.starts] = self.texts
+        arc, root = self.arcs[block.bigram_places()], self.root[block.ids]
+        own = np.log10((arc + self.mu * (10.0**self.root)[block.ids]) / (visits + self.mu))
         failure = np.log10(self.mu / (visits + self.mu)) + root
-        own = np.log10((arc + self.mu * 10.0**root) / (visits + self.mu))
-        return np.where(arc > 0, own, failure), root, self.counts[token] > 0
+        return np.where(arc > 0, own, failure), root, self.words[block.ids] > 0
 
 
-def score_documents(documents: DataFrame, held_out: str | None = None, id_column: str = "doc_id", text_column: str = "text", mu: float = 50.0, blocks: int | None = None) -> DataFrame:
+def score_documents(documents: DataFrame, held_out: str | None = None, id_column: str = "doc_id", text_column: str = "text", mu: float = 100.0, blocks: int | None = None) -> DataFrame:
     """One row per document: ``<id>, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     Tokens are the words of the text with A-Z lower-cased, then one end. Documents for which the SQL condition
@@ -204,7 +234,9 @@ def score_documents(documents: DataFrame, held_out: str | None = None, id_column
         for kind in (UNIGRAM, BIGRAM):
             rows = [(o, c) for o, k, c in zip(replies.column("owner").to_pylist(), replies.column("kind").to_pylist(), replies.column("counted").to_pylist(), strict=True) if k == kind]
             found.append(np.concatenate([unpack_counts(c) for _, c in sorted(rows)]))
-        automaton = Automaton(np.unique(block.unigrams), found[0], np.unique(block.bigrams), found[1], totals, mu)
+        words = np.empty(len(found[0]), dtype=np.int64)
+        words[block.order] = found[0]  # from the order of hashes to the block's numbers
+        automaton = Automaton(words, found[1], totals, mu)
         weights, base, known = automaton.traverse(block)
         add = lambda x: np.add.reduceat(x, block.starts)
         return pa.table(
