@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from loomgrid.llm.common import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: Parts among which the repeats of one source document are dealt.
+SALTS = 32
 
 
 def _doc(id_column: str, text_column: str) -> Column:
@@ -70,9 +72,13 @@ def repeated_runs(lines: DataFrame, min_words: int) -> DataFrame:
         .select("key", "origin")
     )
     later = found.join(firsts, "key").where(F.struct("doc", "at") > F.struct("origin.doc", "origin.at"))
-    pairs = later.select("doc", "mark", F.col("origin.doc").alias("source"), F.col("origin.mark").alias("source_mark")).distinct()
+    salt = F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int")
+    pairs = materialize(later.select("doc", "mark", F.col("origin.doc").alias("source"), F.col("origin.mark").alias("source_mark")).distinct().withColumn("salt", salt))
     hashes = lines.dropDuplicates(["doc"]).select("doc", "hash", "place")
-    both = pairs.join(hashes, "doc").join(hashes.select(F.col("doc").alias("source"), F.col("hash").alias("source_hash")), "source")
+    # a third of the corpus may repeat one document: the sources' own lines are copied under each salt
+    sources = hashes.select(F.col("doc").alias("source"), F.col("hash").alias("source_hash")).join(pairs.select("source").distinct(), "source", "left_semi")
+    sources = sources.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    both = pairs.join(sources, ["source", "salt"]).join(hashes, "doc")
 
     def equal_ahead(left: Column, right: Column) -> Column:
         """How many leading elements are equal."""
