@@ -1,8 +1,11 @@
 """Removal of repeated passages by winnowing over line hashes, in DataFrame operations only.
 
-A text is a sequence of lines; blank ones are left out of the comparison. From each line starts a window: the
+A text is a sequence of lines. Passages are also pasted into the middle of lines, so a line ends not only at a line feed
+but after some sentences too: those whose last letter is one of a to m, which about every other
+sentence is. That depends on nothing but the sentence, so a passage is cut alike wherever it stands.
+Blank lines are left out of the comparison. From each line starts a window: the
 fewest lines from there on that have ``min_words`` words. The window's minimum, the line of the smallest hash
-(the last of equal ones), is its fingerprint, and a passage of ``min_words`` words or more that occurs twice
+(the last of equal ones), is its fingerprint, and a run of lines with ``min_words`` words or more that occurs twice
 holds a whole window both times, so both occurrences have the same fingerprint for the same window: nothing
 of that length is missed. Windows of equal content are joined to their first occurrence, in the order of
 documents and lines, which gives positions that correspond: the two places of the fingerprint. From there
@@ -20,7 +23,9 @@ from pyspark.sql import functions as F
 
 from loomgrid.llm.common import materialize
 
-WORD = r"[^\x20\x09-\x0D]+"
+#: Where lines end; each keeps what ends it.
+LINE_END = r"(?<=\n)|(?<=[a-mA-M][.!?] )"
+BLANKS = " \t\n\r\x0b\x0c"
 #: Parts among which the repeats of one source document are dealt.
 SALTS = 32
 
@@ -31,50 +36,57 @@ def _doc(id_column: str, text_column: str) -> Column:
     return F.struct(F.col(id_column).alias("id"), F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))).alias("content"))
 
 
+def words_in(line: Column) -> Column:
+    """One more than the spaces within the line; none if it is blank."""
+    inner = F.btrim(line, F.lit(BLANKS))
+    return F.when(inner == "", 0).otherwise(F.length(inner) - F.length(F.replace(inner, F.lit(" "), F.lit(""))) + 1)
+
+
 def line_table(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``doc`` and parallel arrays over its lines that aren't blank: their places in the text, hashes and words."""
+    """``n, doc`` and parallel arrays over the lines that aren't blank: their places in the text, hashes and words.
+    Of rows that repeat an identifier and a text there is one."""
     lines = F.transform(
-        F.split(F.col(text_column), "\n"),
-        lambda x, i: F.struct(i.alias("place"), F.xxhash64(F.btrim(x, F.lit(" \t\r\x0b\x0c"))).alias("hash"), F.regexp_count(x, F.lit(WORD)).alias("words")),
+        F.split(F.col(text_column), LINE_END),
+        lambda x, i: F.struct(i.alias("place"), F.xxhash64(F.btrim(x, F.lit(BLANKS))).alias("hash"), words_in(x).cast("int").alias("words")),
+    )
+    full = documents.where(F.col(text_column).isNotNull()).select(
+        F.monotonically_increasing_id().alias("n"), _doc(id_column, text_column).alias("doc"), F.filter(lines, lambda x: x.words > 0).alias("lines")
     )
-    full = documents.where(F.col(text_column).isNotNull()).select(_doc(id_column, text_column).alias("doc"), F.filter(lines, lambda x: x.words > 0).alias("lines"))
-    return full.where(F.size("lines") > 0).select("doc", *(F.col(f"lines.{n}").alias(n) for n in ("place", "hash", "words")))
+    table = materialize(full.select("n", "doc", *(F.col(f"lines.{c}").alias(c) for c in ("place", "hash", "words"))).where(F.size("hash") > 0))
+    first = table.groupBy("doc").agg(F.min("n").alias("n"), F.count(F.lit(1)).alias("rows"))
+    repeats = table.select("n", "doc").join(first.where("rows > 1").select("doc", F.col("n").alias("first_n")), "doc").where("n <> first_n")
+    return table.join(repeats.select("n"), "n", "left_anti")
 
 
 def windows(lines: DataFrame, min_words: int) -> DataFrame:
-    """``doc, at, mark, key``: each complete window's first line, fingerprint line and content, in numbers of
+    """``n, doc, at, mark, key``: each complete window's first line, fingerprint line and content, in numbers of
     lines that aren't blank."""
-    each = lines.select("doc", F.posexplode(F.arrays_zip("hash", "words")).alias("at", "line")).select("doc", "at", "line.hash", "line.words")
-    before = F.sum("words").over(Window.partitionBy("doc").orderBy("at").rowsBetween(Window.unboundedPreceding, -1))
+    each = lines.select("n", "doc", F.posexplode(F.arrays_zip("hash", "words")).alias("at", "line")).select("n", "doc", "at", "line.hash", "line.words")
+    before = F.sum("words").over(Window.partitionBy("n").orderBy("at").rowsBetween(Window.unboundedPreceding, -1))
     each = each.withColumn("before", F.coalesce(before, F.lit(0)).cast("bigint"))
     # a line belongs to a window if fewer than min_words words of the window stand before it
-    frame = Window.partitionBy("doc").orderBy("before").rangeBetween(Window.currentRow, min_words - 1)
+    frame = Window.partitionBy("n").orderBy("before").rangeBetween(Window.currentRow, min_words - 1)
     return (
-        each.select(
-            "doc",
-            "at",
-            F.sum("words").over(frame).alias("total"),
-            F.min(F.struct("hash", (-F.col("at")).alias("back"))).over(frame).alias("least"),
-            F.collect_list("hash").over(frame).alias("content"),
-        )
+        each.select("n", "doc", "at", F.sum("words").over(frame).alias("total"), F.collect_list("hash").over(frame).alias("content"))
         .where(F.col("total") >= min_words)
-        .select("doc", "at", (-F.col("least.back")).alias("mark"), F.xxhash64("content", F.size("content")).alias("key"))
+        .select("n", "doc", "at", F.xxhash64("content", F.size("content")).alias("key"), F.col("content"))
+        .select("n", "doc", "at", "key", (F.col("at") + F.size("content") - F.array_position(F.reverse("content"), F.array_min("content")).cast("int")).alias("mark"))
     )
 
 
 def repeated_runs(lines: DataFrame, min_words: int) -> DataFrame:
     """``doc, first, last``: places of the lines that begin and end each repeated run to delete."""
-    found = windows(lines.dropDuplicates(["doc"]), min_words)
+    found = windows(lines, min_words).drop("n")
     firsts = (
         found.groupBy("key")
-        .agg(F.min(F.struct("doc", "at", "mark")).alias("origin"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
+        .agg(F.min(F.struct("doc", "at", "mark")).alias("origin"), F.count(F.lit(1)).alias("occurrences"))
+        .where("occurrences > 1")
         .select("key", "origin")
     )
     later = found.join(firsts, "key").where(F.struct("doc", "at") > F.struct("origin.doc", "origin.at"))
     salt = F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int")
     pairs = materialize(later.select("doc", "mark", F.col("origin.doc").alias("source"), F.col("origin.mark").alias("source_mark")).distinct().withColumn("salt", salt))
-    hashes = lines.dropDuplicates(["doc"]).select("doc", "hash", "place")
+    hashes = lines.select("doc", "hash", "place")
     # a third of the corpus may repeat one document: the sources' own lines are copied under each salt
     sources = hashes.select(F.col("doc").alias("source"), F.col("hash").alias("source_hash")).join(pairs.select("source").distinct(), "source", "left_semi")
     sources = sources.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -92,25 +104,25 @@ def repeated_runs(lines: DataFrame, min_words: int) -> DataFrame:
     return runs.select("doc", F.element_at("place", F.col("start") + 1).alias("first"), F.element_at("place", F.col("stop")).alias("last")).distinct()
 
 
-def dedup_lines(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = 50) -> DataFrame:
+def dedup_lines(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = 40) -> DataFrame:
     """The rows and columns of ``documents``, repeated passages deleted from the text, and ``n_lines,
     n_removed, removed`` (lines of the text, how many are deleted, and which: first-last pairs from 0).
 
     A passage is a run of whole lines with ``min_words`` words or more that also occurs earlier, in a document with
-    a smaller identifier or earlier in the same text. Lines are equal if they are so without white space at
-    their ends; blank lines don't count as lines of a run, and those within one go with it. Every deleted line
+    a smaller identifier or earlier in the same text. A line ends with a line feed or after a sentence
+    as told above. Lines are equal if they are so without white space at their ends; blank lines don't count as lines of a run, and those within one go with it. Every deleted line
     stays in its first place. A null text stays null and has no lines; rows that repeat an identifier and a
     text are treated alike, as one document. Other columns pass through; columns named ``n_lines``,
     ``n_removed`` or ``removed`` are replaced.
     """
-    lines = materialize(line_table(documents, id_column, text_column))
+    lines = line_table(documents, id_column, text_column)
     runs = repeated_runs(lines, min_words).groupBy(F.col("doc").alias("__doc")).agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("__runs"))
     columns = [F.col(f"`{c}`") for c in documents.columns if c not in ("n_lines", "n_removed", "removed")]
     rows = documents.select(*columns, _doc(id_column, text_column).alias("__doc")).join(runs, "__doc", "left")
-    split = F.split(F.col(text_column), "\n")
+    split = F.split(F.col(text_column), LINE_END)
     kept = F.filter(split, lambda x, i: ~F.exists("__runs", lambda r: (i >= r["first"]) & (i <= r["last"])))
     rows = rows.withColumn("__kept", F.when(F.col("__runs").isNotNull(), kept))
-    text = F.when(F.col("__runs").isNull(), F.col(text_column)).otherwise(F.array_join("__kept", "\n"))
+    text = F.when(F.col("__runs").isNull(), F.col(text_column)).otherwise(F.array_join("__kept", ""))
     out = [(text if c == text_column else F.col(f"`{c}`")).alias(c) for c in documents.columns if c not in ("n_lines", "n_removed", "removed")]
     n_lines = F.coalesce(F.size(split), F.lit(0)).cast("bigint")
     return rows.select(
