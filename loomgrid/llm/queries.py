@@ -63,22 +63,63 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_url_filter, op2_exact_dedup, op3_lm_score, op4_packing, op5_simhash, op6_language_id, op7_line_dedup, op8_byte_bpe, op9_fingerprints, op10_pii)}
 
 
-# For pages without canonical links or redirects, as those of the driver's tables are: rules alone decide.
-URL_SQL = r"""
-WITH RECURSIVE split AS (
-  SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+def _attribute(name: str) -> str:
+    """The value of a tag's attribute, quoted or not; empty if it has none."""
+    find = rf'''(?is)\b{name}\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))'''
+    return " || ".join(f"coalesce(regexp_extract(tag, '{find}', {k}), '')" for k in (1, 2, 3))
+
+
+def _host(url: str) -> str:
+    rest = f"CASE WHEN strpos({url}, '://') > 0 THEN substr({url}, strpos({url}, '://') + 3) ELSE '' END"
+    return f"translate(regexp_extract({rest}, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _part(url: str, pattern: str) -> str:
+    return f"regexp_extract(CASE WHEN strpos({url}, '://') > 0 THEN substr({url}, strpos({url}, '://') + 3) ELSE '' END, '{pattern}', 1)"
+
+
+def _key(url: str) -> str:
+    rest = _part(url, "^[^/?#]*([^#]*)")
+    return f"{_host(url)} || CASE WHEN starts_with({rest}, '/') THEN {rest} ELSE '/' || {rest} END"
+
+
+_PATH = "^[^/?#]*([^?#]*)"
+URL_SQL = rf"""
+WITH RECURSIVE tags AS (
+  SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM pages WHERE url IS NOT NULL
+), values_of AS (
+  SELECT url, replace(trim(CASE
+    WHEN starts_with(lower(tag), '<link') THEN CASE WHEN regexp_matches(lower({_attribute("rel")}), '(^|\s)canonical(\s|$)') THEN {_attribute("href")} END
+    WHEN lower({_attribute("http-equiv")}) = 'refresh' THEN regexp_extract({_attribute("content")}, '(?is)^[^;,]*[;,]\s*url\s*=\s*[''"]?([^''"]*)', 1) END), '&amp;', '&') AS target,
+    'http://' || {_host("url")} AS root, {_part("url", _PATH)} AS path FROM tags
+), links AS (
+  SELECT url AS source, CASE WHEN regexp_matches(target, '^(?i)https?://') THEN target WHEN starts_with(target, '//') THEN 'http:' || target
+    WHEN target = '' OR regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*:') OR starts_with(target, '#') THEN NULL
+    WHEN starts_with(target, '/') THEN root || target
+    ELSE root || CASE WHEN path LIKE '%/%' THEN regexp_extract(path, '(?s)^(.*/)', 1) ELSE '/' END || target END AS target FROM values_of
+), edges AS (
+  SELECT {_key("source")} AS a, {_key("target")} AS b FROM links WHERE target IS NOT NULL
+), both_ways AS (
+  SELECT a, b FROM edges UNION SELECT b, a FROM edges
+), reach AS (
+  SELECT a, b FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a
+), urls AS (
+  SELECT page_id, url FROM pages UNION ALL SELECT NULL, source FROM links WHERE target IS NOT NULL UNION ALL SELECT NULL, target FROM links WHERE target IS NOT NULL
 ), named AS (
-  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM split
+  SELECT row_number() OVER () AS place, page_id, {_host("url")} AS host, {_part("url", _PATH)} AS path, CASE WHEN {_host("url")} <> '' THEN {_key("url")} END AS key FROM urls
 ), rules(rule, rule_host, rule_path, decision) AS (
   VALUES ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
          ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')
 ), fitting AS (
-  SELECT page_id, rule, decision, row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC, decision, rule) AS k
+  SELECT place, rule, decision, row_number() OVER (PARTITION BY place ORDER BY length(rule) DESC, decision, rule) AS k
   FROM named JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+), judged AS (
+  SELECT n.*, rule, decision FROM named n LEFT JOIN fitting f ON n.place = f.place AND k = 1
+), votes AS (
+  SELECT r.a AS key, min(decision) AS verdict FROM reach r JOIN judged j ON j.key = r.b WHERE decision IS NOT NULL GROUP BY 1
 )
-SELECT n.page_id, host, path, rule, coalesce(decision, 'allow') AS verdict, false AS propagated
-FROM named n LEFT JOIN fitting f ON n.page_id = f.page_id AND k = 1
+SELECT page_id, host, path, rule, coalesce(decision, verdict, 'allow') AS verdict, decision IS NULL AND verdict IS NOT NULL AS propagated
+FROM judged j LEFT JOIN votes v ON v.key = j.key WHERE page_id IS NOT NULL
 """
 
 DEDUP_SQL = r"""
