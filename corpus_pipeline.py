@@ -31,10 +31,10 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest identifier."""
-    groups = simhash.simhash_groups(docs, shingle=5)
-    kept = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(kept, "doc_id", "left_semi")
+    """Of each group of near-duplicates (five-word shingles, similarity 0.8 or more) the document with the smallest identifier."""
+    groups = simhash.similar_groups(docs, seeds=3)
+    kept = groups.where("kept").select(F.col("doc_id").alias("kept_id"))
+    return docs.select(*COLUMNS).join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

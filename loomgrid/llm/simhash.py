@@ -8,9 +8,14 @@ equality of keys alone, and every meeting is verified over all 64 bits.
 Copies collapse to one fingerprint first. Keys are dealt out and sorted by Spark; a kernel walks each
 partition's sorted keys, drops those that occur once, and for the rest links members within three bits as a
 spanning forest, so that a key of m fingerprints gives at most m - 1 links, never its pairs. A key with
-more than ``BUCKET`` fingerprints passes through unbuffered and is dealt again by the four bytes of its other
+more than ``BUCKET`` fingerprints passes through unbuffered and is dealt again by four parts of its other
 half (three bits can't touch all four), which leaves at most 2^25 fingerprints under a key whatever the
 corpus. Connected components over the links give the groups.
+
+``similar_groups`` groups texts by the Jaccard similarity of their word shingles instead. Three bits of 64 are
+too close for a similarity of 0.8, so it takes fingerprints of the distinct words, which near-copies share more
+of than they share shingles, several of them with independent seeds, and a wider radius (with 5 bits, three
+segments); the candidates that these find are then verified by the exact similarity of the whole texts.
 """
 
 from __future__ import annotations
@@ -63,104 +68,158 @@ def fingerprints(documents: DataFrame, shingle: int = 3, id_column: str = "doc_i
     return documents.select(id_column, text_column).mapInArrow(marks, f"`{id_column}` {id_type}, fp bigint")
 
 
-def _forest(members: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Links (root, member) that connect what chains of steps of at most RADIUS bits connect."""
-    roots, found = [], []
-    rest = members
-    while len(rest) > 1:
-        root, rest, todo = rest[0], rest[1:], [rest[0]]
-        while todo and len(rest):
-            near = np.bitwise_count(rest ^ todo.pop()) <= RADIUS
-            if near.any():
-                new, rest = rest[near], rest[~near]
-                found.append(new)
-                roots.append(np.full(len(new), root))
-                todo.extend(new)
-    return roots, found
+class Forest:
+    """Links that connect what chains of steps of at most ``radius`` bits connect: a spanning forest of each key's members."""
+
+    def __init__(self, radius: int) -> None:
+        self.radius = radius
+
+    def many(self, fps: np.ndarray, nodes: np.ndarray, key: int) -> tuple[list, list]:
+        left, right = [], []
+        places = np.arange(len(fps))
+        while len(places) > 1:
+            root, places, todo = places[0], places[1:], [places[0]]
+            while todo and len(places):
+                near = np.bitwise_count(fps[places] ^ fps[todo.pop()]) <= self.radius
+                if near.any():
+                    new, places = places[near], places[~near]
+                    right.append(nodes[new])
+                    left.append(np.full(len(new), nodes[root]))
+                    todo.extend(new)
+        return left, right
+
+
+class Stars:
+    """Candidate pairs within the radius: all of them for few members. For many, each member and the member with
+    the most neighbours of those that cover it (the original amid its copies); a member then links under about a quarter of its
+    keys, which are many and alike."""
 
+    FEW = 32
 
-def _links(bucket: int | None):
-    """A kernel over (key, fp) sorted by key: links (0, a, b), and (1, key, fp) for keys of over ``bucket`` rows."""
+    def __init__(self, radius: int) -> None:
+        self.radius = radius
 
-    def solve(keys: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def many(self, fps: np.ndarray, nodes: np.ndarray, key: int) -> tuple[list, list]:
+        n = len(fps)
+        if n <= self.FEW:
+            a, b = np.nonzero(np.triu(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= self.radius, 1))
+            return [nodes[a]], [nodes[b]]
+        degree = np.concatenate([(np.bitwise_count(fps[i : i + 256, None] ^ fps[None, :]) <= self.radius).sum(axis=1) for i in range(0, n, 256)])
+        drawn = (nodes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(key & (1 << 64) - 1)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(62) == 0
+        left, right = [], []
+        places = np.argsort(-degree, kind="stable")
+        while len(places) > 1:
+            hub, places = places[0], places[1:]
+            near = np.bitwise_count(fps[places] ^ fps[hub]) <= self.radius
+            new = places[near]
+            new = new[drawn[new]]
+            left.append(np.full(len(new), nodes[hub]))
+            right.append(nodes[new])
+            places = places[~near]
+            places = places[degree[places] > 1]
+        return left, right
+
+
+def _links(kernel, bucket: int | None):
+    """Runs a kernel over (key, fp, node, v) sorted by key: rows (0, a, b) are links, rows (1, fp, node, v, key) belong to keys of
+    over ``bucket`` rows and are passed on as they come."""
+
+    def row(kind: int, a: np.ndarray, b: np.ndarray, v: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
+        columns = [np.full(len(a), kind, np.int32), a.view(np.int64), b.view(np.int64), v.astype(np.int32), key]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["kind", "a", "b", "v", "key"])
+
+    def solve(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        keys, fps, nodes, v = rows
         starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         sizes = np.diff(np.append(starts, len(keys)))
+        if bucket is not None and (sizes > bucket).any():
+            big = np.repeat(sizes > bucket, sizes)
+            yield row(1, fps[big], nodes[big], v[big], keys[big])
+            yield from solve([x[~big] for x in rows])
+            return
         two = starts[sizes == 2]
-        near = two[np.bitwise_count(fps[two] ^ fps[two + 1]) <= RADIUS]
-        left, right = [fps[near]], [fps[near + 1]]
+        near = two[np.bitwise_count(fps[two] ^ fps[two + 1]) <= kernel.radius]
+        left, right = [nodes[near]], [nodes[near + 1]]
         for at, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
-            a, b = _forest(fps[at : at + size])
+            a, b = kernel.many(fps[at : at + size], nodes[at : at + size], int(keys[at]))
             left += a
             right += b
-        return np.concatenate(left), np.concatenate(right)
-
-    def row(kind: int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["kind", "a", "b"])
+        a, b = np.concatenate(left), np.concatenate(right)
+        if len(a):
+            a, b = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+            yield row(0, a, b, np.zeros(len(a)), np.zeros(len(a), np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, fps = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        held = [np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
         over = None  # the key that is being passed on
         for batch in batches:
-            more = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64), batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            more = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            more[1] = more[1].view(np.uint64)
             if over is not None:
                 n = int(np.searchsorted(more[0], over, side="right"))
                 if n:
-                    yield row(1, more[0][:n], more[1][:n])
-                more = more[0][n:], more[1][n:]
+                    yield row(1, *(more[k][:n] for k in (1, 2, 3, 0)))
+                more = [x[n:] for x in more]
                 if not len(more[0]):
                     continue
                 over = None
-            keys, fps = np.concatenate([keys, more[0]]), np.concatenate([fps, more[1]])
-            cut = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0  # the last key may go on
+            held = [np.concatenate(x) for x in zip(held, more, strict=True)]
+            cut = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0  # the last key may go on
             if cut:
-                yield from pieces(keys[:cut], fps[:cut], bucket, solve, row)
-                keys, fps = keys[cut:], fps[cut:]
-            if bucket is not None and len(keys) > bucket:
-                over = int(keys[-1])
-                yield row(1, keys, fps)
-                keys, fps = keys[:0], fps[:0]
-        if len(keys):
-            yield from pieces(keys, fps, bucket, solve, row)
+                yield from solve([x[:cut] for x in held])
+                held = [x[cut:] for x in held]
+            if bucket is not None and len(held[0]) > bucket:
+                over = int(held[0][-1])
+                yield row(1, *(held[k] for k in (1, 2, 3, 0)))
+                held = [x[:0] for x in held]
+        if len(held[0]):
+            yield from solve(held)
 
     return run
 
 
-def pieces(keys: np.ndarray, fps: np.ndarray, bucket: int | None, solve, row) -> Iterator[pa.RecordBatch]:
-    """Links of whole keys; the keys of over ``bucket`` rows are passed on."""
-    if bucket is not None:
-        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        sizes = np.diff(np.append(starts, len(keys)))
-        big = np.repeat(sizes > bucket, sizes)
-        if big.any():
-            yield row(1, keys[big], fps[big])
-            keys, fps = keys[~big], fps[~big]
-    if len(keys):
-        a, b = solve(keys, fps)
-        if len(a):
-            yield row(0, a, b)
+def signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
 
 
-def variant_index(distinct: DataFrame) -> DataFrame:
-    """``(key, fp)``: each fingerprint under its 66 keys. A key is the variant's number, then 32 bits."""
-    half = "CASE WHEN v < 33 THEN shiftrightunsigned(fp, 32) ELSE fp & 4294967295 END"
-    left_out = "CASE WHEN v % 33 = 0 THEN 0L ELSE shiftleft(1L, CAST(v % 33 - 1 AS INT)) END"
-    return distinct.select("fp", F.explode(F.sequence(F.lit(0), F.lit(65))).alias("v")).select(
-        F.expr(f"shiftleft(CAST(v AS BIGINT), 32) | (({half}) & ~({left_out}))").alias("key"), "fp"
-    )
+def variant_masks(radius: int) -> tuple[list[int], list[list[int]]]:
+    """The bits that each signature keeps: of every segment all, then all but one. With radius // 2 + 1 segments, one of
+    them differs by at most one bit. Second, for each signature the radius + 1 parts of the bits
+    outside its segment, one of which must be equal; they split a key with too many members."""
+    segments = radius // 2 + 1
+    masks, parts = [], []
+    for s in range(segments):
+        low, high = 64 * s // segments, 64 * (s + 1) // segments
+        full = (1 << high) - (1 << low)
+        outside = [b for b in range(64) if not low <= b < high]
+        split = [sum(1 << b for b in outside[len(outside) * k // (radius + 1) : len(outside) * (k + 1) // (radius + 1)]) for k in range(radius + 1)]
+        for mask in (full, *(full & ~(1 << b) for b in range(low, high))):
+            masks.append(mask)
+            parts.append(split)
+    return masks, parts
 
 
-def fingerprint_links(distinct: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """``(a, b)``: links between distinct fingerprints whose components are those of "at most 3 bits apart"."""
-    dealt = variant_index(distinct).repartition("key").sortWithinPartitions("key")
-    first = materialize(dealt.mapInArrow(_links(bucket), "kind int, a bigint, b bigint"))
-    other = "CASE WHEN shiftrightunsigned(a, 32) < 33 THEN b & 4294967295 ELSE shiftrightunsigned(b, 32) END"
+def variant_index(rows: DataFrame, radius: int) -> DataFrame:
+    """``key, fp, node``: each row (``node, t, fp``) under all its signatures; ``t`` tells apart fingerprints that
+    don't compare. Keys are hashes, whose collisions only cost a comparison."""
+    masks = F.array(*(F.lit(signed(m)) for m in variant_masks(radius)[0]))
+    each = rows.select("node", "t", "fp", F.posexplode(masks).alias("v", "mask"))
+    return each.select(F.xxhash64("t", "v", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"), "fp", "node", "v")
+
+
+def fingerprint_links(rows: DataFrame, radius: int, kernel, bucket: int = BUCKET) -> DataFrame:
+    """``(a, b)``: links of a kernel over all signatures of ``rows(node, t, fp)``."""
+    schema = "kind int, a bigint, b bigint, v int, key bigint"
+    dealt = variant_index(rows, radius).repartition("key").sortWithinPartitions("key")
+    first = materialize(dealt.mapInArrow(_links(kernel, bucket), schema))
+    parts = F.array(*(F.array(*(F.lit(signed(m)) for m in split)) for split in variant_masks(radius)[1]))
     again = (
         first.where("kind = 1")
-        .select("a", "b", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("k"))
-        .select(F.expr(f"shiftleft(a, 10) | (k * 256) | (shiftrightunsigned({other}, CAST(8 * k AS INT)) & 255)").alias("key"), F.col("b").alias("fp"))
+        .select("a", "b", "v", "key", F.posexplode(F.element_at(parts, F.col("v") + 1)).alias("k", "mask"))
+        .select(F.xxhash64("key", "k", F.col("a").bitwiseAND(F.col("mask"))).alias("key"), F.col("a").alias("fp"), F.col("b").alias("node"), "v")
         .repartition("key")
         .sortWithinPartitions("key")
-        .mapInArrow(_links(None), "kind int, a bigint, b bigint")
+        .mapInArrow(_links(kernel, None), schema)
     )
     return first.where("kind = 0").union(again).select("a", "b").distinct()
 
@@ -175,8 +234,84 @@ def simhash_groups(documents: DataFrame, shingle: int = 3, id_column: str = "doc
     """
     marks = materialize(fingerprints(documents, shingle, id_column, text_column))
     least = materialize(marks.groupBy("fp").agg(F.min(id_column).alias("least")))
-    parts = connected_components(fingerprint_links(least.select("fp"), bucket))
+    rows = least.select(F.col("fp").alias("node"), F.lit(0).alias("t"), "fp")
+    parts = connected_components(fingerprint_links(rows, RADIUS, Forest(RADIUS), bucket))
     joined = least.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     smallest = joined.groupBy("component").agg(F.min("least").alias("component_id"))
     named = materialize(joined.join(smallest, "component").select("fp", "component_id"))
     return marks.join(named, "fp").select(id_column, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def word_marks(text: str | None, seeds: int) -> tuple[bytes, list[int]]:
+    """The digest of a text's words in order, and the fingerprints of its distinct words."""
+    words = (text or "").encode().lower().split()
+    distinct = set(words)
+    marks = []
+    for seed in range(SEED, SEED + seeds):
+        hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in distinct), dtype="<u8", count=len(distinct))
+        ones = np.zeros(64, dtype=np.int64)
+        for at in range(0, len(hashes), 8192):
+            part = hashes[at : at + 8192]
+            ones += np.unpackbits(part.view(np.uint8).reshape(len(part), 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        marks.append(int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0]))
+    return xxhash.xxh3_128_digest(b" ".join(words)), marks
+
+
+def shingles(text: str | None, k: int) -> set[bytes]:
+    words = (text or "").encode().lower().split()
+    if len(words) < k:
+        return {b" ".join(words)} if words else set()
+    return set(map(b" ".join, zip(*(words[i:] for i in range(k)), strict=False)))
+
+
+def similarity(left: str | None, right: str | None, k: int) -> float:
+    """Jaccard similarity of the sets of word k-shingles; 1 for two texts without words."""
+    a, b = shingles(left, k), shingles(right, k)
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+def similar_groups(
+    documents: DataFrame, shingle: int = 5, least_similarity: float = 0.8, radius: int = 5, seeds: int = 2, id_column: str = "doc_id", text_column: str = "text", bucket: int = BUCKET
+) -> DataFrame:
+    """One row per document: ``<id>, component_id, kept``: groups of texts that chains of similarities of at least
+    ``least_similarity`` connect, named by their smallest identifier; ``kept`` is true for one row of a group.
+
+    Texts with the same words in order are one node. ``radius`` and ``seeds`` set how many pairs are seen: every
+    pair that is seen is verified. A wider radius or more seeds see more; a key of 64 / (radius // 2 + 1) bits should
+    stay longer than the logarithm of the number of documents (radius 3 for the largest corpora).
+    A null text has no words; null identifiers are larger than all others; other columns are ignored.
+    """
+    id_type = dict(documents.dtypes)[id_column]
+
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                found = [word_marks(t, seeds) for t in part.column(2).to_pylist()]
+                content = pa.array([c for c, _ in found], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), content, pa.array([m for _, m in found], pa.list_(pa.int64()))], ["id", "text_hash", "content", "fps"])
+
+    source = documents.select(F.col(id_column).alias("id"), F.xxhash64(text_column).alias("text_hash"), F.col(text_column).alias("text"))
+    marked = materialize(source.mapInArrow(marks, f"id {id_type}, text_hash bigint, content binary, fps array<bigint>").withColumn("rid", F.monotonically_increasing_id()))
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "rid", "text_hash")).alias("first")
+    nodes = materialize(marked.groupBy("content").agg(first, F.first("fps").alias("fps")).withColumn("node", F.monotonically_increasing_id()))
+    rows = nodes.select("node", F.posexplode("fps").alias("t", "fp"))
+    pairs = materialize(fingerprint_links(rows, radius, Stars(radius), bucket))
+
+    # the texts of the nodes that have a candidate, and only those
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "first"), "node")
+    found = source.join(wanted.select("node", F.col("first.id").alias("wanted_id"), F.col("first.text_hash").alias("wanted_hash")), F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("text_hash") == F.col("wanted_hash")))
+    texts = materialize(found.select("node", "text").dropDuplicates(["node"]))
+    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = [similarity(x, y, shingle) >= least_similarity for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    links = both.select("a", "b", "left", "right").mapInArrow(verify, "a bigint, b bigint")
+    parts = connected_components(links)
+    joined = nodes.select("content", "first", "node").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    firsts = joined.groupBy("component").agg(F.min("first").alias("head"))
+    named = materialize(joined.join(firsts, "component").select("content", "head"))
+    return marked.join(named, "content").select(F.col("id").alias(id_column), F.col("head.id").alias("component_id"), (F.col("rid") == F.col("head.rid")).alias("kept"))
