@@ -7,8 +7,9 @@ arrays of 64-bit hashes per level: n-grams with their discounted probability and
 interpolation weight, found by binary search.
 
 The prediction is the language of the lowest cross-entropy per character. A text is rejected when that
-cross-entropy is above its language's bound: ``reject_sigmas`` standard deviations over the mean of the
-calibration texts, which are kept out of the counts, but at least over every one of them.
+cross-entropy is above its language's bound, which texts kept out of the counts calibrate: half-way between
+the 95th percentile of the language's own and the median of the other languages' texts, neither of which a few wrong
+labels move. A text of n characters has a share of 1 / sqrt(n) more, as short texts vary more.
 """
 
 from __future__ import annotations
@@ -38,11 +39,12 @@ def _hash_rows(codes: np.ndarray) -> np.ndarray:
 
 
 class SortedHashes:
-    """A map from rows of code points to a vector of numbers (one a language): hashes in order, and their vectors."""
+    """A map from strings of one length to a vector of numbers (one a language): hashes in order, and their vectors."""
 
-    def __init__(self, maps: list[dict[tuple[int, ...], float]], length: int) -> None:
+    def __init__(self, maps: list[dict[str, float]], length: int) -> None:
         rows = list(set().union(*maps))
-        keys = _hash_rows(np.array(rows, dtype=np.uint64).reshape(len(rows), length))
+        codes = np.array([[ord(c) for c in r] for r in rows], dtype=np.uint64)
+        keys = _hash_rows(codes.reshape(len(rows), length))
         values = np.array([[m.get(r, 0.0) for m in maps] for r in rows]).reshape(len(rows), len(maps))
         order = np.argsort(keys)
         self.keys, self.values = keys[order], values[order]
@@ -55,15 +57,22 @@ class SortedHashes:
         return np.where((self.keys[at] == keys)[:, None], self.values[at], 0.0)
 
 
-def kneser_ney(words: Counter, order: int, discount: float = 0.75) -> tuple[int, list[dict], list[dict]]:
-    """One language's model: the size of its alphabet and, for n-grams of length 1 to ``order``, the discounted
-    probabilities of n-grams and the interpolation weights of contexts."""
-    by_length: list[Counter] = [Counter() for _ in range(order + 1)]
+def gram_counts(words: Counter, order: int) -> Counter:
+    """The n-grams that end at each letter and at the closing border of each word, as long as the order and the word allow."""
+    out: Counter = Counter()
     for word, n in words.items():
-        codes = [BORDER] + [ord(c) for c in word] + [BORDER]
-        for i in range(1, len(codes)):
-            gram = tuple(codes[max(0, i - order + 1) : i + 1])
-            by_length[len(gram)][gram] += n
+        text = chr(BORDER) + word + chr(BORDER)
+        for i in range(1, len(text)):
+            out[text[max(0, i - order + 1) : i + 1]] += n
+    return out
+
+
+def kneser_ney(counts: Counter, order: int, discount: float = 0.75) -> tuple[int, list[dict], list[dict]]:
+    """One language's model from its ``gram_counts``: the size of its alphabet and, for n-grams of length 1 to ``order``, the
+    discounted probabilities of n-grams and the interpolation weights of contexts."""
+    by_length: list[Counter] = [Counter() for _ in range(order + 1)]
+    for gram, n in counts.items():
+        by_length[len(gram)][gram] += n
     grams: list[dict] = [{} for _ in range(order)]
     contexts: list[dict] = [{} for _ in range(order)]
     for length in range(order, 0, -1):
@@ -79,7 +88,7 @@ def kneser_ney(words: Counter, order: int, discount: float = 0.75) -> tuple[int,
 
 
 class LanguageModels:
-    """The models of all languages, and the bounds above which texts are rejected."""
+    """The models of all languages (from their ``gram_counts``), and the bounds above which texts are rejected."""
 
     def __init__(self, counts: dict[str, Counter], order: int) -> None:
         self.languages, self.order = sorted(counts), order
@@ -116,25 +125,26 @@ class LanguageModels:
         self.lengths = np.concatenate([self.lengths, lengths - 1.0])
         self.memo.update(zip(words, range(first, first + len(words)), strict=True))
 
-    def entropies(self, texts: list[str | None]) -> np.ndarray:
-        """Bits per character of each text (row) under each language (column); NaN without letters."""
+    def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Bits per character of each text (row) under each language (column), NaN without letters; and its characters."""
         if len(self.memo) > MEMO_WORDS:
             self.__dict__.update(self.__getstate__())
         split = [LETTERS.findall(t.lower()) if t else [] for t in texts]
-        fresh = list(set().union(*split).difference(self.memo.keys())) if split else []
+        fresh = list(set().union(*split).difference(self.memo)) if split else []
         if fresh:
             self._learn(fresh)
         get = self.memo.__getitem__
-        out = np.full((len(texts), len(self.languages)), np.nan)
+        out, sizes = np.full((len(texts), len(self.languages)), np.nan), np.zeros(len(texts))
         for i, words in enumerate(split):
             if words:
                 at = np.fromiter(map(get, words), dtype=np.int64, count=len(words))
-                out[i] = self.scores[at].sum(axis=0) / self.lengths[at].sum()
-        return out
+                sizes[i] = self.lengths[at].sum()
+                out[i] = self.scores[at].sum(axis=0) / sizes[i]
+        return out, sizes
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score and whether it is rejected, for each text."""
-        bits = self.entropies(texts)
+        bits, sizes = self.entropies(texts)
         known = ~np.isnan(bits).any(axis=1) if self.languages else np.zeros(len(texts), dtype=bool)
         if not self.languages:
             return ["und"] * len(texts), np.zeros(len(texts)), np.ones(len(texts), dtype=bool)
@@ -142,25 +152,28 @@ class LanguageModels:
         least = bits[np.arange(len(texts)), best]
         share = np.exp2(-4 * (bits - least[:, None])).sum(axis=1)
         score = np.where(known, 1 / share, 0.0)
-        rejected = ~known | (least > self.bounds[best])
+        rejected = ~known | (least > self.bounds[best] * (1 + 1 / np.sqrt(np.maximum(sizes, 1))))
         return [self.languages[b] if k else "und" for b, k in zip(best, known, strict=True)], np.nan_to_num(score), rejected
 
-    def calibrate(self, texts: list[str], languages: list[str], sigmas: float) -> None:
-        bits = self.entropies(texts)
+    def calibrate(self, texts: list[str], languages: list[str]) -> None:
+        bits, _ = self.entropies(texts)
         for k, name in enumerate(self.languages):
-            own = np.array([b[k] for b, x in zip(bits, languages, strict=True) if x == name and not np.isnan(b[k])])
+            mine = np.array([x == name for x in languages])
+            valid = ~np.isnan(bits[:, k])
+            own, other = bits[mine & valid, k], bits[~mine & valid, k]
             if len(own) > 1:
-                self.bounds[k] = max(own.mean() + sigmas * own.std(), own.max())
+                high = np.percentile(own, 95)
+                self.bounds[k] = (high + max(np.median(other) if len(other) else 0, 1.5 * high)) / 2
 
 
 def fit_languages(
-    labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "lang", order: int = 4, sample_per_language: int = 1500, calibration_per_language: int = 300, reject_sigmas: float = 6.0
+    labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "lang", order: int = 4, sample_per_language: int = 1000, calibration_per_language: int = 250
 ) -> LanguageModels:
     """Models of the labels of ``labelled`` (rows with a null label or text are left out).
 
     The counts come from a bounded sample: the ``sample_per_language`` rows of each label with the smallest
     hash of the identifier; the next ``calibration_per_language`` set the bounds of rejection. Only the counts
-    of words of the sample and the calibration texts come to the driver.
+    of n-grams of the sample and the calibration texts come to the driver.
     """
     rows = labelled.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(label_column).alias("label")).where(F.col("label").isNotNull() & F.col("text").isNotNull())
     sizes = {r[0]: r[1] for r in rows.groupBy("label").count().collect()}
@@ -184,19 +197,20 @@ def fit_languages(
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 counts.setdefault(label, Counter()).update(LETTERS.findall(text.lower()))
         for label, words in counts.items():
-            yield pa.RecordBatch.from_arrays([pa.array([label] * len(words), pa.string()), pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], ["label", "word", "n"])
+            grams = gram_counts(words, order)
+            yield pa.RecordBatch.from_arrays([pa.array([label] * len(grams), pa.string()), pa.array(list(grams), pa.string()), pa.array(list(grams.values()), pa.int64())], ["label", "gram", "n"])
 
     # every fifth of a small label's sample goes to calibration where there aren't rows enough for both
     every = F.lit(5)
     held = F.when(F.col("k") > sample_per_language, True).otherwise((F.col("k") % every == 0) & F.col("label").isin([x for x, n in sizes.items() if n <= wanted]))
     ranked = ranked.withColumn("held", held)
-    counted = ranked.where(~F.col("held")).select("label", "text").mapInArrow(count, "label string, word string, n bigint").groupBy("label", "word").agg(F.sum("n").alias("n"))
+    counted = ranked.where(~F.col("held")).select("label", "text").mapInArrow(count, "label string, gram string, n bigint").groupBy("label", "gram").agg(F.sum("n").alias("n"))
     counts: dict[str, Counter] = {}
-    for label, word, n in counted.collect():
-        counts.setdefault(label, Counter())[word] = n
+    for label, gram, n in counted.collect():
+        counts.setdefault(label, Counter())[gram] = n
     models = LanguageModels(counts, order)
     kept = ranked.where("held").select("label", "text").collect()
-    models.calibrate([r[1] for r in kept], [r[0] for r in kept], reject_sigmas)
+    models.calibrate([r[1] for r in kept], [r[0] for r in kept])
     return models
 
 
