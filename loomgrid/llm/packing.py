@@ -73,7 +73,7 @@ class WordTokenizer:
         split = [(t if self.SPECIAL in t else self.CUT.sub(rb" \1", t)).split() for t in raw]
         if len(self.memo) > MEMO_WORDS:
             self.memo, self.older = {}, self.memo
-        fresh = set().union(*split).difference(self.memo.keys())
+        fresh = set().union(*split).difference(self.memo)
         if self.older and fresh:
             known = fresh & self.older.keys()  # what is still used moves on
             self.memo.update((w, self.older[w]) for w in known)
