@@ -1,12 +1,16 @@
 """URL filters, the registered queries and the pipeline."""
 
+import itertools
+
 import duckdb
 import pytest
 
 import corpus_pipeline
-from loomgrid.llm import queries, url_filter
+from loomgrid.llm import queries, simhash, url_filter
 
-from .conftest import DATA
+from .conftest import DATA, components
+from .test_dedup import cut, lines_brute
+from .test_text_models import check_packing, spans_brute
 
 RULES = queries.RULES
 
@@ -117,19 +121,31 @@ def test_query_columns(spark, documents):
 
 
 def test_pipeline(spark, documents, tmp_path):
-    docs = documents
+    """Each stage against a plain version of it, on what the stage before it kept."""
+    docs, after = documents, None
     for name, stage in corpus_pipeline.STAGES[:-1]:
         path = str(tmp_path / name)
         stage(spark, docs, DATA).write.parquet(path)
         after = spark.read.parquet(path)
-        assert after.columns == corpus_pipeline.COLUMNS and after.count() <= docs.count()
+        assert after.columns == corpus_pipeline.COLUMNS and after.where("n_chars <> length(text)").count() == 0
+        before, now = ({r.doc_id: r.text for r in table.collect()} for table in (docs, after))
         if name == "language_id":
-            assert after.count() >= 0.99 * docs.count()
+            assert len(now) >= 0.99 * len(before) and all(before[i] == t for i, t in now.items())
+        elif name == "line_dedup":
+            gone = lines_brute(before.items(), 40)
+            wanted = {i: "".join(x for p, x in enumerate(cut(t)) if p not in gone.get(i, ())) for i, t in before.items()}
+            assert now == {i: t for i, t in wanted.items() if t.strip() or i not in gone}
+        elif name == "simhash":
+            near = [(a, b) for a, b in itertools.combinations(before, 2) if simhash.similarity(before[a], before[b], 5) >= 0.8]
+            assert now == {i: before[i] for i, c in components(before, near).items() if i == c}
+        else:
+            assert now.keys() == before.keys() and not any(spans_brute(t) for t in now.values())
+            assert all(now[i] == t for i, t in before.items() if not any(c.isdigit() or c == "@" for c in t))
         docs = after
-    assert docs.where("n_chars <> length(text)").count() == 0
-    left = {r.doc_id for r in docs.collect()}
-    packed = corpus_pipeline.STAGES[-1][1](spark, docs, DATA)
-    assert {r.doc_id for r in packed.collect()} == left
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    padding, _ = check_packing(rows, corpus_pipeline.STAGES[-1][1](spark, docs, DATA).collect())
+    assert padding == 0
+    assert {r.doc_id for r in corpus_pipeline.run(spark, DATA).collect()} == {i for i, _ in rows}
 
 
 def test_pipeline_on_odd_rows(spark, odd, empty):
