@@ -251,18 +251,16 @@ def analyze(signatures: DataFrame, keys: list[str], fps: float, side: int, confi
 EMISSION = ["freeze_then_jump", "freeze_at_episode_end", "repeated_motion_then_jump", "repeated_motion_at_episode_end", "low_information_frames", "transient_visual_corruption", "temporal_discontinuity"]
 
 
+#: Checks with the severity of their findings, and which kinds belong to each, in order.
+CHECKS = [("frozen frames", "FAIL", EMISSION[:2]), ("repeated motion", "FAIL", EMISSION[2:4]), ("visual integrity", "WARN", EMISSION[4:6]), ("temporal continuity", "WARN", EMISSION[6:])]
+
+
 def check_rollup(findings: DataFrame, segments: DataFrame) -> DataFrame:
-    """The named checks with severity and message, decided on all findings before any cap."""
-    totals = segments.agg(F.countDistinct("episode_index").alias("episodes"), F.countDistinct("feature").alias("features"))
-    by_check = {
-        "frozen frames": ("FAIL", EMISSION[:2]),
-        "repeated motion": ("FAIL", EMISSION[2:4]),
-        "visual integrity": ("WARN", EMISSION[4:6]),
-        "temporal continuity": ("WARN", EMISSION[6:]),
-    }
-    counts = findings.agg(*(F.count_if(F.col("kind").isin(kinds)).alias(name) for name, (_, kinds) in by_check.items()))
-    one = totals.join(counts)  # one row each
-    rows = [F.struct(F.lit("metadata and boundaries").alias("check"), F.lit("PASS").alias("severity"), ((F.col("episodes") - 1) * F.col("features")).cast("bigint").alias("n"))]
-    for name, (level, _) in by_check.items():
-        rows.append(F.struct(F.lit(name).alias("check"), F.when(F.col(f"`{name}`") > 0, level).otherwise("PASS").alias("severity"), F.col(f"`{name}`").cast("bigint").alias("n")))
-    return one.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
+    """``position, check, severity, n``: the named checks, decided on all findings before any cap."""
+    skipped = ((F.countDistinct("episode_index") - 1) * F.countDistinct("feature")).cast("bigint")
+    metadata = segments.agg(skipped.alias("n")).select(F.lit(0).alias("position"), F.lit("metadata and boundaries").alias("check"), F.lit("PASS").alias("severity"), "n")
+    counts = findings.groupBy("kind").agg(F.count(F.lit(1)).alias("found"))
+    kinds = findings.sparkSession.createDataFrame([(i + 1, name, level, kind) for i, (name, level, own) in enumerate(CHECKS) for kind in own], "position int, check string, level string, kind string")
+    rows = kinds.join(counts, "kind", "left").groupBy("position", "check", "level").agg(F.coalesce(F.sum("found"), F.lit(0)).cast("bigint").alias("n"))
+    rows = rows.select("position", "check", F.when(F.col("n") > 0, F.col("level")).otherwise("PASS").alias("severity"), "n")
+    return metadata.unionByName(rows).orderBy("position")
