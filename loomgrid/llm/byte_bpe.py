@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 
 #: Bounds of a worker's memos.
-MEMO_CHUNKS, MEMO_STATES = 200_000, 200_000
+MEMO_CHUNKS, MEMO_STATES = 600_000, 600_000
 
 
 def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
@@ -51,6 +52,7 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks = ranks
         self.tokens = {b: a for a, b in ranks.items()}
+        self.written = {n: n.to_bytes(4, "little") for n in self.tokens}
         self.begins = {t[:n] for t in ranks for n in range(len(t))}  # what a longer token can continue
         self.halves: dict[int, tuple[int, int]] = {}
         self.pairs: dict[int, bool] = {}
@@ -131,14 +133,13 @@ class Transducer:
             raise ValueError("the vocabulary lacks a byte")
         going = [chains[k] for k in on]
         going.append(chain)
-        sure = 0
-        if () not in going:
-            least = min(map(len, going))
+        key = state << 8 | byte
+        first = chain[0]
+        if all(c and c[0] == first for c in going):  # ids that every way has begun with are sure
+            least, sure = min(map(len, going)), 1
             while sure < least and all(c[sure] == chain[sure] for c in going):
                 sure += 1
-        key = state << 8 | byte
-        if sure:
-            self.outs[key] = b"".join(t.to_bytes(4, "little") for t in chain[:sure])
+            self.outs[key] = b"".join([self.written[t] for t in chain[:sure]])
             emitted, going = chain[sure - 1], [c[sure:] for c in going]
         target = (after, emitted, tuple(going))
         number = self.numbers.get(target)
@@ -162,7 +163,7 @@ class Transducer:
                 out.append(outs[key])
         end = self.ends.get(state)
         if end is None:
-            end = self.ends[state] = b"".join(t.to_bytes(4, "little") for t in self.states[state][2][-1])
+            end = self.ends[state] = b"".join([self.written[t] for t in self.states[state][2][-1]])
         out.append(end)
         return b"".join(out)
 
@@ -170,8 +171,10 @@ class Transducer:
 class ByteBpe:
     """Encoder and decoder of one rank file."""
 
-    #: White space other than space and line feed: texts that hold any are split by the pattern as a whole.
-    ODD = regex.compile(r"[^\S \n]")
+    #: Where the pattern surely begins a match: at ASCII punctuation (but for the apostrophe) after an ASCII
+    #: letter or digit. Texts with other white space than single spaces and line feeds are split by the pattern itself.
+    CUT = re.compile(r"([!-&(-/:-@\[-`{-~])(?<=[A-Za-z0-9].)")
+    ODD = re.compile(r"[\0\t\r\v\f\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
     def __init__(self, path: str, pattern: str) -> None:
         with open(path, "rb") as file:
@@ -189,35 +192,36 @@ class ByteBpe:
             except UnicodeDecodeError:
                 pass
 
+    def _piece(self, piece: bytes) -> bytes:
+        number = self.ranks.get(piece)  # a piece that is a token is that token
+        return self.transducer.encode_piece(piece) if number is None else self.transducer.written[number]
+
     def _chunk(self, text: str) -> bytes:
-        out = []
-        for piece in self.pattern.findall(text):
-            piece = piece.encode()
-            number = self.ranks.get(piece)  # a piece that is a token is that token
-            out.append(self.transducer.encode_piece(piece) if number is None else number.to_bytes(4, "little"))
-        return b"".join(out)
+        if text[1:].isalpha() and text[0] == " ":
+            return self._piece(text.encode())
+        return b"".join([self._piece(piece.encode()) for piece in self.pattern.findall(text)])
 
     def encode(self, text: str) -> bytes:
         """Ids of a text (32-bit, little-endian).
 
         A match of the pattern holds a space only at its start or within white space, so a text is cut before
-        each single space that stands between other characters, and ids are memoised by such chunks.
+        each single space that stands between other characters, around single line feeds and before punctuation, and
+        ids are memoised by such chunks.
         """
-        if "  " in text or " \n" in text or "\n " in text or text[:1] in (" ", "\n") or text[-1:] == " " or self.ODD.search(text):
-            return self._chunk(text)
+        if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[:1] == " " or text[-1:] == " " or self.ODD.search(text):
+            chunks = self.pattern.findall(text)
+        else:
+            chunks = self.CUT.sub("\0\\1", text).replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
         if len(self.memo) > MEMO_CHUNKS:
             self.memo, self.older = {}, self.memo
-        memo, out, first = self.memo, [], True
-        for word in text.split(" "):
-            chunk = word if first else " " + word
-            first = False
-            ids = memo.get(chunk)
-            if ids is None:
-                ids = self.older.get(chunk) or self._chunk(chunk)
-                if len(chunk) <= 256:
-                    memo[chunk] = ids
-            out.append(ids)
-        return b"".join(out)
+        memo, older = self.memo, self.older
+        for chunk in [c for c in set(chunks) if c not in memo]:
+            ids = older.get(chunk)
+            memo[chunk] = (self._chunk(chunk) if chunk else b"") if ids is None else ids
+        out = b"".join(map(memo.__getitem__, chunks))
+        if len(text) > 100_000:  # a long text may be one chunk
+            self.memo = {c: i for c, i in memo.items() if len(c) <= 1000}
+        return out
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of the ids."""
