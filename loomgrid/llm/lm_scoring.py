@@ -12,11 +12,14 @@ Documents are dealt into blocks. A block sends the sorted 64-bit hashes of its d
 with their training counts, to the owners of the hash ranges, packed as byte planes of differences (about six
 bytes an n-gram). An owner sums over blocks and answers each block's hashes in the order in which they were
 asked, so an answer is only counts. A block then has its slice of the automaton and reads its texts.
-A frequent word is one entry per block, so no key is hot. Blocks and ranges grow in number with the input.
+A frequent word is one entry per block, so no key is hot. Blocks and ranges grow in number with the input: two for
+each partition, and from 16,384 partitions on with the square root, so that the packets between them, whose number is
+the square, stay worth packing (blocks are then larger, and want executors that hold one).
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import defaultdict
 
@@ -216,7 +219,8 @@ def score_documents(documents: DataFrame, held_out: str | None = None, id_column
     only the end. Rows that repeat count each time; other columns are ignored; an empty table gives no rows.
     """
     condition = F.expr(held_out) if held_out else hash_remainder(F.col(id_column), 7) == 2
-    n = blocks or max(2, 2 * documents.rdd.getNumPartitions())
+    parts = documents.rdd.getNumPartitions()
+    n = blocks or max(2, min(2 * parts, int(256 * math.sqrt(parts))))
     dealt = documents.select(
         F.pmod(F.xxhash64(id_column, F.octet_length(text_column)), F.lit(n)).cast("int").alias("block"),
         F.col(id_column).alias("id"),
