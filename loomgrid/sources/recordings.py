@@ -183,11 +183,11 @@ def decoded(kinds: pd.Series, payloads: pd.Series) -> pd.DataFrame:
 
 
 def decoded_events(messages: DataFrame, topics: DataFrame) -> DataFrame:
-    """Messages of the required topics (``topics(category, ordinal, id, topic)``, a short list), decoded, with
+    """Messages of the required topics (``topics(category, ordinal, id, topic)``), decoded, with
     fingerprints of images."""
     from loomgrid.functions.images import pixel_fingerprint, rgb_pixels
 
-    rows = messages.join(F.broadcast(topics.limit(10_000)), "topic").withColumn("d", decoded("type", "payload"))
+    rows = messages.join(topics, "topic").withColumn("d", decoded("type", "payload"))
     is_image: Column = F.col("d.image").isNotNull()
     pixels = rgb_pixels(F.col("d.image"), F.col("d.encoding"), F.col("d.height"), F.col("d.width"), F.col("d.step"))
     rows = rows.select("episode_index", "seq", "topic", "category", "bag_stamp_ns", F.col("d.source_stamp_ns").alias("source_stamp_ns"), F.col("d.vec").alias("vec"), F.col("d.names").alias("names"), F.col("d.height").alias("height"), F.col("d.width").alias("width"), "d")
