@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-#: Words whose ids a worker keeps in each of two generations of its memo; this changes no result.
+#: Words whose ids a worker keeps in each of two generations of its memo, by default; this changes no result.
 MEMO_WORDS = 400_000
 
 
@@ -41,9 +41,10 @@ class WordTokenizer:
     MARK, SPECIAL = b"|", b"<|"
     CUT = re.compile(rb"([!-&(-/:-@\[-`{-~])(?<=[a-z0-9].)")
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, memo_words: int = MEMO_WORDS) -> None:
         from tokenizers import Tokenizer
 
+        self.most = memo_words
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -51,7 +52,7 @@ class WordTokenizer:
         self.mark = mark[0] if len(mark) == 1 else None
 
     def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids  # without offsets
 
     def _learn(self, words: list[bytes]) -> None:
         plain = [w for w in words if self.mark is not None and self.MARK not in w]
@@ -69,9 +70,13 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        raw = [t.encode().lower() for t in texts]
+        return self.encode_bytes([t.encode() for t in texts])
+
+    def encode_bytes(self, texts: list[bytes]) -> list[bytes]:
+        """The same for texts in UTF-8."""
+        raw = [t.lower() for t in texts]
         split = [(t if self.SPECIAL in t else self.CUT.sub(rb" \1", t)).split() for t in raw]
-        if len(self.memo) > MEMO_WORDS:
+        if len(self.memo) > self.most:
             self.memo, self.older = {}, self.memo
         fresh = set().union(*split).difference(self.memo)
         if self.older and fresh:
@@ -85,8 +90,8 @@ class WordTokenizer:
 
 
 @functools.lru_cache(maxsize=2)
-def word_tokenizer(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
+def word_tokenizer(path: str, memo_words: int) -> WordTokenizer:
+    return WordTokenizer(path, memo_words)
 
 
 class Packer:
@@ -151,6 +156,7 @@ def pack_documents(
     linear: float = 1.0,
     quadratic: float = 1.0 / 24576,
     with_ids: bool = False,
+    memo_words: int = MEMO_WORDS,
 ) -> DataFrame:
     """One row per piece: ``<id>, start, length, ids_crc32, doc_tokens, sequence_id, offset`` (and ``ids``).
 
@@ -165,7 +171,7 @@ def pack_documents(
     end = int(end_id).to_bytes(4, "little")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = word_tokenizer(tokenizer_path)
+        tokenizer = word_tokenizer(tokenizer_path, memo_words)
         packer = Packer(capacity, window_sequences, linear, quadratic, TaskContext.get().partitionId() << 33)
         held: dict[int, tuple[object, bytes]] = {}  # documents with pieces that aren't closed
         number = 0
@@ -196,8 +202,8 @@ def pack_documents(
             id_arrow = batch.schema.field(0).type
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                for key, ids in zip(part.column(0).to_pylist(), tokenizer.encode(texts), strict=True):
+                texts = [t or b"" for t in part.column(1).cast(pa.binary()).to_pylist()]
+                for key, ids in zip(part.column(0).to_pylist(), tokenizer.encode_bytes(texts), strict=True):
                     held[number] = (key, ids + end)
                     packer.add(number, len(ids) // 4 + 1)
                     number += 1
