@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from loomgrid.llm.common import materialize
 
-#: Where lines end; each keeps what ends it.
-LINE_END = r"(?<=\n)|(?<=[a-mA-M][.!?] )"
+#: Where lines end; each keeps what ends it. The first test is on one character, and fails at most of them.
+LINE_END = r"(?<=[\n ])(?<=\n|[a-mA-M][.!?] )"
 BLANKS = " \t\n\r\x0b\x0c"
 #: Parts among which the repeats of one source document are dealt.
 SALTS = 32
@@ -77,7 +77,8 @@ def windows(lines: DataFrame, min_words: int) -> DataFrame:
 def repeated_runs(lines: DataFrame, min_words: int) -> DataFrame:
     """``doc, first, last``: places of the lines that begin and end each repeated run to delete."""
     found = windows(lines, min_words).drop("n")
-    firsts = (
+    # written, so that the join below deals both sides anew and Spark can split the rows of a frequent window
+    firsts = materialize(
         found.groupBy("key")
         .agg(F.min(F.struct("doc", "at", "mark")).alias("origin"), F.count(F.lit(1)).alias("occurrences"))
         .where("occurrences > 1")
@@ -105,29 +106,28 @@ def repeated_runs(lines: DataFrame, min_words: int) -> DataFrame:
 
 
 def dedup_lines(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = 40) -> DataFrame:
-    """The rows and columns of ``documents``, repeated passages deleted from the text, and ``n_lines,
-    n_removed, removed`` (lines of the text, how many are deleted, and which: first-last pairs from 0).
+    """The rows and columns of ``documents``, repeated passages deleted from the text, and ``n_removed, removed``
+    (how many lines are deleted, and which: first-last pairs from 0).
 
     A passage is a run of whole lines with ``min_words`` words or more that also occurs earlier, in a document with
     a smaller identifier or earlier in the same text. A line ends with a line feed or after a sentence
     as told above. Lines are equal if they are so without white space at their ends; blank lines don't count as lines of a run, and those within one go with it. Every deleted line
-    stays in its first place. A null text stays null and has no lines; rows that repeat an identifier and a
-    text are treated alike, as one document. Other columns pass through; columns named ``n_lines``,
+    stays in its first place. A null text stays null; rows that repeat an identifier and a
+    text are treated alike, as one document. Other columns pass through; columns named
     ``n_removed`` or ``removed`` are replaced.
     """
     lines = line_table(documents, id_column, text_column)
     runs = repeated_runs(lines, min_words).groupBy(F.col("doc").alias("__doc")).agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("__runs"))
-    columns = [F.col(f"`{c}`") for c in documents.columns if c not in ("n_lines", "n_removed", "removed")]
+    columns = [F.col(f"`{c}`") for c in documents.columns if c not in ("n_removed", "removed")]
     rows = documents.select(*columns, _doc(id_column, text_column).alias("__doc")).join(runs, "__doc", "left")
     split = F.split(F.col(text_column), LINE_END)
     kept = F.filter(split, lambda x, i: ~F.exists("__runs", lambda r: (i >= r["first"]) & (i <= r["last"])))
-    rows = rows.withColumn("__kept", F.when(F.col("__runs").isNotNull(), kept))
+    rows = rows.withColumn("__kept", F.when(F.col("__runs").isNotNull(), kept))  # texts without runs aren't split again
     text = F.when(F.col("__runs").isNull(), F.col(text_column)).otherwise(F.array_join("__kept", ""))
-    out = [(text if c == text_column else F.col(f"`{c}`")).alias(c) for c in documents.columns if c not in ("n_lines", "n_removed", "removed")]
-    n_lines = F.coalesce(F.size(split), F.lit(0)).cast("bigint")
+    out = [(text if c == text_column else F.col(f"`{c}`")).alias(c) for c in documents.columns if c not in ("n_removed", "removed")]
+    removed = F.aggregate("__runs", F.struct(F.lit(-1).alias("last"), F.lit(0).alias("n")), lambda acc, r: F.struct(F.greatest(acc["last"], r["last"]).alias("last"), (acc["n"] + F.greatest(F.lit(0), r["last"] - F.greatest(acc["last"] + 1, r["first"]) + 1)).alias("n")))
     return rows.select(
         *out,
-        F.when(F.col(text_column).isNull(), 0).otherwise(n_lines).cast("bigint").alias("n_lines"),
-        F.when(F.col("__runs").isNull(), 0).otherwise(F.size(split) - F.size("__kept")).cast("bigint").alias("n_removed"),
+        F.coalesce(removed["n"], F.lit(0)).cast("bigint").alias("n_removed"),
         F.coalesce(F.array_join(F.transform("__runs", lambda r: F.concat_ws("-", r["first"], r["last"])), ","), F.lit("")).alias("removed"),
     )
