@@ -44,7 +44,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 4096 tokens."""
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    # workers go from stage to stage with what they hold, so this one keeps fewer words
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), memo_words=100_000)
 
 
 STAGES = [

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 BORDER = 0
 #: Words whose scores a worker keeps; emptied beyond that, which changes no result.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 120_000
 
 
 def _hash_rows(codes: np.ndarray) -> np.ndarray:
@@ -131,8 +131,8 @@ class LanguageModels:
             self.__dict__.update(self.__getstate__())
         split = [LETTERS.findall(t.lower()) if t else [] for t in texts]
         fresh = list(set().union(*split).difference(self.memo)) if split else []
-        if fresh:
-            self._learn(fresh)
+        for at in range(0, len(fresh), 8000):
+            self._learn(fresh[at : at + 8000])
         get = self.memo.__getitem__
         out, sizes = np.full((len(texts), len(self.languages)), np.nan), np.zeros(len(texts))
         for i, words in enumerate(split):

@@ -258,7 +258,7 @@ def find_personal_data(documents: DataFrame, field: SkipChainField, id_column: s
     id_type = dict(documents.dtypes)[id_column]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, 500) for b in batches for at in range(0, b.num_rows, 500)):
             counts, digests, spans = [], [], []
             for text in batch.column(1).to_pylist():
                 found = base_spans(text) if text and ANY.search(text) else []
@@ -292,7 +292,7 @@ def mask_personal_data(documents: DataFrame, field: SkipChainField, text_column:
     at = documents.columns.index(text_column)
 
     def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(first, 500) for b in batches for first in range(0, b.num_rows, 500)):
             out = []
             for text in batch.column(at).to_pylist():
                 if text and ANY.search(text):

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgrid.llm.common import materialize
+from loomgrid.llm.common import arrow_rows, materialize
 from loomgrid.llm.components import connected_components
 
 SEED, RADIUS = 42, 3
@@ -292,7 +292,8 @@ def similar_groups(
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), content, pa.array([m for _, m in found], pa.list_(pa.int64()))], ["id", "text_hash", "content", "fps"])
 
     source = documents.select(F.col(id_column).alias("id"), F.xxhash64(text_column).alias("text_hash"), F.col(text_column).alias("text"))
-    marked = materialize(source.mapInArrow(marks, f"id {id_type}, text_hash bigint, content binary, fps array<bigint>").withColumn("rid", F.monotonically_increasing_id()))
+    with arrow_rows(documents.sparkSession, 1000):
+        marked = materialize(source.mapInArrow(marks, f"id {id_type}, text_hash bigint, content binary, fps array<bigint>").withColumn("rid", F.monotonically_increasing_id()))
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "rid", "text_hash")).alias("first")
     nodes = materialize(marked.groupBy("content").agg(first, F.first("fps").alias("fps")).withColumn("node", F.monotonically_increasing_id()))
     rows = nodes.select("node", F.posexplode("fps").alias("t", "fp"))
@@ -309,7 +310,8 @@ def similar_groups(
             good = [similarity(x, y, shingle) >= least_similarity for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    links = both.select("a", "b", "left", "right").mapInArrow(verify, "a bigint, b bigint")
+    with arrow_rows(documents.sparkSession, 200):
+        links = materialize(both.select("a", "b", "left", "right").mapInArrow(verify, "a bigint, b bigint"))
     parts = connected_components(links)
     joined = nodes.select("content", "first", "node").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     firsts = joined.groupBy("component").agg(F.min("first").alias("head"))
