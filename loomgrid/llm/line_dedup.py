@@ -131,3 +131,88 @@ def dedup_lines(documents: DataFrame, id_column: str = "doc_id", text_column: st
         F.coalesce(removed["n"], F.lit(0)).cast("bigint").alias("n_removed"),
         F.coalesce(F.array_join(F.transform("__runs", lambda r: F.concat_ws("-", r["first"], r["last"])), ","), F.lit("")).alias("removed"),
     )
+
+
+_ALONE = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
+#: Where words end: before what follows white space, and on both sides of each character of the scripts that don't part words.
+WORD_END = rf"(?<=[\x20\x09-\x0D])(?![\x20\x09-\x0D])|(?<={_ALONE})(?![\x20\x09-\x0D])|(?={_ALONE})"
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _over(values: Column, size: int, both) -> Column:
+    """At each place, ``both`` over the next ``size`` elements, folded from halves that may overlap. The last
+    ``size - 1`` places have less before them and are left out."""
+
+    def folded(values: Column, step: int) -> Column:
+        if step * 2 > size:
+            last = _let(values, lambda v: F.zip_with(v, F.slice(v, size - step + 1, F.size(v)), both)) if step < size else values
+            return _let(last, lambda v: F.slice(v, 1, F.size(v) - (size - 1)))
+        return folded(_let(values, lambda v: F.zip_with(v, F.slice(v, step + 1, F.size(v)), both)), step * 2)
+
+    return folded(values, 1)
+
+
+def _window_runs(words: Column, min_words: int, gram: int) -> Column:
+    """Arrays of ``mark, at, keys, again``: the windows of ``min_words`` words in runs of consecutive ones with the same mark,
+    the least hash of their ``gram`` words in a row. ``again`` tells that the text repeats such words itself."""
+    hashed = lambda x, y: F.xxhash64(x, y)
+
+    def runs(keys: Column, grams: Column, marks: Column) -> Column:
+        again = F.size(F.array_distinct(grams)) < F.size(grams)
+        starts = F.filter(F.sequence(F.lit(0), F.size(marks) - 1), lambda i: (i == 0) | (F.get(marks, i) != F.get(marks, i - 1)))
+        each = lambda starts, again: F.transform(
+            starts, lambda s, k: F.struct(F.get(marks, s).alias("mark"), s.alias("at"), F.slice(keys, s + 1, F.coalesce(F.get(starts, k + 1), F.size(marks)) - s).alias("keys"), again.alias("again"))
+        )
+        return _let(starts, lambda s: _let(again, lambda a: each(s, a)))
+
+    inner = lambda h: _let(
+        _over(h, gram, hashed), lambda g: _let(_over(g, min_words - gram + 1, lambda x, y: F.least(x, y)), lambda m: _let(_over(h, min_words, hashed), lambda keys: runs(keys, g, m)))
+    )
+    return _let(words, lambda h: F.when(F.size(h) >= min_words, inner(h)))
+
+
+def dedup_passages(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = 40, gram: int = 8) -> DataFrame:
+    """The rows and columns of ``documents``, repeated passages deleted from the text, and ``n_removed, removed``
+    (how many words are deleted, and which: first-last pairs from 0).
+
+    A word is deleted if it belongs to ``min_words`` words in a row that also occur earlier, in a document with a smaller
+    identifier or earlier in the same text, wherever they start and end. Words are parted by white space; each character of
+    a script without spaces is one. The white space after a deleted word goes with it. A null text stays null; rows
+    that repeat an identifier and a text are treated alike, as one document. Other columns pass through; columns
+    named ``n_removed`` or ``removed`` are replaced.
+
+    Windows travel under the least hash of ``gram`` words within them, which equal windows have in common, so
+    a mark that occurs once, as most do, ends there. The windows of the others are compared, all of them.
+    """
+    gram = min(gram, min_words)
+    split = F.split(F.col(text_column), WORD_END)
+    # only the first piece can be blank
+    blank = F.when(F.btrim(F.get(F.col("__pieces"), F.lit(0)), F.lit(BLANKS)) == "", 1).otherwise(0)
+    words = F.transform(F.slice("__pieces", F.col("__lead") + 1, F.size("__pieces")), lambda x: F.xxhash64(F.btrim(x, F.lit(BLANKS))))
+    texts = documents.where(F.length(text_column) >= min_words).select(_doc(id_column, text_column).alias("doc"), F.monotonically_increasing_id().alias("n"), split.alias("__pieces"))
+    texts = texts.select("doc", "n", "__pieces", blank.alias("__lead"))
+    runs = texts.where("n >= 0").select("doc", "__lead", F.explode(_window_runs(words, min_words, gram)).alias("run")).select("doc", "__lead", "run.*")
+    shared = runs.withColumn("rows", F.count(F.lit(1)).over(Window.partitionBy("mark"))).where("rows > 1 OR again")
+    each = shared.select("mark", "doc", "__lead", "at", F.posexplode("keys").alias("k", "key")).select("mark", "key", "doc", (F.col("__lead") + F.col("at") + F.col("k")).alias("at"))
+    place = F.struct("doc", "at")
+    later = each.withColumn("first", F.min(place).over(Window.partitionBy("mark", "key"))).where(place > F.col("first"))
+    found = later.groupBy(F.col("doc").alias("__doc")).agg(F.array_sort(F.collect_set("at")).alias("s"))
+    ends = F.filter("s", lambda x, i: F.coalesce(F.get("s", i + 1) > x + min_words, F.lit(True)))
+    starts = F.filter("s", lambda x, i: (i == 0) | (F.get("s", i - 1) + min_words < x))
+    ranges = found.select("__doc", F.zip_with(starts, ends, lambda x, y: F.struct(x.alias("first"), (y + min_words - 1).alias("last"))).alias("__runs"))
+
+    kept = [c for c in documents.columns if c not in ("n_removed", "removed")]
+    rows = documents.select(*(F.col(f"`{c}`") for c in kept), _doc(id_column, text_column).alias("__doc")).join(ranges, "__doc", "left")
+    # what stands before, between and after the runs
+    left = F.filter(split, lambda x, i: ~F.exists("__runs", lambda r: (i >= r["first"]) & (i <= r["last"])))
+    text = F.when(F.col("__runs").isNull(), F.col(text_column)).otherwise(F.array_join(left, ""))
+    removed = F.aggregate("__runs", F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1)
+    return rows.select(
+        *((text if c == text_column else F.col(f"`{c}`")).alias(c) for c in kept),
+        F.coalesce(removed, F.lit(0)).cast("bigint").alias("n_removed"),
+        F.coalesce(F.array_join(F.transform("__runs", lambda r: F.concat_ws("-", r["first"], r["last"])), ","), F.lit("")).alias("removed"),
+    )
