@@ -16,10 +16,16 @@ corpus. Connected components over the links give the groups.
 too close for a similarity of 0.8, so it takes fingerprints of the distinct words, which near-copies share more
 of than they share shingles, several of them with independent seeds, and a wider radius (with 5 bits, three
 segments); the candidates that these find are then verified by the exact similarity of the whole texts.
+
+That sees most pairs, not all: copies that differ by a block and members of large groups whose hub fails are missed. A second
+round therefore is exact. Two sets with a similarity of t share an element of their prefixes, the first n - ceil(t n) + 1
+of n shingles in an order that is the same for all texts; texts that share one, aren't yet in one group, and that sizes and places
+don't rule out are verified as well.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -270,14 +276,90 @@ def similarity(left: str | None, right: str | None, k: int) -> float:
     return len(a & b) / len(a | b) if a or b else 1.0
 
 
+def shingle_hashes(text: str | None, k: int) -> np.ndarray:
+    """The distinct hashes of a text's shingles, in ascending order."""
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in shingles(text, k)), dtype="<u8")).view("<i8")
+
+
+def common_shingles(source: DataFrame, k: int, documents: int = 20_000, times: int = 4, most: int = 100_000) -> np.ndarray:
+    """Hashes of shingles that occur in ``times`` or more texts of a sample, in ascending order."""
+    rows = source.count()
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_hashes(t, k) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found) if found else np.zeros(0, np.int64))], ["h"])
+
+    with arrow_rows(source.sparkSession, 1000):
+        counted = source.sample(min(1.0, documents / max(rows, 1)), 1).select("text").mapInArrow(hashes, "h bigint").groupBy("h").count()
+        return np.sort(np.array([r.h for r in counted.where(F.col("count") >= times).orderBy(F.desc("count"), "h").limit(most).collect()], dtype=np.int64))
+
+
+def prefix(text: str | None, k: int, least: float, common: np.ndarray) -> tuple[list[int], int]:
+    """The first hashes of a text's shingles, as many as must hold one that any text as similar as ``least`` also has
+    among its own, and the number of shingles. They are in one order for all texts, which is all that it takes: common ones
+    last, so that few texts meet under a hash without being similar."""
+    hashes = shingle_hashes(text, k)
+    n = len(hashes)
+    if len(common):
+        known = common[np.minimum(np.searchsorted(common, hashes), len(common) - 1)] == hashes
+        hashes = np.concatenate([hashes[~known], hashes[known]])
+    return hashes[: n - math.ceil(least * n - 1e-9) + 1].tolist() if n else [], n
+
+
+def shared_pairs(least: float, chunk: int = 1_000_000):
+    """Runs over (key, label, node, size, place) sorted by key and label: pairs (a, b) of nodes of different labels under a key
+    that may be as similar as ``least``, going by their sizes and the key's places in them."""
+
+    def solve(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        keys, labels, nodes, sizes, places = rows
+        n = len(keys)
+        new_key = np.append(keys[1:] != keys[:-1], True)
+        ends = np.flatnonzero(new_key) + 1  # where keys end, and where runs of a label do
+        stops = np.flatnonzero(new_key | np.append(labels[1:] != labels[:-1], True)) + 1
+        begin = stops[np.searchsorted(stops, np.arange(n), side="right")]
+        count = ends[np.searchsorted(ends, np.arange(n), side="right")] - begin
+        active = np.flatnonzero(count)
+        total = np.cumsum(count[active])
+        at = 0
+        while at < len(active):
+            to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + chunk, side="right")))
+            part = active[at:to]
+            x = np.repeat(part, count[part])
+            y = np.arange(len(x)) - np.repeat(np.cumsum(count[part]) - count[part], count[part]) + begin[x]
+            at = to
+            # at the first hash that two texts share, no more than it and what follows is common
+            most = np.minimum(sizes[x] - places[x], sizes[y] - places[y])
+            good = (np.minimum(sizes[x], sizes[y]) >= least * np.maximum(sizes[x], sizes[y]) - 1e-6) & (most * (1 + least) >= least * (sizes[x].astype(np.int64) + sizes[y]) - 1e-6)
+            if good.any():
+                a, b = nodes[x[good]], nodes[y[good]]
+                a, b = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            more = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            held = more if held is None else [np.concatenate(x) for x in zip(held, more, strict=True)]
+            cut = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0  # the last key may go on
+            if cut:
+                yield from solve([x[:cut] for x in held])
+                held = [x[cut:] for x in held]
+        if held is not None and len(held[0]):
+            yield from solve(held)
+
+    return run
+
+
 def similar_groups(
     documents: DataFrame, shingle: int = 5, least_similarity: float = 0.8, radius: int = 5, seeds: int = 2, id_column: str = "doc_id", text_column: str = "text", bucket: int = BUCKET
 ) -> DataFrame:
     """One row per document: ``<id>, component_id, kept``: groups of texts that chains of similarities of at least
     ``least_similarity`` connect, named by their smallest identifier; ``kept`` is true for one row of a group.
 
-    Texts with the same words in order are one node. ``radius`` and ``seeds`` set how many pairs are seen: every
-    pair that is seen is verified. A wider radius or more seeds see more; a key of 64 / (radius // 2 + 1) bits should
+    Texts with the same words in order are one node. ``radius`` and ``seeds`` set how many pairs the first round sees: every
+    pair that is seen is verified, and the second round finds all that it missed (texts that share a shingle of
+    their prefixes are compared, so a short passage in very many of them costs the square of their number). A key of 64 / (radius // 2 + 1) bits should
     stay longer than the logarithm of the number of documents (radius 3 for the largest corpora).
     A null text has no words; null identifiers are larger than all others; other columns are ignored.
     """
@@ -288,30 +370,41 @@ def similar_groups(
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 found = [word_marks(t, seeds) for t in part.column(2).to_pylist()]
+                heads = [prefix(t, shingle, least_similarity, common) for t in part.column(2).to_pylist()]
                 content = pa.array([c for c, _ in found], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), content, pa.array([m for _, m in found], pa.list_(pa.int64()))], ["id", "text_hash", "content", "fps"])
+                lists = [pa.array(x, pa.list_(pa.int64())) for x in ([m for _, m in found], [h for h, _ in heads])]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), content, *lists, pa.array([n for _, n in heads], pa.int32())], ["id", "text_hash", "content", "fps", "prefix", "size"])
 
     source = documents.select(F.col(id_column).alias("id"), F.xxhash64(text_column).alias("text_hash"), F.col(text_column).alias("text"))
+    common = common_shingles(source, shingle)
     with arrow_rows(documents.sparkSession, 1000):
-        marked = materialize(source.mapInArrow(marks, f"id {id_type}, text_hash bigint, content binary, fps array<bigint>").withColumn("rid", F.monotonically_increasing_id()))
+        marked = materialize(source.mapInArrow(marks, f"id {id_type}, text_hash bigint, content binary, fps array<bigint>, prefix array<bigint>, size int").withColumn("rid", F.monotonically_increasing_id()))
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "rid", "text_hash")).alias("first")
-    nodes = materialize(marked.groupBy("content").agg(first, F.first("fps").alias("fps")).withColumn("node", F.monotonically_increasing_id()))
+    nodes = materialize(marked.groupBy("content").agg(first, F.first("fps").alias("fps")).withColumn("node", F.col("first.rid")))
     rows = nodes.select("node", F.posexplode("fps").alias("t", "fp"))
     pairs = materialize(fingerprint_links(rows, radius, Stars(radius), bucket))
 
-    # the texts of the nodes that have a candidate, and only those
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "first"), "node")
-    found = source.join(wanted.select("node", F.col("first.id").alias("wanted_id"), F.col("first.text_hash").alias("wanted_hash")), F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("text_hash") == F.col("wanted_hash")))
-    texts = materialize(found.select("node", "text").dropDuplicates(["node"]))
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
-
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = [similarity(x, y, shingle) >= least_similarity for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    with arrow_rows(documents.sparkSession, 200):
-        links = materialize(both.select("a", "b", "left", "right").mapInArrow(verify, "a bigint, b bigint"))
+    def similar(pairs: DataFrame) -> DataFrame:
+        # the texts of the nodes that have a candidate, and only those
+        wanted = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "first"), "node"))
+        found = source.join(wanted.select("node", F.col("first.id").alias("wanted_id"), F.col("first.text_hash").alias("wanted_hash")), F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("text_hash") == F.col("wanted_hash")))
+        texts = materialize(found.select("node", "text").dropDuplicates(["node"]))
+        both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
+        with arrow_rows(documents.sparkSession, 200):
+            return materialize(both.select("a", "b", "left", "right").mapInArrow(verify, "a bigint, b bigint"))
+
+    links = similar(pairs)
+    labels = connected_components(links).select("node", F.col("component").alias("label"))
+    labelled = nodes.select("node").join(labels, "node", "left").select(F.col("node").alias("rid"), F.coalesce("label", "node").alias("label"))
+    heads = marked.select("rid", "size", "prefix").join(labelled, "rid").select("label", F.col("rid").alias("node"), "size", F.posexplode("prefix").alias("place", "key"))
+    dealt = heads.select("key", "label", "node", "size", "place").repartition("key").sortWithinPartitions("key", "label")
+    missed = similar(materialize(dealt.mapInArrow(shared_pairs(least_similarity), "a bigint, b bigint").distinct()))
+    links = materialize(links.union(missed))
     parts = connected_components(links)
     joined = nodes.select("content", "first", "node").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     firsts = joined.groupBy("component").agg(F.min("first").alias("head"))
