@@ -34,6 +34,18 @@ def test_blocks(spark):
     check(spark, rows)
 
 
+def test_large_group(spark):
+    """Several hundred copies of one text with single-word edits, of which many are below 0.8 of their hub."""
+    dice = random.Random(12)
+    words, rows = [f"w{dice.randrange(3000)}" for _ in range(200)], {}
+    for i in range(400):
+        copy = list(words)
+        for _ in range(dice.randrange(2, 8)):
+            copy[dice.randrange(len(copy))] = f"v{dice.randrange(10**6)}"
+        rows[i] = " ".join(copy)
+    check(spark, rows)
+
+
 def test_shared_pairs_by_chunks():
     keys = np.array([1, 1, 1, 2, 2, 3, 3, 3, 3])
     labels = np.array([0, 0, 1, 2, 2, 4, 5, 6, 6])
