@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomgrid.llm import language_id, line_dedup, packing, pii, simhash
@@ -31,10 +31,15 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five-word shingles, similarity 0.8 or more) the document with the smallest identifier."""
+    """Of each group of near-duplicates (five-word shingles, similarity 0.8 or more) the document with the smallest identifier:
+    one row, also of rows that repeat an identifier, or an identifier and a text."""
     groups = simhash.similar_groups(docs, seeds=3)
-    kept = groups.where("kept").select(F.col("doc_id").alias("kept_id"))
-    return docs.select(*COLUMNS).join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    kept = groups.where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
+    rows = docs.select(*COLUMNS, F.xxhash64("text").alias("text_hash"))
+    rows = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_hash") == F.col("kept_hash")), "left_semi")
+    # rows with the same identifier and text are in one group, of which one row is kept
+    same = Window.partitionBy("doc_id", "text_hash").orderBy("lang", "source")
+    return rows.withColumn("copy", F.row_number().over(same)).where("copy = 1").select(*COLUMNS)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -354,8 +354,9 @@ def shared_pairs(least: float, chunk: int = 1_000_000):
 def similar_groups(
     documents: DataFrame, shingle: int = 5, least_similarity: float = 0.8, radius: int = 5, seeds: int = 2, id_column: str = "doc_id", text_column: str = "text", bucket: int = BUCKET
 ) -> DataFrame:
-    """One row per document: ``<id>, component_id, kept``: groups of texts that chains of similarities of at least
-    ``least_similarity`` connect, named by their smallest identifier; ``kept`` is true for one row of a group.
+    """One row per document: ``<id>, component_id, kept, text_hash``: groups of texts that chains of similarities of at least
+    ``least_similarity`` connect, named by their smallest identifier; ``kept`` is true for one row of a group, and
+    ``text_hash`` (``xxhash64``) tells apart rows that repeat an identifier.
 
     Texts with the same words in order are one node. ``radius`` and ``seeds`` set how many pairs the first round sees: every
     pair that is seen is verified, and the second round finds all that it missed (texts that share a shingle of
@@ -409,4 +410,4 @@ def similar_groups(
     joined = nodes.select("content", "first", "node").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     firsts = joined.groupBy("component").agg(F.min("first").alias("head"))
     named = materialize(joined.join(firsts, "component").select("content", "head"))
-    return marked.join(named, "content").select(F.col("id").alias(id_column), F.col("head.id").alias("component_id"), (F.col("rid") == F.col("head.rid")).alias("kept"))
+    return marked.join(named, "content").select(F.col("id").alias(id_column), F.col("head.id").alias("component_id"), (F.col("rid") == F.col("head.rid")).alias("kept"), "text_hash")
