@@ -1,146 +1,54 @@
 """Removal of repeated passages by winnowing over line hashes, in DataFrame operations only.
 
-A text is a sequence of lines. Passages are also pasted into the middle of lines, so a line ends not only at a line feed
-but after some sentences too: those whose last letter is one of a to m, which about every other
-sentence is. That depends on nothing but the sentence, so a passage is cut alike wherever it stands.
-Blank lines are left out of the comparison. From each line starts a window: the
-fewest lines from there on that have ``min_words`` words. The window's minimum, the line of the smallest hash
-(the last of equal ones), is its fingerprint, and a run of lines with ``min_words`` words or more that occurs twice
-holds a whole window both times, so both occurrences have the same fingerprint for the same window: nothing
-of that length is missed. Windows of equal content are joined to their first occurrence, in the order of
-documents and lines, which gives positions that correspond: the two places of the fingerprint. From there
-the match is extended both ways while the lines stay equal, and the later run of lines is deleted.
-
-The join is by first occurrence, so a passage in a third of all documents gives one row per occurrence, not
-per pair; that occurrence's own rows are partially aggregated before they move. Lines travel as hashes; texts
-move once, to meet the runs that are deleted from them.
+Passages are pasted anywhere, also into the middle of a physical line, so the lines that are hashed are the ``gram`` words from
+each word on: they are cut alike wherever they stand. From every word starts a window of ``min_words`` words; the least
+of its lines' hashes is its fingerprint. Two equal windows have the same fingerprint, so nothing of that length is missed, and as
+windows beside each other mostly share theirs, few are selected: about two in ``min_words - gram + 2`` words.
+
+The fingerprints are the join keys. Those that occur at one place only, as nearly all do, are settled by a count, and so are the
+texts that have no other: they pass through. From each place of a shared fingerprint the match is extended both ways as far as
+windows have that fingerprint: such a run of windows is first compared whole; the windows of a fingerprint
+with several different runs are compared one by one, so an occurrence is held against all earlier ones, not only against the
+first. Windows that also occur earlier are united to runs of words, which are deleted.
+
+What moves: the fingerprints, the texts once, and again those with a shared fingerprint. Every join by a fingerprint
+or window is against a written table of one row a key, so Spark can split the rows of a frequent one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomgrid.llm.common import materialize
 
-#: Where lines end; each keeps what ends it. The first test is on one character, and fails at most of them.
-LINE_END = r"(?<=[\n ])(?<=\n|[a-mA-M][.!?] )"
 BLANKS = " \t\n\r\x0b\x0c"
-#: Parts among which the repeats of one source document are dealt.
-SALTS = 32
+#: Scripts that don't part words: Thai, Lao, Tibetan, Burmese, Khmer, kana and Han.
+ALONE = r"[฀-႟ក-៿぀-ヿ㐀-䶿一-鿿豈-﫿\x{20000}-\x{3FFFF}]"
+#: Where words end: before what follows white space, and on both sides of each character of those scripts.
+SPACE_END = r"(?<=[\x20\x09-\x0D])(?![\x20\x09-\x0D])"
+WORD_END = rf"{SPACE_END}|(?<={ALONE})(?![\x20\x09-\x0D])|(?={ALONE})"
 
 
 def _doc(id_column: str, text_column: str) -> Column:
     """A document's place in the corpus: by identifier, null ones first. Rows that repeat both identifier and
     text are one document."""
-    return F.struct(F.col(id_column).alias("id"), F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))).alias("content"))
+    return F.struct(F.col(f"`{id_column}`").alias("id"), F.xxhash64(F.coalesce(F.col(f"`{text_column}`"), F.lit(""))).alias("content"))
 
 
-def words_in(line: Column) -> Column:
-    """One more than the spaces within the line; none if it is blank."""
-    inner = F.btrim(line, F.lit(BLANKS))
-    return F.when(inner == "", 0).otherwise(F.length(inner) - F.length(F.replace(inner, F.lit(" "), F.lit(""))) + 1)
-
-
-def line_table(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``n, doc`` and parallel arrays over the lines that aren't blank: their places in the text, hashes and words.
-    Of rows that repeat an identifier and a text there is one."""
-    lines = F.transform(
-        F.split(F.col(text_column), LINE_END),
-        lambda x, i: F.struct(i.alias("place"), F.xxhash64(F.btrim(x, F.lit(BLANKS))).alias("hash"), words_in(x).cast("int").alias("words")),
-    )
-    full = documents.where(F.col(text_column).isNotNull()).select(
-        F.monotonically_increasing_id().alias("n"), _doc(id_column, text_column).alias("doc"), F.filter(lines, lambda x: x.words > 0).alias("lines")
-    )
-    table = materialize(full.select("n", "doc", *(F.col(f"lines.{c}").alias(c) for c in ("place", "hash", "words"))).where(F.size("hash") > 0))
-    first = table.groupBy("doc").agg(F.min("n").alias("n"), F.count(F.lit(1)).alias("rows"))
-    repeats = table.select("n", "doc").join(first.where("rows > 1").select("doc", F.col("n").alias("first_n")), "doc").where("n <> first_n")
-    return table.join(repeats.select("n"), "n", "left_anti")
-
-
-def windows(lines: DataFrame, min_words: int) -> DataFrame:
-    """``n, doc, at, mark, key``: each complete window's first line, fingerprint line and content, in numbers of
-    lines that aren't blank."""
-    each = lines.select("n", "doc", F.posexplode(F.arrays_zip("hash", "words")).alias("at", "line")).select("n", "doc", "at", "line.hash", "line.words")
-    before = F.sum("words").over(Window.partitionBy("n").orderBy("at").rowsBetween(Window.unboundedPreceding, -1))
-    each = each.withColumn("before", F.coalesce(before, F.lit(0)).cast("bigint"))
-    # a line belongs to a window if fewer than min_words words of the window stand before it
-    frame = Window.partitionBy("n").orderBy("before").rangeBetween(Window.currentRow, min_words - 1)
-    return (
-        each.select("n", "doc", "at", F.sum("words").over(frame).alias("total"), F.collect_list("hash").over(frame).alias("content"))
-        .where(F.col("total") >= min_words)
-        .select("n", "doc", "at", F.xxhash64("content", F.size("content")).alias("key"), F.col("content"))
-        .select("n", "doc", "at", "key", (F.col("at") + F.size("content") - F.array_position(F.reverse("content"), F.array_min("content")).cast("int")).alias("mark"))
-    )
-
-
-def repeated_runs(lines: DataFrame, min_words: int) -> DataFrame:
-    """``doc, first, last``: places of the lines that begin and end each repeated run to delete."""
-    found = windows(lines, min_words).drop("n")
-    # written, so that the join below deals both sides anew and Spark can split the rows of a frequent window
-    firsts = materialize(
-        found.groupBy("key")
-        .agg(F.min(F.struct("doc", "at", "mark")).alias("origin"), F.count(F.lit(1)).alias("occurrences"))
-        .where("occurrences > 1")
-        .select("key", "origin")
-    )
-    later = found.join(firsts, "key").where(F.struct("doc", "at") > F.struct("origin.doc", "origin.at"))
-    salt = F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int")
-    pairs = materialize(later.select("doc", "mark", F.col("origin.doc").alias("source"), F.col("origin.mark").alias("source_mark")).distinct().withColumn("salt", salt))
-    hashes = lines.select("doc", "hash", "place")
-    # a third of the corpus may repeat one document: the sources' own lines are copied under each salt
-    sources = hashes.select(F.col("doc").alias("source"), F.col("hash").alias("source_hash")).join(pairs.select("source").distinct(), "source", "left_semi")
-    sources = sources.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    both = pairs.join(sources, ["source", "salt"]).join(hashes, "doc")
-
-    def equal_ahead(left: Column, right: Column) -> Column:
-        """How many leading elements are equal."""
-        same = F.zip_with(left, right, lambda x, y: F.coalesce(x == y, F.lit(False)))
-        place = F.array_position(same, F.lit(False))
-        return F.when(place > 0, place - 1).otherwise(F.size(same))
-
-    ahead = equal_ahead(F.slice("hash", F.col("mark") + 1, F.size("hash")), F.slice("source_hash", F.col("source_mark") + 1, F.size("source_hash")))
-    behind = equal_ahead(F.reverse(F.slice("hash", F.lit(1), F.col("mark"))), F.reverse(F.slice("source_hash", F.lit(1), F.col("source_mark"))))
-    runs = both.select("doc", "place", (F.col("mark") - behind).cast("int").alias("start"), (F.col("mark") + ahead).cast("int").alias("stop"))
-    return runs.select("doc", F.element_at("place", F.col("start") + 1).alias("first"), F.element_at("place", F.col("stop")).alias("last")).distinct()
-
-
-def dedup_lines(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = 40) -> DataFrame:
-    """The rows and columns of ``documents``, repeated passages deleted from the text, and ``n_removed, removed``
-    (how many lines are deleted, and which: first-last pairs from 0).
-
-    A passage is a run of whole lines with ``min_words`` words or more that also occurs earlier, in a document with
-    a smaller identifier or earlier in the same text. A line ends with a line feed or after a sentence
-    as told above. Lines are equal if they are so without white space at their ends; blank lines don't count as lines of a run, and those within one go with it. Every deleted line
-    stays in its first place. A null text stays null; rows that repeat an identifier and a
-    text are treated alike, as one document. Other columns pass through; columns named
-    ``n_removed`` or ``removed`` are replaced.
-    """
-    lines = line_table(documents, id_column, text_column)
-    runs = repeated_runs(lines, min_words).groupBy(F.col("doc").alias("__doc")).agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("__runs"))
-    columns = [F.col(f"`{c}`") for c in documents.columns if c not in ("n_removed", "removed")]
-    rows = documents.select(*columns, _doc(id_column, text_column).alias("__doc")).join(runs, "__doc", "left")
-    split = F.split(F.col(text_column), LINE_END)
-    kept = F.filter(split, lambda x, i: ~F.exists("__runs", lambda r: (i >= r["first"]) & (i <= r["last"])))
-    rows = rows.withColumn("__kept", F.when(F.col("__runs").isNotNull(), kept))  # texts without runs aren't split again
-    text = F.when(F.col("__runs").isNull(), F.col(text_column)).otherwise(F.array_join("__kept", ""))
-    out = [(text if c == text_column else F.col(f"`{c}`")).alias(c) for c in documents.columns if c not in ("n_removed", "removed")]
-    removed = F.aggregate("__runs", F.struct(F.lit(-1).alias("last"), F.lit(0).alias("n")), lambda acc, r: F.struct(F.greatest(acc["last"], r["last"]).alias("last"), (acc["n"] + F.greatest(F.lit(0), r["last"] - F.greatest(acc["last"] + 1, r["first"]) + 1)).alias("n")))
-    return rows.select(
-        *out,
-        F.coalesce(removed["n"], F.lit(0)).cast("bigint").alias("n_removed"),
-        F.coalesce(F.array_join(F.transform("__runs", lambda r: F.concat_ws("-", r["first"], r["last"])), ","), F.lit("")).alias("removed"),
-    )
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
 
 
-_ALONE = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
-#: Where words end: before what follows white space, and on both sides of each character of the scripts that don't part words.
-WORD_END = rf"(?<=[\x20\x09-\x0D])(?![\x20\x09-\x0D])|(?<={_ALONE})(?![\x20\x09-\x0D])|(?={_ALONE})"
+def pieces(text: Column) -> Column:
+    """A text's words, each with the white space after it; the first may be blank. The costly expression is only for texts that need it."""
+    return F.when((F.octet_length(text) > F.length(text)) & text.rlike(ALONE), F.split(text, WORD_END)).otherwise(F.split(text, SPACE_END))
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.transform(F.array(value), body)[0]
+def lead(pieces: Column) -> Column:
+    """How many pieces at the beginning are blank."""
+    return F.when(F.btrim(F.get(pieces, F.lit(0)), F.lit(BLANKS)) == "", 1).otherwise(0)
 
 
 def _over(values: Column, size: int, both) -> Column:
@@ -156,23 +64,53 @@ def _over(values: Column, size: int, both) -> Column:
     return folded(values, 1)
 
 
-def _window_runs(words: Column, min_words: int, gram: int) -> Column:
-    """Arrays of ``mark, at, keys, again``: the windows of ``min_words`` words in runs of consecutive ones with the same mark,
-    the least hash of their ``gram`` words in a row. ``again`` tells that the text repeats such words itself."""
+def _winnowed(text: Column, min_words: int, gram: int, body) -> Column:
+    """``body`` of a text's blank pieces, word hashes, line hashes and window minima; null for less than a window."""
     hashed = lambda x, y: F.xxhash64(x, y)
+    words = lambda p: F.transform(F.slice(p, lead(p) + 1, F.size(p)), lambda x: F.xxhash64(F.btrim(x, F.lit(BLANKS))))
+    inner = lambda p, h: _let(_over(h, gram, hashed), lambda g: _let(_over(g, min_words - gram + 1, lambda x, y: F.least(x, y)), lambda m: body(p, h, g, m)))
+    return _let(pieces(text), lambda p: _let(words(p), lambda h: F.when(F.size(h) >= min_words, inner(p, h))))
+
+
+def fingerprints(text: Column, min_words: int, gram: int) -> Column:
+    """The distinct window minima of a text; those whose line it repeats itself are named twice."""
+
+    def marks(p: Column, h: Column, g: Column, m: Column) -> Column:
+        repeated = _let(F.sort_array(g), lambda s: F.filter(s, lambda x, i: x == F.get(s, i + 1)))
+        again = F.when(F.size(F.array_distinct(g)) < F.size(g), repeated)
+        return _let(F.array_distinct(m), lambda d: F.coalesce(F.concat(d, F.array_intersect(d, again)), d))
+
+    return _winnowed(text, min_words, gram, marks)
+
+
+def window_runs(text: Column, min_words: int, gram: int) -> Column:
+    """Arrays of ``mark, at, keys``: windows one after the other with the same minimum, from the piece ``at`` on, and their hashes."""
 
-    def runs(keys: Column, grams: Column, marks: Column) -> Column:
-        again = F.size(F.array_distinct(grams)) < F.size(grams)
-        starts = F.filter(F.sequence(F.lit(0), F.size(marks) - 1), lambda i: (i == 0) | (F.get(marks, i) != F.get(marks, i - 1)))
-        each = lambda starts, again: F.transform(
-            starts, lambda s, k: F.struct(F.get(marks, s).alias("mark"), s.alias("at"), F.slice(keys, s + 1, F.coalesce(F.get(starts, k + 1), F.size(marks)) - s).alias("keys"), again.alias("again"))
-        )
-        return _let(starts, lambda s: _let(again, lambda a: each(s, a)))
+    def runs(p: Column, h: Column, g: Column, m: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(m) - 1), lambda i: (i == 0) | (F.get(m, i) != F.get(m, i - 1)))
+        run = lambda k, s, at, i: F.struct(F.get(m, at).alias("mark"), (lead(p) + at).alias("at"), F.slice(k, at + 1, F.coalesce(F.get(s, i + 1), F.size(m)) - at).alias("keys"))
+        return _let(_over(h, min_words, lambda x, y: F.xxhash64(x, y)), lambda k: _let(starts, lambda s: F.transform(s, lambda at, i: run(k, s, at, i))))
 
-    inner = lambda h: _let(
-        _over(h, gram, hashed), lambda g: _let(_over(g, min_words - gram + 1, lambda x, y: F.least(x, y)), lambda m: _let(_over(h, min_words, hashed), lambda keys: runs(keys, g, m)))
+    return _winnowed(text, min_words, gram, runs)
+
+
+def repeated_windows(texts: DataFrame, min_words: int, gram: int) -> DataFrame:
+    """``doc, s, e``: the first words (first and last in a row) of windows of ``texts(doc, text)`` that also occur earlier."""
+    runs = texts.select("doc", F.explode(window_runs(F.col("text"), min_words, gram)).alias("run"))
+    runs = materialize(runs.select("run.mark", F.xxhash64("run.keys").alias("whole"), "doc", "run.at", F.size("run.keys").alias("n"), "run.keys"))
+    place = F.struct("doc", "at")
+    distinct = materialize(
+        runs.groupBy("mark", "whole", "n")
+        .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("rows"), F.any_value("keys").alias("keys"))
+        .withColumn("again", F.size(F.array_distinct("keys")) < F.size("keys"))
     )
-    return _let(words, lambda h: F.when(F.size(h) >= min_words, inner(h)))
+    whole = runs.select("mark", "whole", "n", "doc", "at").join(distinct.where("rows > 1").select("mark", "whole", "n", "first"), ["mark", "whole", "n"])
+    whole = whole.where(place > F.col("first")).select("doc", F.col("at").alias("s"), (F.col("at") + F.col("n") - 1).alias("e"))
+    several = materialize(distinct.groupBy("mark").agg(F.count(F.lit(1)).alias("runs"), F.max("again").alias("again")).where("runs > 1 OR again").select("mark"))
+    each = distinct.join(several, "mark").select("mark", F.posexplode("keys").alias("k", "key"), "first.doc", "first.at").select("mark", "key", "doc", (F.col("at") + F.col("k")).alias("at"))
+    firsts = materialize(each.groupBy("mark", "key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1").select("mark", "key", "first"))
+    single = each.join(firsts, ["mark", "key"]).where(place > F.col("first")).select("doc", F.col("at").alias("s"), F.col("at").alias("e"))
+    return whole.union(single)
 
 
 def dedup_passages(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = 40, gram: int = 8) -> DataFrame:
@@ -180,39 +118,42 @@ def dedup_passages(documents: DataFrame, id_column: str = "doc_id", text_column:
     (how many words are deleted, and which: first-last pairs from 0).
 
     A word is deleted if it belongs to ``min_words`` words in a row that also occur earlier, in a document with a smaller
-    identifier or earlier in the same text, wherever they start and end. Words are parted by white space; each character of
-    a script without spaces is one. The white space after a deleted word goes with it. A null text stays null; rows
-    that repeat an identifier and a text are treated alike, as one document. Other columns pass through; columns
-    named ``n_removed`` or ``removed`` are replaced.
-
-    Windows travel under the least hash of ``gram`` words within them, which equal windows have in common, so
-    a mark that occurs once, as most do, ends there. The windows of the others are compared, all of them.
+    identifier (null ones first) or earlier in the same text, wherever they start and end; shorter repeats stay, and a smaller
+    ``min_words`` finds them as exactly (down to 1: every word that occurred before). Words are parted by white space; each character of
+    a script without spaces is one. The white space after a deleted word goes with it. A null text stays null, an empty or blank one as
+    it is; rows that repeat an identifier and a text are treated alike, as one document; of equal texts under different identifiers the
+    first stays. A text is held by one task as arrays of its words' hashes, whatever its length; nothing holds two texts. Other columns pass
+    through, whatever their names; columns named ``n_removed`` or ``removed`` are replaced. An empty table gives an empty one.
     """
     gram = min(gram, min_words)
-    split = F.split(F.col(text_column), WORD_END)
-    # only the first piece can be blank
-    blank = F.when(F.btrim(F.get(F.col("__pieces"), F.lit(0)), F.lit(BLANKS)) == "", 1).otherwise(0)
-    words = F.transform(F.slice("__pieces", F.col("__lead") + 1, F.size("__pieces")), lambda x: F.xxhash64(F.btrim(x, F.lit(BLANKS))))
-    texts = documents.where(F.length(text_column) >= min_words).select(_doc(id_column, text_column).alias("doc"), F.monotonically_increasing_id().alias("n"), split.alias("__pieces"))
-    texts = texts.select("doc", "n", "__pieces", blank.alias("__lead"))
-    runs = texts.where("n >= 0").select("doc", "__lead", F.explode(_window_runs(words, min_words, gram)).alias("run")).select("doc", "__lead", "run.*")
-    shared = runs.withColumn("rows", F.count(F.lit(1)).over(Window.partitionBy("mark"))).where("rows > 1 OR again")
-    each = shared.select("mark", "doc", "__lead", "at", F.posexplode("keys").alias("k", "key")).select("mark", "key", "doc", (F.col("__lead") + F.col("at") + F.col("k")).alias("at"))
-    place = F.struct("doc", "at")
-    later = each.withColumn("first", F.min(place).over(Window.partitionBy("mark", "key"))).where(place > F.col("first"))
-    found = later.groupBy(F.col("doc").alias("__doc")).agg(F.array_sort(F.collect_set("at")).alias("s"))
-    ends = F.filter("s", lambda x, i: F.coalesce(F.get("s", i + 1) > x + min_words, F.lit(True)))
-    starts = F.filter("s", lambda x, i: (i == 0) | (F.get("s", i - 1) + min_words < x))
-    ranges = found.select("__doc", F.zip_with(starts, ends, lambda x, y: F.struct(x.alias("first"), (y + min_words - 1).alias("last"))).alias("__runs"))
-
     kept = [c for c in documents.columns if c not in ("n_removed", "removed")]
-    rows = documents.select(*(F.col(f"`{c}`") for c in kept), _doc(id_column, text_column).alias("__doc")).join(ranges, "__doc", "left")
-    # what stands before, between and after the runs
-    left = F.filter(split, lambda x, i: ~F.exists("__runs", lambda r: (i >= r["first"]) & (i <= r["last"])))
-    text = F.when(F.col("__runs").isNull(), F.col(text_column)).otherwise(F.array_join(left, ""))
-    removed = F.aggregate("__runs", F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1)
-    return rows.select(
-        *((text if c == text_column else F.col(f"`{c}`")).alias(c) for c in kept),
-        F.coalesce(removed, F.lit(0)).cast("bigint").alias("n_removed"),
-        F.coalesce(F.array_join(F.transform("__runs", lambda r: F.concat_ws("-", r["first"], r["last"])), ","), F.lit("")).alias("removed"),
-    )
+    rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"), _doc(id_column, text_column).alias("doc"))
+    text = F.col("row").getField(text_column)
+    # n spares the exchanges below the longer place of a document
+    marked = materialize(rows.where(F.length(text) >= min_words).select(F.monotonically_increasing_id().alias("n"), "doc", fingerprints(text, min_words, gram).alias("marks")).where("marks IS NOT NULL"))
+    each = marked.select("n", F.explode("marks").alias("mark"))
+    shared = materialize(each.groupBy("mark").count().where("count > 1").select("mark"))
+    with_shared = each.join(shared, "mark").select("n").distinct()
+    some = materialize(marked.select("n", "doc").join(with_shared, "n").select("doc").distinct().withColumn("some", F.lit(True)))
+    rows = materialize(rows.join(some, "doc", "left"))
+
+    found = repeated_windows(rows.where("some").select("doc", text.alias("text")), min_words, gram)
+    found = found.groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("w"))
+    ends = F.filter("w", lambda x, i: F.coalesce(F.get("w", i + 1)["s"] > x["e"] + min_words, F.lit(True)))
+    starts = F.filter("w", lambda x, i: F.coalesce(F.get("w", i - 1)["e"] + min_words < x["s"], F.lit(True)))
+    runs = materialize(found.select("doc", F.zip_with(starts, ends, lambda x, y: F.struct(x["s"].alias("first"), (y["e"] + min_words - 1).alias("last"))).alias("runs")))
+
+    def left(p: Column) -> Column:
+        """What stands before, between and after the runs."""
+        r = F.col("runs")
+        begin = lambda i: F.coalesce(F.get(r, i - 1)["last"] + 1, F.lit(0))
+        return F.transform(F.sequence(F.lit(0), F.size(r)), lambda i: F.array_join(F.slice(p, begin(i) + 1, F.coalesce(F.get(r, i)["first"], F.size(p)) - begin(i)), ""))
+
+    def columns(text: Column, removed: Column, named: Column) -> list[Column]:
+        return [*((text if c == text_column else F.col("row").getField(c)).alias(c) for c in kept), removed.cast("bigint").alias("n_removed"), named.alias("removed")]
+
+    removed = F.aggregate("runs", F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1)
+    named = F.array_join(F.transform("runs", lambda r: F.concat_ws("-", r["first"], r["last"])), ",")
+    cut = F.when(F.col("runs").isNull(), text).otherwise(F.array_join(_let(pieces(text), left), ""))
+    changed = rows.where("some").join(runs, "doc", "left").select(*columns(cut, F.coalesce(removed, F.lit(0)), F.coalesce(named, F.lit(""))))
+    return rows.where("some IS NULL").select(*columns(text, F.lit(0), F.lit(""))).union(changed)

@@ -8,7 +8,7 @@ import re
 import pytest
 
 from loomgrid.llm import components as cc
-from loomgrid.llm import exact_dedup, line_dedup, simhash
+from loomgrid.llm import exact_dedup, simhash
 
 from .conftest import components
 
@@ -109,61 +109,3 @@ def test_similar_groups(documents, odd, bucket):
     assert all(r.kept == (r.doc_id == r.component_id) for r in found)
     out = simhash.similar_groups(odd, bucket=bucket).collect()
     assert len(out) == odd.count() and sum(r.kept for r in out) == len({(r.component_id) for r in out})
-
-
-def cut(text):
-    return re.split(r"(?<=\n)|(?<=[a-mA-M][.!?] )", text)
-
-
-def lines_brute(rows, min_words):
-    """For documents in order: places of the lines in runs that match the first occurrence of one of their windows."""
-    table = []
-    for i, text in sorted(rows, key=lambda r: r[0]):
-        if text is not None:
-            lines = [x.strip(" \t\n\r\x0b\x0c") for x in cut(text)]
-            table.append((i, [(p, x, x.count(" ") + 1) for p, x in enumerate(lines) if x]))
-    first, out = {}, {}
-    for n, (i, lines) in enumerate(table):
-        for s in range(len(lines)):
-            words, e = 0, s
-            while e < len(lines) and words < min_words:
-                words += lines[e][2]
-                e += 1
-            if words < min_words:
-                continue
-            content = tuple(x[1] for x in lines[s:e])
-            if content not in first:
-                first[content] = (n, s)
-                continue
-            m, t = first[content]
-            source, a, b, x, y = table[m][1], s, t, e, t + e - s
-            while a > 0 and b > 0 and lines[a - 1][1] == source[b - 1][1]:
-                a, b = a - 1, b - 1
-            while x < len(lines) and y < len(source) and lines[x][1] == source[y][1]:
-                x, y = x + 1, y + 1
-            out.setdefault(i, set()).update(range(lines[a][0], lines[x - 1][0] + 1))
-    return out
-
-
-@pytest.mark.parametrize("min_words", [5, 40])
-def test_lines(spark, documents, min_words):
-    passage = "\n".join(f"line {i} of a passage that many documents share" for i in range(9))
-    rows = [(r.doc_id, r.text) for r in documents.collect()]
-    words = " ".join(f"the passage goes on with clause {i} and then some more of it at the end." for i in range(9))
-    rows += [(1100 + i, f"Own words {i} come before it {words} And own words {i} come after.") for i in range(4)]
-    rows += [(1000 + i, f"own start {i}\n{passage}\n\nown end {i}") for i in range(6)] + [(1010, passage + "\n" + passage), (1011, None), (1012, ""), (1013, "x\r\nx"), (1014, "nul\0 here. And a.\0b. \1 c"), (1015, "nul\0 here. And a.\0b. \1 c")]
-    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), min_words=min_words).collect()
-    gone, texts = lines_brute(rows, min_words), dict(rows)
-    assert len(out) == len(rows)
-    for r in out:
-        lines = None if texts[r.doc_id] is None else cut(texts[r.doc_id])
-        dead = gone.get(r.doc_id, set())
-        assert r.text == (None if lines is None else "".join(x for p, x in enumerate(lines) if p not in dead))
-        assert r.n_removed == len(dead)
-    assert {1001, 1005, 1010, 1101, 1103} <= {r.doc_id for r in out if r.n_removed} and not next(r for r in out if r.doc_id == 1000).n_removed
-
-
-def test_lines_edges(odd, empty):
-    out = line_dedup.dedup_lines(odd)
-    assert out.count() == odd.count() and out.columns == [*odd.columns, "n_removed", "removed"]
-    assert line_dedup.dedup_lines(empty).collect() == []

@@ -54,3 +54,32 @@ def test_passages_edges(spark, odd, empty):
     text = " ".join(map(str, range(50)))
     twice = spark.createDataFrame([(1, text), (1, text), (None, "x " + text), (None, "x " + text)], "doc_id bigint, text string")
     assert sorted((r.doc_id or 0, r.n_removed) for r in line_dedup.dedup_passages(twice).collect()) == [(0, 0), (0, 0), (1, 50), (1, 50)]
+
+
+def test_very_long_texts(spark):
+    """Two texts of 64,000 lines that are alike but for an edit and what is before it; one text that repeats itself throughout."""
+    dice = random.Random(6)
+    lines = [" ".join(f"w{dice.randrange(10**6)}" for _ in range(5)) for _ in range(64_000)]
+    other = ["one more line", *lines]
+    other[32_000] = "something else altogether"
+    rows = [(1, "\n".join(lines)), (2, "\n".join(other)), (3, "again and again " * 20_000)]
+    out = {r.doc_id: r for r in line_dedup.dedup_passages(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()}
+    assert out[1].text == rows[0][1] and out[2].text == "one more line\nsomething else altogether\n"
+    assert out[2].n_removed == 63_999 * 5 and out[3].text.split() == ["again", "and", "again"] and out[3].n_removed == 59_997
+
+
+def test_one_common_passage(spark):
+    """A passage in very many texts, each with other words around it, and copies of one text."""
+    dice = random.Random(7)
+    fresh = lambda n: [f"w{dice.randrange(10**9)}" for _ in range(n)]
+    passage, text = fresh(60), " ".join(fresh(100))
+    rows = [(i, " ".join([*fresh(30), *passage, *fresh(30)])) for i in range(500)] + [(i, text) for i in range(500, 900)]
+    out = {r.doc_id: r.n_removed for r in line_dedup.dedup_passages(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)).collect()}
+    assert out == {i: 0 if i in (0, 500) else 60 if i < 500 else 100 for i in range(900)}
+
+
+def test_clashing_names(spark):
+    rows = [(i, f"x{i} " + " ".join(map(str, range(50))), 1, 2, 3, 4, 5) for i in range(2)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, row int, doc int, some int, runs int, `a.b` int")
+    out = sorted(line_dedup.dedup_passages(table).collect())
+    assert [tuple(r) for r in out] == [(*rows[0], 0, ""), (1, "x1 ", 1, 2, 3, 4, 5, 50, "1-50")]
