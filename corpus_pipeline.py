@@ -26,7 +26,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later repetitions of passages are deleted; documents of which nothing is left go."""
-    cleaned = line_dedup.dedup_lines(docs.select(*COLUMNS))
+    cleaned = line_dedup.dedup_passages(docs.select(*COLUMNS))
     return _with_text_of(cleaned.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")))
 
 
