@@ -20,11 +20,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomgrid.llm.common import materialize
+from loomgrid.llm.common import SPACE_CLASS, materialize
 
 BLANKS = " \t\n\r\x0b\x0c"
 #: Scripts that don't part words: Thai, Lao, Tibetan, Burmese, Khmer, kana and Han.
 ALONE = r"[฀-႟ក-៿぀-ヿ㐀-䶿一-鿿豈-﫿\x{20000}-\x{3FFFF}]"
+#: Texts that have nothing beyond the first of them, found at less cost.
+LOW = r"^[\x00-\u0DFF]*+\z"
 #: Where words end: before what follows white space, and on both sides of each character of those scripts.
 SPACE_END = r"(?<=[\x20\x09-\x0D])(?![\x20\x09-\x0D])"
 WORD_END = rf"{SPACE_END}|(?<={ALONE})(?![\x20\x09-\x0D])|(?={ALONE})"
@@ -41,14 +43,29 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _alone(text: Column) -> Column:
+    return (F.octet_length(text) > F.length(text)) & ~text.rlike(LOW) & text.rlike(ALONE)
+
+
 def pieces(text: Column) -> Column:
-    """A text's words, each with the white space after it; the first may be blank. The costly expression is only for texts that need it."""
-    return F.when((F.octet_length(text) > F.length(text)) & text.rlike(ALONE), F.split(text, WORD_END)).otherwise(F.split(text, SPACE_END))
+    """A text's words, each with the white space after it; what is blank before the first is a piece too."""
+    return F.when(_alone(text), F.split(text, WORD_END)).otherwise(F.split(text, SPACE_END))
 
 
-def lead(pieces: Column) -> Column:
+def lead(text: Column) -> Column:
     """How many pieces at the beginning are blank."""
-    return F.when(F.btrim(F.get(pieces, F.lit(0)), F.lit(BLANKS)) == "", 1).otherwise(0)
+    return F.when(F.instr(F.lit(BLANKS), F.substring(text, 1, 1)) > 0, 1).otherwise(0)
+
+
+def word_hashes(text: Column) -> Column:
+    """The costly expression is only for texts with the scripts that need it."""
+    trimmed = F.btrim(text, F.lit(BLANKS))
+    cut = F.filter(F.split(text, WORD_END), lambda x: F.rtrim(x, F.lit(BLANKS)) != "")
+    return (
+        F.when(trimmed == "", F.array().cast("array<bigint>"))
+        .when(_alone(text), F.transform(cut, lambda x: F.xxhash64(F.rtrim(x, F.lit(BLANKS)))))
+        .otherwise(F.transform(F.split(trimmed, SPACE_CLASS + "+"), lambda x: F.xxhash64(x)))
+    )
 
 
 def _over(values: Column, size: int, both) -> Column:
@@ -65,17 +82,18 @@ def _over(values: Column, size: int, both) -> Column:
 
 
 def _winnowed(text: Column, min_words: int, gram: int, body) -> Column:
-    """``body`` of a text's blank pieces, word hashes, line hashes and window minima; null for less than a window."""
-    hashed = lambda x, y: F.xxhash64(x, y)
-    words = lambda p: F.transform(F.slice(p, lead(p) + 1, F.size(p)), lambda x: F.xxhash64(F.btrim(x, F.lit(BLANKS))))
-    inner = lambda p, h: _let(_over(h, gram, hashed), lambda g: _let(_over(g, min_words - gram + 1, lambda x, y: F.least(x, y)), lambda m: body(p, h, g, m)))
-    return _let(pieces(text), lambda p: _let(words(p), lambda h: F.when(F.size(h) >= min_words, inner(p, h))))
+    """``body`` of a text's word hashes, line hashes and window minima; null for less than a window. Line hashes only have to
+    be alike where lines are: what decides is the hash of the window."""
+    mixed = lambda x, y: x.bitwiseXOR(F.shiftleft(y, 5))
+    less = lambda x, y: F.when(x < y, x).otherwise(y)
+    inner = lambda h: _let(_over(h, gram, mixed), lambda g: _let(_over(g, min_words - gram + 1, less), lambda m: body(h, g, m)))
+    return _let(word_hashes(text), lambda h: F.when(F.size(h) >= min_words, inner(h)))
 
 
 def fingerprints(text: Column, min_words: int, gram: int) -> Column:
     """The distinct window minima of a text; those whose line it repeats itself are named twice."""
 
-    def marks(p: Column, h: Column, g: Column, m: Column) -> Column:
+    def marks(h: Column, g: Column, m: Column) -> Column:
         repeated = _let(F.sort_array(g), lambda s: F.filter(s, lambda x, i: x == F.get(s, i + 1)))
         again = F.when(F.size(F.array_distinct(g)) < F.size(g), repeated)
         return _let(F.array_distinct(m), lambda d: F.coalesce(F.concat(d, F.array_intersect(d, again)), d))
@@ -86,9 +104,9 @@ def fingerprints(text: Column, min_words: int, gram: int) -> Column:
 def window_runs(text: Column, min_words: int, gram: int) -> Column:
     """Arrays of ``mark, at, keys``: windows one after the other with the same minimum, from the piece ``at`` on, and their hashes."""
 
-    def runs(p: Column, h: Column, g: Column, m: Column) -> Column:
+    def runs(h: Column, g: Column, m: Column) -> Column:
         starts = F.filter(F.sequence(F.lit(0), F.size(m) - 1), lambda i: (i == 0) | (F.get(m, i) != F.get(m, i - 1)))
-        run = lambda k, s, at, i: F.struct(F.get(m, at).alias("mark"), (lead(p) + at).alias("at"), F.slice(k, at + 1, F.coalesce(F.get(s, i + 1), F.size(m)) - at).alias("keys"))
+        run = lambda k, s, at, i: F.struct(F.get(m, at).alias("mark"), (lead(text) + at).alias("at"), F.slice(k, at + 1, F.coalesce(F.get(s, i + 1), F.size(m)) - at).alias("keys"))
         return _let(_over(h, min_words, lambda x, y: F.xxhash64(x, y)), lambda k: _let(starts, lambda s: F.transform(s, lambda at, i: run(k, s, at, i))))
 
     return _winnowed(text, min_words, gram, runs)
@@ -96,7 +114,8 @@ def window_runs(text: Column, min_words: int, gram: int) -> Column:
 
 def repeated_windows(texts: DataFrame, min_words: int, gram: int) -> DataFrame:
     """``doc, s, e``: the first words (first and last in a row) of windows of ``texts(doc, text)`` that also occur earlier."""
-    runs = texts.select("doc", F.explode(window_runs(F.col("text"), min_words, gram)).alias("run"))
+    # a condition on the array, also one that explode infers, would have it computed twice
+    runs = texts.select("doc", F.explode_outer(window_runs(F.col("text"), min_words, gram)).alias("run")).where("run IS NOT NULL")
     runs = materialize(runs.select("run.mark", F.xxhash64("run.keys").alias("whole"), "doc", "run.at", F.size("run.keys").alias("n"), "run.keys"))
     place = F.struct("doc", "at")
     distinct = materialize(
@@ -130,7 +149,7 @@ def dedup_passages(documents: DataFrame, id_column: str = "doc_id", text_column:
     rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"), _doc(id_column, text_column).alias("doc"))
     text = F.col("row").getField(text_column)
     # n spares the exchanges below the longer place of a document
-    marked = materialize(rows.where(F.length(text) >= min_words).select(F.monotonically_increasing_id().alias("n"), "doc", fingerprints(text, min_words, gram).alias("marks")).where("marks IS NOT NULL"))
+    marked = materialize(rows.where(F.length(text) >= min_words).select(F.monotonically_increasing_id().alias("n"), "doc", fingerprints(text, min_words, gram).alias("marks")))
     each = marked.select("n", F.explode("marks").alias("mark"))
     shared = materialize(each.groupBy("mark").count().where("count > 1").select("mark"))
     with_shared = each.join(shared, "mark").select("n").distinct()
