@@ -86,7 +86,9 @@ def _winnowed(text: Column, min_words: int, gram: int, body) -> Column:
     be alike where lines are: what decides is the hash of the window."""
     mixed = lambda x, y: x.bitwiseXOR(F.shiftleft(y, 5))
     less = lambda x, y: F.when(x < y, x).otherwise(y)
-    inner = lambda h: _let(_over(h, gram, mixed), lambda g: _let(_over(g, min_words - gram + 1, less), lambda m: body(h, g, m)))
+    lines = 1 << (min_words - gram + 1).bit_length() - 1  # of a window's first lines, as many as a power of two
+    window = lambda m: F.slice(m, 1, F.size(m) - (min_words - gram + 1 - lines))
+    inner = lambda h: _let(_over(h, gram, mixed), lambda g: _let(window(_over(g, lines, less)), lambda m: body(h, g, m)))
     return _let(word_hashes(text), lambda h: F.when(F.size(h) >= min_words, inner(h)))
 
 
@@ -149,14 +151,20 @@ def dedup_passages(documents: DataFrame, id_column: str = "doc_id", text_column:
     rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"), _doc(id_column, text_column).alias("doc"))
     text = F.col("row").getField(text_column)
     # n spares the exchanges below the longer place of a document
-    marked = materialize(rows.where(F.length(text) >= min_words).select(F.monotonically_increasing_id().alias("n"), "doc", fingerprints(text, min_words, gram).alias("marks")))
-    each = marked.select("n", F.explode("marks").alias("mark"))
+    marked = rows.where(F.length(text) >= min_words).select(F.monotonically_increasing_id().alias("n"), "doc", F.unhex(F.md5(text)).alias("content"), fingerprints(text, min_words, gram).alias("marks"))
+    marked = materialize(marked)
+    # equal texts have equal fingerprints throughout: the first stands for all, and of the others everything is repeated
+    heads = materialize(marked.groupBy("content").agg(F.min(F.struct("doc", "n")).alias("head"), F.count(F.lit(1)).alias("rows")).where("rows > 1").select("content", "head"))
+    copies = marked.where("marks IS NOT NULL").select("n", "doc", "content").join(heads, "content").where(F.col("n") != F.col("head.n"))
+    copies = materialize(copies.select("n", "doc", (F.col("doc") != F.col("head.doc")).alias("copy")))
+    each = marked.join(copies.select("n"), "n", "left_anti").select("n", F.explode("marks").alias("mark"))
     shared = materialize(each.groupBy("mark").count().where("count > 1").select("mark"))
     with_shared = each.join(shared, "mark").select("n").distinct()
-    some = materialize(marked.select("n", "doc").join(with_shared, "n").select("doc").distinct().withColumn("some", F.lit(True)))
+    some = marked.select("n", "doc").join(with_shared, "n").select("doc", F.lit(False).alias("copy"))
+    some = materialize(some.union(copies.where("copy").select("doc", "copy")).groupBy("doc").agg(F.max("copy").alias("copy")))
     rows = materialize(rows.join(some, "doc", "left"))
 
-    found = repeated_windows(rows.where("some").select("doc", text.alias("text")), min_words, gram)
+    found = repeated_windows(rows.where("NOT copy").select("doc", text.alias("text")), min_words, gram)
     found = found.groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("w"))
     ends = F.filter("w", lambda x, i: F.coalesce(F.get("w", i + 1)["s"] > x["e"] + min_words, F.lit(True)))
     starts = F.filter("w", lambda x, i: F.coalesce(F.get("w", i - 1)["e"] + min_words < x["s"], F.lit(True)))
@@ -174,5 +182,9 @@ def dedup_passages(documents: DataFrame, id_column: str = "doc_id", text_column:
     removed = F.aggregate("runs", F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1)
     named = F.array_join(F.transform("runs", lambda r: F.concat_ws("-", r["first"], r["last"])), ",")
     cut = F.when(F.col("runs").isNull(), text).otherwise(F.array_join(_let(pieces(text), left), ""))
-    changed = rows.where("some").join(runs, "doc", "left").select(*columns(cut, F.coalesce(removed, F.lit(0)), F.coalesce(named, F.lit(""))))
-    return rows.where("some IS NULL").select(*columns(text, F.lit(0), F.lit(""))).union(changed)
+    changed = rows.where("NOT copy").join(runs, "doc", "left").select(*columns(cut, F.coalesce(removed, F.lit(0)), F.coalesce(named, F.lit(""))))
+    words = F.size(F.filter(pieces(text), lambda x: F.btrim(x, F.lit(BLANKS)) != ""))
+    whole = _let(F.struct(lead(text).alias("first"), words.alias("n")), lambda w: F.struct(w["n"].alias("n"), F.concat_ws("-", w["first"], w["first"] + w["n"] - 1).alias("named")))
+    blank = F.when(lead(text) == 1, F.get(pieces(text), F.lit(0))).otherwise("")
+    empty = rows.where("copy").select(*columns(blank, whole["n"], whole["named"]))
+    return rows.where("copy IS NULL").select(*columns(text, F.lit(0), F.lit(""))).union(changed).union(empty)
