@@ -17,10 +17,11 @@ too close for a similarity of 0.8, so it takes fingerprints of the distinct word
 of than they share shingles, several of them with independent seeds, and a wider radius (with 5 bits, three
 segments); the candidates that these find are then verified by the exact similarity of the whole texts.
 
-That sees most pairs, not all: copies that differ by a block and members of large groups whose hub fails are missed. A second
-round therefore is exact. Two sets with a similarity of t share an element of their prefixes, the first n - ceil(t n) + 1
-of n shingles in an order that is the same for all texts; texts that share one, aren't yet in one group, and that sizes and places
-don't rule out are verified as well.
+That sees most pairs, not all: copies that differ by a block are missed, and so are members of a key whose link in its forest
+fails the verification. A second round therefore is exact. Two sets with a similarity of t share an element of their prefixes, the first
+n - ceil(t n) + 1 of n shingles in an order that is the same for all texts; texts that share one and aren't yet in one group are
+verified as well, unless sizes, places or parities rule them out. Parities are 64 bits that each shingle toggles one of: two sets
+differ by at least as many shingles as their parities differ in bits.
 """
 
 from __future__ import annotations
@@ -95,37 +96,6 @@ class Forest:
         return left, right
 
 
-class Stars:
-    """Candidate pairs within the radius: all of them for few members. For many, each member and the member with
-    the most neighbours of those that cover it (the original amid its copies); a member then links under about a quarter of its
-    keys, which are many and alike."""
-
-    FEW = 32
-
-    def __init__(self, radius: int) -> None:
-        self.radius = radius
-
-    def many(self, fps: np.ndarray, nodes: np.ndarray, key: int) -> tuple[list, list]:
-        n = len(fps)
-        if n <= self.FEW:
-            a, b = np.nonzero(np.triu(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= self.radius, 1))
-            return [nodes[a]], [nodes[b]]
-        degree = np.concatenate([(np.bitwise_count(fps[i : i + 256, None] ^ fps[None, :]) <= self.radius).sum(axis=1) for i in range(0, n, 256)])
-        drawn = (nodes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(key & (1 << 64) - 1)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(62) == 0
-        left, right = [], []
-        places = np.argsort(-degree, kind="stable")
-        while len(places) > 1:
-            hub, places = places[0], places[1:]
-            near = np.bitwise_count(fps[places] ^ fps[hub]) <= self.radius
-            new = places[near]
-            new = new[drawn[new]]
-            left.append(np.full(len(new), nodes[hub]))
-            right.append(nodes[new])
-            places = places[~near]
-            places = places[degree[places] > 1]
-        return left, right
-
-
 def _links(kernel, bucket: int | None):
     """Runs a kernel over (key, fp, node, v) sorted by key: rows (0, a, b) are links, rows (1, fp, node, v, key) belong to keys of
     over ``bucket`` rows and are passed on as they come."""
@@ -295,42 +265,49 @@ def common_shingles(source: DataFrame, k: int, documents: int = 20_000, times: i
         return np.sort(np.array([r.h for r in counted.where(F.col("count") >= times).orderBy(F.desc("count"), "h").limit(most).collect()], dtype=np.int64))
 
 
-def prefix(text: str | None, k: int, least: float, common: np.ndarray) -> tuple[list[int], int]:
+def prefix(text: str | None, k: int, least: float, common: np.ndarray) -> tuple[list[int], int, int]:
     """The first hashes of a text's shingles, as many as must hold one that any text as similar as ``least`` also has
-    among its own, and the number of shingles. They are in one order for all texts, which is all that it takes: common ones
+    among its own, the number of shingles and their parity. They are in one order for all texts, which is all that it takes: common ones
     last, so that few texts meet under a hash without being similar."""
     hashes = shingle_hashes(text, k)
-    n = len(hashes)
+    n, bits = len(hashes), parity(hashes)
     if len(common):
         known = common[np.minimum(np.searchsorted(common, hashes), len(common) - 1)] == hashes
         hashes = np.concatenate([hashes[~known], hashes[known]])
-    return hashes[: n - math.ceil(least * n - 1e-9) + 1].tolist() if n else [], n
+    return hashes[: n - math.ceil(least * n - 1e-9) + 1].tolist() if n else [], n, bits
+
+
+def parity(hashes: np.ndarray) -> int:
+    """64 bits, each set if an odd number of the hashes belongs to it."""
+    odd = np.bincount((hashes.view(np.uint64) >> np.uint64(58)).astype(np.int64), minlength=64) & 1
+    return int(np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")[0])
 
 
 def shared_pairs(least: float, chunk: int = 1_000_000):
-    """Runs over (key, label, node, size, place) sorted by key and label: pairs (a, b) of nodes of different labels under a key
-    that may be as similar as ``least``, going by their sizes and the key's places in them."""
+    """Runs over (key, size, label, node, place, bits) sorted by key and size: pairs (a, b) of nodes of different labels under a key
+    that may be as similar as ``least``, going by their sizes, the key's places in them and their parities."""
 
     def solve(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        keys, labels, nodes, sizes, places = rows
-        n = len(keys)
-        new_key = np.append(keys[1:] != keys[:-1], True)
-        ends = np.flatnonzero(new_key) + 1  # where keys end, and where runs of a label do
-        stops = np.flatnonzero(new_key | np.append(labels[1:] != labels[:-1], True)) + 1
-        begin = stops[np.searchsorted(stops, np.arange(n), side="right")]
-        count = ends[np.searchsorted(ends, np.arange(n), side="right")] - begin
-        active = np.flatnonzero(count)
+        keys, sizes, labels, nodes, places = rows[:5]
+        bits, n = rows[5].view(np.uint64), len(keys)  # numpy counts the bits of a signed number's absolute value
+        # the key's number and the size as one ascending number; a node meets those after it that aren't too large
+        number = np.cumsum(np.append(False, keys[1:] != keys[:-1])).astype(np.int64) << 32
+        most = np.minimum(np.floor(sizes / least + 1e-6), (1 << 32) - 1).astype(np.int64)
+        count = np.searchsorted(number + sizes, number + most, side="right") - np.arange(n) - 1
+        active = np.flatnonzero(count > 0)
         total = np.cumsum(count[active])
         at = 0
         while at < len(active):
             to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + chunk, side="right")))
             part = active[at:to]
             x = np.repeat(part, count[part])
-            y = np.arange(len(x)) - np.repeat(np.cumsum(count[part]) - count[part], count[part]) + begin[x]
+            y = np.arange(len(x)) - np.repeat(np.cumsum(count[part]) - count[part], count[part]) + x + 1
             at = to
+            both = sizes[x].astype(np.int64) + sizes[y]
+            good = (labels[x] != labels[y]) & (np.bitwise_count(bits[x] ^ bits[y]) * (1 + least) <= (1 - least) * both + 1e-6)
             # at the first hash that two texts share, no more than it and what follows is common
-            most = np.minimum(sizes[x] - places[x], sizes[y] - places[y])
-            good = (np.minimum(sizes[x], sizes[y]) >= least * np.maximum(sizes[x], sizes[y]) - 1e-6) & (most * (1 + least) >= least * (sizes[x].astype(np.int64) + sizes[y]) - 1e-6)
+            x, y, both = x[good], y[good], both[good]
+            good = np.minimum(sizes[x] - places[x], sizes[y] - places[y]) * (1 + least) >= least * both - 1e-6
             if good.any():
                 a, b = nodes[x[good]], nodes[y[good]]
                 a, b = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
@@ -373,17 +350,18 @@ def similar_groups(
                 found = [word_marks(t, seeds) for t in part.column(2).to_pylist()]
                 heads = [prefix(t, shingle, least_similarity, common) for t in part.column(2).to_pylist()]
                 content = pa.array([c for c, _ in found], pa.binary())
-                lists = [pa.array(x, pa.list_(pa.int64())) for x in ([m for _, m in found], [h for h, _ in heads])]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), content, *lists, pa.array([n for _, n in heads], pa.int32())], ["id", "text_hash", "content", "fps", "prefix", "size"])
+                lists = [pa.array(x, pa.list_(pa.int64())) for x in ([m for _, m in found], [h for h, _, _ in heads])]
+                columns = [*lists, pa.array([n for _, n, _ in heads], pa.int32()), pa.array([b for _, _, b in heads], pa.int64())]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), content, *columns], ["id", "text_hash", "content", "fps", "prefix", "size", "bits"])
 
     source = documents.select(F.col(id_column).alias("id"), F.xxhash64(text_column).alias("text_hash"), F.col(text_column).alias("text"))
     common = common_shingles(source, shingle)
     with arrow_rows(documents.sparkSession, 1000):
-        marked = materialize(source.mapInArrow(marks, f"id {id_type}, text_hash bigint, content binary, fps array<bigint>, prefix array<bigint>, size int").withColumn("rid", F.monotonically_increasing_id()))
+        marked = materialize(source.mapInArrow(marks, f"id {id_type}, text_hash bigint, content binary, fps array<bigint>, prefix array<bigint>, size int, bits bigint").withColumn("rid", F.monotonically_increasing_id()))
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "rid", "text_hash")).alias("first")
     nodes = materialize(marked.groupBy("content").agg(first, F.first("fps").alias("fps")).withColumn("node", F.col("first.rid")))
     rows = nodes.select("node", F.posexplode("fps").alias("t", "fp"))
-    pairs = materialize(fingerprint_links(rows, radius, Stars(radius), bucket))
+    pairs = materialize(fingerprint_links(rows, radius, Forest(radius), bucket))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -402,8 +380,8 @@ def similar_groups(
     links = similar(pairs)
     labels = connected_components(links).select("node", F.col("component").alias("label"))
     labelled = nodes.select("node").join(labels, "node", "left").select(F.col("node").alias("rid"), F.coalesce("label", "node").alias("label"))
-    heads = marked.select("rid", "size", "prefix").join(labelled, "rid").select("label", F.col("rid").alias("node"), "size", F.posexplode("prefix").alias("place", "key"))
-    dealt = heads.select("key", "label", "node", "size", "place").repartition("key").sortWithinPartitions("key", "label")
+    heads = marked.select("rid", "size", "bits", "prefix").join(labelled, "rid").select("label", F.col("rid").alias("node"), "size", "bits", F.posexplode("prefix").alias("place", "key"))
+    dealt = heads.select("key", "size", "label", "node", "place", "bits").repartition("key").sortWithinPartitions("key", "size")
     missed = similar(materialize(dealt.mapInArrow(shared_pairs(least_similarity), "a bigint, b bigint").distinct()))
     links = materialize(links.union(missed))
     parts = connected_components(links)

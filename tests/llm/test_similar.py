@@ -50,9 +50,40 @@ def test_shared_pairs_by_chunks():
     keys = np.array([1, 1, 1, 2, 2, 3, 3, 3, 3])
     labels = np.array([0, 0, 1, 2, 2, 4, 5, 6, 6])
     nodes = np.arange(9)
-    size, place = np.full(9, 10, np.int32), np.zeros(9, np.int32)
+    size, place, bits = np.full(9, 10, np.int32), np.zeros(9, np.int32), np.zeros(9, np.int64)
     wanted = {(0, 2), (1, 2), (5, 6), (5, 7), (5, 8), (6, 7), (6, 8)}
-    batches = [pa.RecordBatch.from_arrays([pa.array(c[at : at + 4]) for c in (keys, labels, nodes, size, place)], list("klnsp")) for at in (0, 4, 8)]
+
+    def found(chunk, size, bits):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c[at : at + 4]) for c in (keys, size, labels, nodes, place, bits)], list("kslnpb")) for at in (0, 4, 8)]
+        return sorted(tuple(p.values()) for b in simhash.shared_pairs(0.8, chunk)(iter(batches)) for p in b.to_pylist())
+
     for chunk in (1, 3, 1000):
-        out = [tuple(p.values()) for b in simhash.shared_pairs(0.8, chunk)(iter(batches)) for p in b.to_pylist()]
-        assert sorted(out) == sorted(wanted)
+        assert found(chunk, size, bits) == sorted(wanted)
+    # 20 shingles may differ by two at most; 10 and 13 are too different
+    assert found(1000, size, np.array([0, 0, 7, 0, 0, 0, 3, 7, 0])) == [(5, 6), (5, 8), (6, 7), (6, 8)]
+    assert found(1000, np.array([10, 10, 13, 5, 5, 8, 10, 10, 13], np.int32), bits) == [(5, 6), (5, 7), (6, 7)]
+
+
+def test_parity_bounds_the_difference():
+    dice = np.random.default_rng(4)
+    for _ in range(300):
+        a = dice.integers(-(1 << 63), 1 << 63, dice.integers(1, 80))
+        b = np.concatenate([a[dice.random(len(a)) < 0.9], dice.integers(-(1 << 63), 1 << 63, dice.integers(0, 9))])
+        bits = (simhash.parity(a) ^ simhash.parity(b)) & (1 << 64) - 1
+        assert bits.bit_count() <= len(set(a.tolist()) ^ set(b.tolist()))
+
+
+def test_dense_clusters(spark):
+    """Clusters whose members share a key by the hundred, many of them below 0.8 of the member they are linked to first."""
+    dice, rows = random.Random(13), {}
+    for c, changes in enumerate((3, 4, 6, 8)):
+        words = [f"w{dice.randrange(10**6)}" for _ in range(200)]
+        for i in range(150):
+            copy = list(words)
+            for k in dice.sample(range(200), changes):
+                copy[k] = f"v{dice.randrange(10**9)}"
+            rows[1000 * c + i] = " ".join(copy)
+    check(spark, rows)
+    table = spark.createDataFrame(list(rows.items()), "doc_id bigint, text string").repartition(4)
+    dealt_again = simhash.similar_groups(table, seeds=3, bucket=20).collect()
+    assert {r.doc_id: r.component_id for r in dealt_again} == brute(rows)
