@@ -2,19 +2,42 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow.fs import FileSelector, FileSystem, LocalFileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def file_inventory(spark: SparkSession, root: str, digests: bool = True) -> DataFrame:
-    """``relative_path, size, sha256`` of all files below a folder (no digest: the contents aren't read)."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    base = root.rstrip("/") + "/"
-    path = F.regexp_replace(F.col("path"), "^file:/*", "/")
-    columns = [F.expr(f"substring(p, instr(p, {base!r}) + {len(base)})").alias("relative_path"), F.col("length").alias("size")]
-    if digests:
-        columns.append(F.sha2("content", 256).alias("sha256"))
-    return files.withColumn("p", path).select(*columns)
+def file_inventory(spark: SparkSession, root: str, digests: bool = True, block: int = 8 << 20) -> DataFrame:
+    """``relative_path, size, sha256`` of all files below a folder, also those whose names begin with a dot or an underscore.
+
+    The names and sizes are listed by the driver, as Spark's own readers do; the contents are digested on the executors, in
+    blocks of ``block`` bytes, so a file may be of any size. Without ``digests`` no content is read. Symbolic links are refused.
+    """
+    system, base = FileSystem.from_uri(root if "://" in root else f"file://{os.path.abspath(root)}")
+    if isinstance(system, LocalFileSystem) and (links := [os.path.join(d, x) for d, folders, names in os.walk(base) for x in folders + names if os.path.islink(os.path.join(d, x))]):
+        raise ValueError(f"symbolic link: {links[0]}")
+    found = [(f.path, f.path.removeprefix(base.rstrip("/") + "/"), f.size) for f in system.get_file_info(FileSelector(base, recursive=True)) if f.is_file]
+    files = spark.createDataFrame(found, "path string, relative_path string, size bigint")
+    if not digests:
+        return files.drop("path")
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sums = []
+            for path in batch.column(0).to_pylist():
+                total = hashlib.sha256()
+                with system.open_input_stream(path) as file:
+                    while part := file.read(block):
+                        total.update(part)
+                sums.append(total.hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(sums, pa.string())], ["relative_path", "size", "sha256"])
+
+    return files.repartition(max(1, min(len(found), 10_000))).mapInArrow(digest, "relative_path string, size bigint, sha256 string")
 
 
 def inventory_difference(left: DataFrame, right: DataFrame, key: str, compared: list[str]) -> DataFrame:

@@ -5,9 +5,6 @@ Reports are JSON documents of any depth, one row each (``report_id, report``).
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,50 +16,96 @@ CONTRACT = "dataset-evaluation/v1"
 EXIT_CODES = {"pass": 0, "findings": 10, "blocked": 20}
 
 
-@F.udtf(returnType="path string, key string, value string")
-class WalkJson:
-    """Every object of a document, however deep: one row per key, its value as JSON."""
-
-    def eval(self, document: str) -> Iterator[tuple[str, str, str]]:
-        try:
-            stack = [("$", json.loads(document))] if document is not None else []
-        except ValueError:
-            return
-        while stack:
-            path, node = stack.pop()
-            items = node.items() if isinstance(node, dict) else enumerate(node) if isinstance(node, list) else ()
-            for key, value in items:
-                place = f"{path}[{key}]" if isinstance(node, list) else f"{path}.{key}"
-                if isinstance(node, dict):
-                    yield path, key, json.dumps(value)
-                if isinstance(value, dict | list):
-                    stack.append((place, value))
-
-
-def flatten(reports: DataFrame) -> DataFrame:
-    """``report_id, path, key, value`` of every object in the reports."""
-    walk = WalkJson(F.col("report").outer())
-    return reports.lateralJoin(walk).select("report_id", "path", "key", "value")
-
-
-def flatten_depth(reports: DataFrame, depth: int = 4) -> DataFrame:
-    """The same JVM-side for documents of a known depth: VARIANT exploded level by level."""
-    level = reports.select("report_id", F.lit("$").alias("path"), F.try_parse_json("report").alias("node"))
-    rows = None
-    for _ in range(depth):
-        level.createOrReplaceTempView("__level")
-        exploded = level.sparkSession.sql("SELECT report_id, path, v.pos, v.key, v.value FROM __level, LATERAL variant_explode(node) AS v")
-        own = exploded.where("key IS NOT NULL").select("report_id", "path", "key", F.to_json("value").alias("value"))
-        rows = own if rows is None else rows.union(own)
-        level = exploded.select("report_id", F.when(F.col("key").isNotNull(), F.concat_ws(".", "path", "key")).otherwise(F.format_string("%s[%d]", "path", "pos")).alias("path"), F.col("value").alias("node"))
-    return rows
-
-
-def deletable_indices(reports: DataFrame) -> DataFrame:
-    """``report_id, episode_index``: integers (booleans aren't) of every ``deletable_episode_indices`` list, distinct."""
-    lists = flatten(reports).where("key = 'deletable_episode_indices'")
-    items = lists.select("report_id", F.explode(F.from_json("value", "array<string>")).alias("item"))
-    return items.where(F.col("item").rlike(r"^\d+$")).select("report_id", F.col("item").cast("int").alias("episode_index")).distinct()
+def document_depth(report: Column) -> Column:
+    """How deep objects and lists are nested in a JSON text, counted on its brackets outside strings."""
+    bare = F.regexp_replace(report, r'(?s)"(?:\\.|[^"\\])*+"', "")
+    marks = F.split(F.regexp_replace(bare, r"[^\[\]{}]+", ""), "")
+    opens = lambda c: F.when(c.isin("[", "{"), 1).when(c.isin("]", "}"), -1).otherwise(0)
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+    step = lambda acc, c: F.struct((acc["now"] + opens(c)).alias("now"), F.greatest(acc["most"], acc["now"] + opens(c)).alias("most"))
+    return F.aggregate(marks, start, step)["most"]
+
+
+def parsed(reports: DataFrame, strict: bool = True) -> DataFrame:
+    """``report_id, node``. What isn't a JSON object raises, or with ``strict=False`` is left out."""
+    node = F.try_parse_json("report")
+    fits = F.coalesce(F.startswith(F.schema_of_variant(node), F.lit("OBJECT")), F.lit(False))
+    if not strict:
+        return reports.where(fits).select("report_id", node.alias("node"))
+    wrong = F.raise_error(F.concat(F.lit("report "), F.col("report_id").cast("string"), F.lit(" is not a JSON object")))
+    return reports.select("report_id", F.when(fits, node).otherwise(wrong.cast("variant")).alias("node"))
+
+
+def flatten(reports: DataFrame, strict: bool = True, keys: list[str] | None = None) -> DataFrame:
+    """``report_id, path, key, value`` (as JSON) of every object in the reports, however deep; only of ``keys`` if given.
+
+    Values are exploded level by level in one pass over the reports, as many times as the deepest of them needs, which another pass over
+    the texts tells.
+    """
+    depth = reports.agg(F.max(document_depth(F.col("report")))).first()[0] or 0
+    wanted = F.col("key").isNotNull() if keys is None else F.coalesce(F.col("key").isin(keys), F.lit(False))
+    row = lambda path, key, value, place: F.struct(path.alias("path"), key.cast("string").alias("key"), value.alias("value"), place.alias("place"), F.lit(True).alias("fresh"))
+
+    def below(value: Column, place: Column) -> Column:
+        """What a container holds; empty for anything else."""
+        fields = F.map_entries(F.try_variant_get(value, "$", "map<string,variant>"))
+        items = F.try_variant_get(value, "$", "array<variant>")
+        keyed = F.transform(fields, lambda e: row(place, e["key"], e["value"], F.concat_ws(".", place, e["key"])))
+        listed = F.transform(items, lambda e, i: row(place, F.lit(None), e, F.format_string("%s[%d]", place, i)))
+        return F.coalesce(keyed, listed, F.filter(F.array(row(place, F.lit(""), value, place)), lambda _: F.lit(False)))
+
+    def exploded(rows: DataFrame, items: Column) -> DataFrame:
+        # explode would infer a condition on the array, for which each level would be computed twice
+        return rows.select("report_id", F.explode_outer(items).alias("r")).where("r IS NOT NULL").select("report_id", "r.*")
+
+    rows = exploded(parsed(reports, strict), below(F.col("node"), F.lit("$")))
+    none = lambda value: F.filter(value, lambda _: F.lit(False))
+    for _ in range(depth - 1):
+        own = F.array(F.struct("path", "key", "value", "place", F.lit(False).alias("fresh")))
+        own = F.when(wanted, own).otherwise(none(own))
+        under = below(F.col("value"), F.col("place"))
+        rows = exploded(rows, F.when(F.col("fresh"), F.concat(own, under)).otherwise(own))
+    return rows.where(wanted).select("report_id", "path", "key", F.to_json("value").alias("value"))
+
+
+def _whole(value: Column) -> Column:
+    """A JSON integer; booleans and fractions aren't."""
+    return F.when(value.rlike(r"^-?[0-9]+$"), value.cast("int"))
+
+
+def deletable_indices(reports: DataFrame, strict: bool = True) -> DataFrame:
+    """``report_id, episode_index``: the integers of the ``deletable_episode_indices`` that a report has at its root, distinct."""
+    field = F.variant_get("node", "$.deletable_episode_indices", "variant")
+    items = F.when(F.startswith(F.schema_of_variant(field), F.lit("ARRAY")), F.from_json(F.to_json(field), "array<string>"))
+    listed = parsed(reports, strict).select("report_id", F.explode(items).alias("item"))
+    return listed.select("report_id", _whole(F.col("item")).alias("episode_index")).where("episode_index IS NOT NULL").distinct()
+
+
+def episode_selection(reports: DataFrame, fail_on: str, strict: bool = True) -> DataFrame:
+    """``report_id, episode_index``: episodes named by a finding, at any depth, whose severity (in any case) reaches ``fail_on``, and
+    those that the root lists as deletable."""
+    rows = flatten(reports, strict, ["episode_index", "severity"])
+    of = lambda key: F.max(F.when(F.col("key") == key, F.col("value")))
+    found = rows.groupBy("report_id", "path").agg(_whole(of("episode_index")).alias("episode_index"), F.upper(F.regexp_extract(of("severity"), '^"(.*)"$', 1)).alias("severity"))
+    loud = found.where(reaches(F.col("severity"), fail_on) & F.col("episode_index").isNotNull()).select("report_id", "episode_index")
+    return loud.union(deletable_indices(reports, strict)).distinct()
+
+
+def report_states(reports: DataFrame, fail_on: str, strict: bool = True) -> DataFrame:
+    """One row per report: ``report_id, overall_severity, n_indices, blockers, problem``.
+
+    ``blockers`` are its ``non_episode_blockers`` as texts. ``problem`` tells why nothing may be removed by it: it has blockers,
+    or it reaches ``fail_on`` without naming an episode.
+    """
+    field = lambda name: F.variant_get("node", f"$.{name}", "variant")
+    blockers = F.when(F.startswith(F.schema_of_variant(field("non_episode_blockers")), F.lit("ARRAY")), F.from_json(F.to_json(field("non_episode_blockers")), "array<string>"))
+    overall = F.upper(F.regexp_extract(F.to_json(field("overall_severity")), '^"(.*)"$', 1))
+    roots = parsed(reports, strict).select("report_id", overall.alias("overall_severity"), F.coalesce(blockers, F.array().cast("array<string>")).alias("blockers"))
+    counts = episode_selection(reports, fail_on, strict).groupBy("report_id").agg(F.count(F.lit(1)).alias("n_indices"))
+    states = roots.join(counts, "report_id", "left").withColumn("n_indices", F.coalesce("n_indices", F.lit(0).cast("bigint")))
+    silent = reaches(F.col("overall_severity"), fail_on) & (F.col("n_indices") == 0)
+    problem = F.when(F.size("blockers") > 0, "blockers that concern no episode").when(silent, "threshold reached without episodes")
+    return states.select("report_id", "overall_severity", "n_indices", "blockers", problem.alias("problem"))
 
 
 def message_selection(messages: DataFrame, fail_on: str) -> DataFrame:

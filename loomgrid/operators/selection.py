@@ -20,9 +20,17 @@ def out_of_bounds(selection: DataFrame, total: int) -> DataFrame:
     return selection.where((F.col("episode_index") < 0) | (F.col("episode_index") >= total))
 
 
-def renumbered(episodes: DataFrame) -> DataFrame:
-    """``episode_index, new_index``: survivors numbered from 0 in order. One row per episode goes through the window."""
-    return episodes.select("episode_index").distinct().withColumn("new_index", (F.row_number().over(Window.orderBy("episode_index")) - 1).cast("int"))
+def renumbered(episodes: DataFrame, span: int = 100_000) -> DataFrame:
+    """``episode_index, new_index``: survivors numbered from 0 in order.
+
+    Indices are numbered within spans of ``span`` of them; what comes before a span is a sum over one row a span.
+    """
+    each = episodes.select("episode_index").distinct().withColumn("span", F.floor(F.col("episode_index") / span))
+    counts = each.groupBy("span").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("span").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    place = F.row_number().over(Window.partitionBy("span").orderBy("episode_index")) - 1
+    numbered = each.withColumn("place", place).join(counts.select("span", before.alias("before")), "span")
+    return numbered.select("episode_index", (F.col("before") + F.col("place")).cast("int").alias("new_index"))
 
 
 def without_episodes(rows: DataFrame, selection: DataFrame, renumber: bool = True) -> DataFrame:
@@ -34,21 +42,25 @@ def without_episodes(rows: DataFrame, selection: DataFrame, renumber: bool = Tru
     return kept.join(numbers, "episode_index").drop("episode_index").withColumnRenamed("new_index", "episode_index").select(*rows.columns)
 
 
-def remove_failed(rows: DataFrame, selection: DataFrame, total: int, dry_run: bool = False) -> tuple[str, DataFrame, list[int]]:
-    """``(status, rows, indices)``: no_change, dry_run or filtered. Refuses indices out of range and a selection of all.
+def remove_failed(rows: DataFrame, selection: DataFrame, total: int, dry_run: bool = False, states: DataFrame | None = None) -> tuple[str, DataFrame, DataFrame]:
+    """``(status, rows, episodes)``: no_change, dry_run or filtered, and the distinct episodes selected.
 
-    The selection of episodes comes to the driver (numbers only, as the status must name them).
+    Refuses indices out of range, a selection of all, and reports with a problem (``states`` of ``reports.report_states``). Only
+    counts and bounds come to the driver.
     """
-    indices = sorted(r[0] for r in selected_episodes(selection).collect())
-    if bad := [i for i in indices if not 0 <= i < total]:
-        raise ValueError(f"episodes out of range: {bad}")
-    if not indices:
-        return "no_change", rows, []
-    if len(indices) == total:
+    if states is not None and (bad := states.where("problem IS NOT NULL").orderBy("report_id").first()):
+        raise ValueError(f"report {bad['report_id']}: {bad['problem']} {'; '.join(bad['blockers'])}".rstrip())
+    chosen = selected_episodes(selection)
+    n, low, high = chosen.agg(F.count(F.lit(1)), F.min("episode_index"), F.max("episode_index")).first()
+    if n and (low < 0 or high >= total):
+        raise ValueError(f"episodes out of range: from {low} to {high}, of {total}")
+    if not n:
+        return "no_change", rows, chosen
+    if n == total:
         raise ValueError("all episodes are selected")
     if dry_run:
-        return "dry_run", rows, indices
-    return "filtered", without_episodes(rows, selection), indices
+        return "dry_run", rows, chosen
+    return "filtered", without_episodes(rows, chosen), chosen
 
 
 def policy_outcome(episodes: DataFrame, findings: DataFrame, policy: str, drop_on: str) -> DataFrame:

@@ -8,10 +8,8 @@ the unit of sequence; segments are independent, so all windows partition by segm
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,7 +19,7 @@ from loomgrid.operators.islands import dilate, islands
 
 @dataclass(frozen=True)
 class AnalysisConfig:
-    """Thresholds of the detectors (fixed defaults of the validation profile)."""
+    """Thresholds of the detectors (fixed values: the defaults of the validation profile)."""
 
     duplicate_threshold: float = 0.1
     freeze_min_seconds: float = 1.0
@@ -117,19 +115,14 @@ def repeat_candidates(signatures: DataFrame, scores: DataFrame, keys: list[str],
 def repeats(candidates: DataFrame, keys: list[str]) -> DataFrame:
     """Candidates in the order of period and start, each kept unless it overlaps one kept before it (FAIL).
 
-    What is kept depends on what was kept, so it is a loop over a segment's few candidates.
+    What is kept depends on what was kept, so it is a fold over a segment's candidates in order; they are few.
     """
-    columns = candidates.columns
-
-    def accept(rows: pd.DataFrame) -> pd.DataFrame:
-        kept, spans = [], []
-        for row in rows.sort_values(["period", "start"]).itertuples(index=False):
-            if all(row.end < a or row.start > b for a, b in spans):
-                spans.append((row.start, row.end))
-                kept.append(row)
-        return pd.DataFrame(kept, columns=columns)
-
-    kept = candidates.groupBy(*keys, "terminal").applyInPandas(accept, candidates.schema)
+    values = [c for c in candidates.columns if c not in (*keys, "terminal")]
+    one = F.struct("period", "start", *(c for c in values if c not in ("period", "start")))
+    grouped = candidates.groupBy(*keys, "terminal").agg(F.sort_array(F.collect_list(one)).alias("all"))
+    apart = lambda c: lambda k: (c["end"] < k["start"]) | (c["start"] > k["end"])
+    fold = F.aggregate("all", F.filter("all", lambda c: F.lit(False)), lambda kept, c: F.when(F.forall(kept, apart(c)), F.concat(kept, F.array(c))).otherwise(kept))
+    kept = grouped.select(*keys, "terminal", F.explode(fold).alias("c")).select(*keys, "terminal", "c.*")
     kind = F.when(F.col("terminal"), "repeated_motion_at_episode_end").otherwise("repeated_motion_then_jump")
     return kept.select(*_finding(keys, kind, "FAIL", F.col("start"), F.col("end"), F.col("jump"), F.col("jump_threshold"), F.col("period"), F.col("cycles")))
 
@@ -169,17 +162,21 @@ def artifact_scores(signatures: DataFrame, keys: list[str], side: int, config: A
     """``keys, frame_index, artifact_score``: the largest share, over radii, of blocks that differ from both
     neighbours while the neighbours resemble each other; 0 for flat frames and at the ends."""
     w = _sequence(keys)
-    shares = []
-    for r in range(1, config.artifact_max_duration_frames + 1):
-        before, after = F.lag("sig", r).over(w), F.lead("sig", r).over(w)
-        left, right, across = (block_differences(a, b, side, config.blocks) for a, b in ((before, F.col("sig")), (F.col("sig"), after), (before, after)))
-        limit = F.lit(config.artifact_block_threshold)
-        hit = F.transform(F.arrays_zip(left.alias("a"), right.alias("b"), across.alias("c")), lambda x: F.when((x["a"] >= limit) & (x["b"] >= limit) & (x["c"] <= F.least(x["a"], x["b"]) * 0.5), 1.0).otherwise(0.0))
-        share = F.aggregate(hit, F.lit(0.0), lambda acc, x: acc + x) / F.size(hit)
-        shares.append(F.when(before.isNotNull() & after.isNotNull(), share).otherwise(F.lit(0.0)))
+    radii = range(1, config.artifact_max_duration_frames + 1)
+    # a difference over some lag is one neighbour's for one frame and across for another, so each is taken once
+    lags = sorted({x for r in radii for x in (r, 2 * r)})
     flat = population_std(F.col("sig")) <= config.flat_frame_std_threshold
+    frames = signatures.select(*keys, F.col("frame_index").cast("bigint").alias("frame_index"), "sig", flat.alias("flat"), *(F.lag("sig", x).over(w).alias(f"sig{x}") for x in lags))
+    frames = frames.select(*keys, "frame_index", "flat", *(F.when(F.col(f"sig{x}").isNotNull(), block_differences(F.col(f"sig{x}"), F.col("sig"), side, config.blocks)).alias(f"d{x}") for x in lags))
+    ahead = [F.lead(f"d{x}", r).over(w).alias(f"{n}{r}") for r in radii for n, x in (("right", r), ("across", 2 * r))]
+    frames = frames.select(*keys, "frame_index", "flat", *(F.col(f"d{r}").alias(f"left{r}") for r in radii), *ahead)
+    limit = F.lit(config.artifact_block_threshold)
+    stands_out = lambda x: (x["a"] >= limit) & (x["b"] >= limit) & (x["c"] <= F.least(x["a"], x["b"]) * 0.5)
+    blocks = min(config.blocks, side) ** 2
+    shares = [F.size(F.filter(F.arrays_zip(F.col(f"left{r}").alias("a"), F.col(f"right{r}").alias("b"), F.col(f"across{r}").alias("c")), stands_out)) / F.lit(float(blocks)) for r in radii]
+    shares = [F.when(F.col(f"left{r}").isNotNull() & F.col(f"right{r}").isNotNull() & F.col(f"across{r}").isNotNull(), x).otherwise(F.lit(0.0)) for r, x in zip(radii, shares, strict=True)]
     score = F.greatest(*shares) if len(shares) > 1 else shares[0]
-    return signatures.select(*keys, F.col("frame_index").cast("bigint").alias("frame_index"), flat.alias("flat"), F.when(flat, F.lit(0.0)).otherwise(score).alias("artifact_score"))
+    return frames.select(*keys, "frame_index", "flat", F.when(F.col("flat"), F.lit(0.0)).otherwise(score).alias("artifact_score"))
 
 
 def transient_corruption(scores: DataFrame, support: DataFrame, keys: list[str], config: AnalysisConfig) -> DataFrame:
@@ -247,7 +244,7 @@ def analyze(signatures: DataFrame, keys: list[str], fps: float, side: int, confi
     return out
 
 
-#: Order of kinds in a report.
+#: Order of kinds in a report (fixed values).
 EMISSION = ["freeze_then_jump", "freeze_at_episode_end", "repeated_motion_then_jump", "repeated_motion_at_episode_end", "low_information_frames", "transient_visual_corruption", "temporal_discontinuity"]
 
 

@@ -172,13 +172,15 @@ def duplicate_findings(messages: DataFrame, states: DataFrame, min_frames: int =
 
 
 def camera_statistics(messages: DataFrame, reuse: DataFrame, cameras: list[str]) -> DataFrame:
-    """One row per episode and camera: source and output frames, reuses, repeats, median period and age in ms."""
+    """One row per episode and camera: source and output frames, reuses, repeats, median period and age in ms; zeros (no
+    period) for a camera without a message."""
     repeats = duplicate_runs(messages).groupBy(*KEYS).agg(F.sum(F.col("source_frames") - 1).alias("repeats"))
-    stats = interval_statistics(messages).where(F.col("topic").isin(cameras)).join(repeats, KEYS, "left").join(reuse, KEYS, "left")
+    every = messages.select("episode_index").distinct().withColumn("topic", F.explode(F.array(*map(F.lit, cameras))))
+    stats = every.join(interval_statistics(messages), KEYS, "left").join(repeats, KEYS, "left").join(reuse, KEYS, "left")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
     return stats.select(
         *KEYS,
-        "source_frames",
+        zero("source_frames"),
         zero("output_frames"),
         zero("resampled_reuses"),
         F.coalesce("repeats", F.lit(0)).cast("bigint").alias("duplicate_source_transitions"),

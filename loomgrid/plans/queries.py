@@ -372,28 +372,40 @@ def freeze_terminal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _freezes(spark, sf_dir, "freeze_at_episode_end")
 
 
-@query(
-    f"""WITH {STEPPED_SQL}, sized AS (SELECT *, count(*) OVER (PARTITION BY user_id) AS n FROM frames),
+CANDIDATES_SQL = f"""{STEPPED_SQL}, sized AS (SELECT *, count(*) OVER (PARTITION BY user_id) AS n FROM frames),
 compared AS (SELECT a.user_id, a.n, p, a.frame_index AS pos, abs(a.v - b.v) AS d FROM sized a, (VALUES (2), (3), (4), (5)) v(p), frames b
   WHERE b.user_id = a.user_id AND b.frame_index = a.frame_index + p AND p <= least(5, greatest(2, a.n // 2))),
 grouped AS (SELECT *, sum(CASE WHEN d <= 0.1 THEN 0 ELSE 1 END) OVER (PARTITION BY user_id, p ORDER BY pos ROWS UNBOUNDED PRECEDING) AS run FROM compared),
 runs AS (SELECT user_id, n, p, min(pos) AS a, max(pos) + 1 + p AS b FROM grouped WHERE d <= 0.1 GROUP BY user_id, n, p, run HAVING count(*) >= p),
 moving AS (SELECT r.*, (SELECT max(score) FROM scores s WHERE s.user_id = r.user_id AND transition BETWEEN a AND a + p - 2) AS motion,
-  (SELECT max(score) FROM scores s WHERE s.user_id = r.user_id AND transition = b - 1) AS jump FROM runs r)
-SELECT user_id, a AS start_frame, b - 1 AS end_frame, CAST(p AS BIGINT) AS period, (b - a) // p AS cycles, b = n AS terminal
-FROM moving JOIN limits USING (user_id) WHERE motion > 0.1 AND (b = n OR jump >= jump_threshold)"""
-)
+  (SELECT max(score) FROM scores s WHERE s.user_id = r.user_id AND transition = b - 1) AS jump FROM runs r),
+candidates AS (SELECT user_id, a AS start_frame, b - 1 AS end_frame, CAST(p AS BIGINT) AS period, (b - a) // p AS cycles, b = n AS terminal
+FROM moving JOIN limits USING (user_id) WHERE motion > 0.1 AND (b = n OR jump >= jump_threshold))"""
+
+
+@query(f"WITH {CANDIDATES_SQL} SELECT * FROM candidates")
 def repeat_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = stepped(spark, sf_dir)
     found = signatures.repeat_candidates(frames, signatures.frame_scores(frames, ["user_id"]), ["user_id"], 4, STEPPED)
     return found.select("user_id", F.col("start").alias("start_frame"), F.col("end").alias("end_frame"), "period", "cycles", "terminal")
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {CANDIDATES_SQL}, ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id, terminal ORDER BY period, start_frame) AS k FROM candidates),
+walked AS (
+  SELECT user_id, terminal, k, [{{'a': start_frame, 'b': end_frame}}] AS kept, true AS taken FROM ranked WHERE k = 1
+  UNION ALL SELECT r.user_id, r.terminal, r.k,
+    CASE WHEN len(list_filter(kept, lambda x: r.start_frame <= x.b AND r.end_frame >= x.a)) = 0 THEN list_append(kept, {{'a': r.start_frame, 'b': r.end_frame}}) ELSE kept END,
+    len(list_filter(kept, lambda x: r.start_frame <= x.b AND r.end_frame >= x.a)) = 0
+  FROM walked w JOIN ranked r ON r.user_id = w.user_id AND r.terminal = w.terminal AND r.k = w.k + 1)
+SELECT r.user_id, CASE WHEN r.terminal THEN 'repeated_motion_at_episode_end' ELSE 'repeated_motion_then_jump' END AS kind, 'FAIL' AS severity, r.start_frame, r.end_frame, r.period, r.cycles
+FROM ranked r JOIN walked w ON r.user_id = w.user_id AND r.terminal = w.terminal AND r.k = w.k WHERE taken"""
+)
 def repeated_motion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Greedy suppression of overlaps depends on what was kept; tests hold it against a loop."""
+    """Each candidate is kept unless it overlaps one kept before it, which the SQL walks through by recursion."""
     frames = stepped(spark, sf_dir)
-    return signatures.repeats(signatures.repeat_candidates(frames, signatures.frame_scores(frames, ["user_id"]), ["user_id"], 4, STEPPED), ["user_id"])
+    found = signatures.repeats(signatures.repeat_candidates(frames, signatures.frame_scores(frames, ["user_id"]), ["user_id"], 4, STEPPED), ["user_id"])
+    return found.select("user_id", "kind", "severity", "start_frame", "end_frame", "period", "cycles")
 
 
 @query(
@@ -653,6 +665,205 @@ def mask_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return islands.islands(rows, ["episode_index"], "turn", F.col("role") == "user", [])
 
 
+# Reports three levels deep: a finding, a check with findings and a nested list, made of an order.
+REPORT_TEXT = """'{"overall_severity": "' || CASE o_orderstatus WHEN 'F' THEN 'FAIL' WHEN 'O' THEN 'warn' ELSE 'PASS' END || '", "deletable_episode_indices": [' || (o_custkey % 5) || ', true, 1.5], "checks": [{"name": "a [{", "findings": [{"episode_index": '
+  || (o_orderkey % 40) || ', "severity": "' || CASE WHEN o_custkey % 3 = 0 THEN 'fail' ELSE 'WARN' END || '"}, {"episode_index": ' || CASE WHEN o_orderkey % 4 = 0 THEN 'true' ELSE CAST(o_custkey % 9 AS VARCHAR(9)) END || ', "severity": "FAIL", "more": {"deletable_episode_indices": [77]}}]}], "non_episode_blockers": ['
+  || CASE WHEN o_orderkey % 7 = 0 THEN '"stale \\"metadata\\""' ELSE '' END || ']}'"""
+
+
+def report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    status = F.when(F.col("o_orderstatus") == "F", "FAIL").when(F.col("o_orderstatus") == "O", "warn").otherwise("PASS")
+    second = F.when(F.col("o_orderkey") % 4 == 0, "true").otherwise((F.col("o_custkey") % 9).cast("string"))
+    document = F.concat(
+        F.lit('{"overall_severity": "'), status, F.lit('", "deletable_episode_indices": ['), F.col("o_custkey") % 5,
+        F.lit(', true, 1.5], "checks": [{"name": "a [{", "findings": [{"episode_index": '), F.col("o_orderkey") % 40, F.lit(', "severity": "'),
+        F.when(F.col("o_custkey") % 3 == 0, "fail").otherwise("WARN"), F.lit('"}, {"episode_index": '), second,
+        F.lit(', "severity": "FAIL", "more": {"deletable_episode_indices": [77]}}]}], "non_episode_blockers": ['),
+        F.when(F.col("o_orderkey") % 7 == 0, F.lit('"stale \\"metadata\\""')).otherwise(""), F.lit("]}"),
+    )
+    return read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("report_id"), document.alias("report"))
+
+
+SELECTED_SQL = """picked AS (
+  SELECT o_orderkey AS report_id, o_custkey % 5 AS i FROM orders
+  UNION SELECT o_orderkey, o_orderkey % 40 FROM orders WHERE o_custkey % 3 = 0
+  UNION SELECT o_orderkey, o_custkey % 9 FROM orders WHERE o_orderkey % 4 <> 0)"""
+
+
+@query(f"WITH {SELECTED_SQL} SELECT report_id, CAST(i AS INTEGER) AS episode_index FROM picked")
+def report_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.episode_selection(report_documents(spark, sf_dir), "fail")
+
+
+@query(
+    f"""WITH docs AS (SELECT o_orderkey AS report_id, {REPORT_TEXT} AS report FROM orders), {SELECTED_SQL}
+SELECT report_id, upper(report ->> '$.overall_severity') AS overall_severity, (SELECT count(*) FROM picked p WHERE p.report_id = docs.report_id) AS n_indices,
+  coalesce(report ->> '$.non_episode_blockers[0]', '') AS blockers, CASE WHEN json_array_length(report, '$.non_episode_blockers') > 0 THEN 'blockers that concern no episode' END AS problem FROM docs"""
+)
+def report_blockers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.report_states(report_documents(spark, sf_dir), "fail").withColumn("blockers", F.array_join("blockers", "; "))
+
+
+@query(
+    """WITH components AS (SELECT o_custkey AS d, CASE o_orderstatus WHEN 'F' THEN 'FAIL' WHEN 'O' THEN 'WARN' END AS overall_severity, CASE WHEN o_orderkey % 11 = 0 THEN 'no report' END AS blocker, o_orderkey % 3 AS n_indices, CAST(o_orderkey % 2 AS INTEGER) AS return_code FROM orders)
+SELECT d, CASE max(CASE overall_severity WHEN 'FAIL' THEN 2 WHEN 'WARN' THEN 1 END) WHEN 2 THEN 'FAIL' WHEN 1 THEN 'WARN' ELSE CASE WHEN count(blocker) > 0 THEN 'FAIL' ELSE 'PASS' END END AS overall_severity,
+  count(blocker) AS n_blockers, CASE WHEN count(blocker) > 0 THEN 'blocked' WHEN max(n_indices) > 0 THEN 'findings' ELSE 'pass' END AS status, max(return_code) AS return_code FROM components GROUP BY d"""
+)
+def evaluations_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    level = F.when(F.col("o_orderstatus") == "F", "FAIL").when(F.col("o_orderstatus") == "O", "WARN")
+    rows = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("d"), level.alias("overall_severity"), F.when(F.col("o_orderkey") % 11 == 0, "no report").alias("blocker"), (F.col("o_orderkey") % 3).alias("n_indices"), (F.col("o_orderkey") % 2).cast("int").alias("return_code"))
+    return reports.combined(rows, ["d"])
+
+
+COMMANDS_SQL = """commands AS (SELECT CAST(user_id % 10 AS INTEGER) AS recorder, event_id AS seq, epoch_us(ts) * 1000 AS at_ns,
+  CASE event_type WHEN 'click' THEN 'start' WHEN 'view' THEN 'start' WHEN 'purchase' THEN 'stop' WHEN 'signup' THEN 'discard' ELSE 'status' END AS command FROM events WHERE event_id % 5 = 0),
+kinds AS (SELECT *, CASE command WHEN 'start' THEN 'recording' WHEN 'status' THEN NULL ELSE 'idle' END AS kind FROM commands),
+known AS (SELECT *, coalesce(last_value(kind IGNORE NULLS) OVER (PARTITION BY recorder ORDER BY at_ns, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 'idle') AS before FROM kinds),
+answered AS (SELECT recorder, seq, at_ns, command, coalesce(kind <> before, true) AS accepted, coalesce(kind, before) AS state FROM known),
+numbered AS (SELECT *, count(*) FILTER (command = 'start' AND accepted) OVER (PARTITION BY recorder ORDER BY at_ns, seq ROWS UNBOUNDED PRECEDING) AS session FROM answered)"""
+
+
+def commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    command = F.when(F.col("topic").isin("click", "view"), "start").when(F.col("topic") == "purchase", "stop").when(F.col("topic") == "signup", "discard").otherwise("status")
+    return messages(spark, sf_dir).where("seq % 5 = 0").select(F.col("episode_index").alias("recorder"), "seq", F.col("bag_stamp_ns").alias("at_ns"), command.alias("command"))
+
+
+@query(f"WITH {COMMANDS_SQL} SELECT * FROM numbered")
+def session_control(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return live.session_control(commands(spark, sf_dir))
+
+
+@query(
+    f"""WITH {COMMANDS_SQL}, acts AS (SELECT *, lead(at_ns) OVER w AS to_ns, lead(command) OVER w AS closing FROM numbered WHERE accepted AND command <> 'status' WINDOW w AS (PARTITION BY recorder ORDER BY at_ns, seq)),
+sessions AS (SELECT * FROM acts WHERE command = 'start' AND closing IN ('stop', 'save'))
+SELECT e.event_id AS seq, s.recorder, s.session FROM events e JOIN sessions s ON e.user_id % 10 = s.recorder AND epoch_us(e.ts) * 1000 >= s.at_ns AND epoch_us(e.ts) * 1000 < s.to_ns"""
+)
+def session_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = messages(spark, sf_dir).select("seq", F.col("episode_index").alias("recorder"), "bag_stamp_ns")
+    return live.with_sessions(rows, commands(spark, sf_dir)).select("seq", "recorder", "session")
+
+
+@query("SELECT p_partkey, regexp_matches(p_brand, '^[A-Za-z_][A-Za-z0-9_]*$') AS entity, regexp_matches(p_type, '^[A-Za-z0-9][A-Za-z0-9_.-]*$') AS prefix, starts_with('/' || p_name, '/') AND p_name <> '' AS topic FROM part")
+def name_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "part")
+    return rows.select("p_partkey", text.valid_entity(F.col("p_brand")).alias("entity"), text.valid_prefix(F.col("p_type")).alias("prefix"), text.valid_topic(F.concat(F.lit("/"), "p_name")).alias("topic"))
+
+
+@query(
+    """WITH paths AS (SELECT '/d/' || (o_custkey % 97) || CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE '/' || (o_orderkey % 11) END AS path FROM orders),
+distinct_paths AS (SELECT path, count(*) AS n FROM paths GROUP BY 1)
+SELECT a.path AS outer_path, b.path AS inner_path FROM distinct_paths a JOIN distinct_paths b ON starts_with(b.path, a.path || '/') OR (a.path = b.path AND a.n > 1)"""
+)
+def path_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tail = F.when(F.col("o_orderkey") % 3 == 0, "").otherwise(F.concat(F.lit("/"), F.col("o_orderkey") % 11))
+    return schema_checks.nested_paths(read(spark, sf_dir, "orders").select(F.concat(F.lit("/d/"), F.col("o_custkey") % 97, tail).alias("path")))
+
+
+@query("SELECT DISTINCT 'Supplier#' || lpad(CAST(p_partkey % 150 AS VARCHAR), 9, '0') AS key FROM part WHERE 'Supplier#' || lpad(CAST(p_partkey % 150 AS VARCHAR), 9, '0') NOT IN (SELECT s_name FROM supplier)")
+def unknown_task_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inputs = read(spark, sf_dir, "supplier").select(F.concat(F.lit("/data/"), "s_name").alias("path"))
+    tasks = read(spark, sf_dir, "part").select(F.concat(F.lit("Supplier#"), F.lpad((F.col("p_partkey") % 150).cast("string"), 9, "0")).alias("key")).distinct()
+    return schema_checks.unknown_task_keys(inputs, tasks)
+
+
+@query("SELECT p_name, count(*) AS n FROM part GROUP BY 1 HAVING count(*) > 1")
+def repeated_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return schema_checks.repeated_values(read(spark, sf_dir, "part"), "p_name")
+
+
+@query("SELECT o_orderkey AS episode_index, o_custkey % 90 + 10 AS length FROM orders ORDER BY o_orderkey LIMIT 25")
+def first_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segments.first_episodes(episodes_of_orders(spark, sf_dir).select("episode_index", "length"), 25)
+
+
+@query("SELECT event_id, CAST(user_id * 1000000000 + event_id % 1000 AS BIGINT) AS stamp_ns, CAST(round_even(value * 29.97, 0) AS BIGINT) AS frame, strftime(ts, '%Y%m%d_%H%M%S_%f') || '_' || lpad(CAST(event_id % 1000 AS VARCHAR), 3, '0') AS session, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS utc FROM events")
+def clock_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stamp = F.col("ts").cast("timestamp")
+    return read(spark, sf_dir, "events").select(
+        "event_id",
+        clock.stamp_ns(F.col("user_id"), F.col("event_id") % 1000).alias("stamp_ns"),
+        clock.frame_number(F.col("value"), 29.97).alias("frame"),
+        clock.session_name(stamp, (F.col("event_id") % 1000).cast("int")).alias("session"),
+        clock.utc_iso(stamp).alias("utc"),
+    )
+
+
+@query(
+    """SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE trim(p_brand) END AS id, CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE trim(p_type) END AS value,
+  '/robot/' || p_brand || '/state' AS topic, p_brand || '_' || lpad(CAST(p_size AS VARCHAR), CAST(greatest(2, length(CAST(p_size AS VARCHAR))) AS INTEGER), '0') || '_filtered' AS derived FROM part"""
+)
+def name_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pair = text.assignment(F.when(F.col("p_partkey") % 4 == 0, F.col("p_brand")).otherwise(F.concat(F.lit(" "), "p_brand", F.lit(" = "), "p_type")))
+    return read(spark, sf_dir, "part").select(
+        "p_partkey",
+        pair["id"].alias("id"),
+        pair["value"].alias("value"),
+        text.topic_path(F.lit("/robot/"), F.concat(F.lit("/"), "p_brand"), F.lit("//state")).alias("topic"),
+        text.stage_name(F.col("p_brand"), F.col("p_size").cast("int"), F.lit("filtered")).alias("derived"),
+    )
+
+
+@query(
+    """SELECT event_id, [CAST(value AS DOUBLE), CAST(user_id AS DOUBLE)] AS action, ['arm' || (user_id % 3) || '.x', 'arm' || (user_id % 3) || '.y', 'grip.w'] AS axes, value <= 60 AS valid, user_id % 3 <> 0 AS names_differ FROM events"""
+)
+def vector_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arm = F.concat(F.lit("arm"), F.col("user_id") % 3)
+    odd = F.when(F.col("value") <= 60, F.col("value")).otherwise(F.lit(float("nan")))
+    return read(spark, sf_dir, "events").select(
+        "event_id",
+        F.concat(F.array(F.col("value").cast("double")), F.array(F.col("user_id").cast("double"))).alias("action"),
+        arrays.axis_names(F.array(arm, F.lit("grip")), F.array(F.array(F.lit("x"), F.lit("y")), F.array(F.lit("w")))).alias("axes"),
+        arrays.valid_vector(F.array(odd.cast("double"), F.lit(0.0).cast("double")), 2).alias("valid"),
+        arrays.unique_names(F.array(F.lit("arm0"), arm)).alias("names_differ"),
+    )
+
+
+@query("SELECT e.user_id % 10 AS episode_index, event_id AS seq, event_type AS topic, length(props) AS width, f.width AS frozen_width FROM events e JOIN (SELECT event_type AS topic, arg_min(length(props), event_id) AS width FROM events GROUP BY 1) f ON f.topic = event_type WHERE length(props) <> f.width")
+def shape_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _described(spark, sf_dir)
+    frozen = rows.groupBy("topic").agg(F.min_by("width", "seq").alias("width"))
+    return schema_checks.shape_violations(rows, frozen, ["width"]).select(F.col("episode_index").cast("bigint").alias("episode_index"), "seq", "topic", "width", "frozen_width")
+
+
+TIES_SQL = """WITH m AS (SELECT CAST(user_id % 10 AS INTEGER) AS episode_index, event_id AS seq, event_type AS topic, epoch_us(ts) // 3600000000 * 3600000000000 AS hour_ns FROM events),
+indexed AS (SELECT *, row_number() OVER (PARTITION BY episode_index, topic ORDER BY seq) - 1 AS source_index, max(seq) OVER (PARTITION BY episode_index, topic, hour_ns) AS last_seq FROM m),
+latest AS (SELECT * FROM indexed WHERE seq = last_seq),
+firsts AS (SELECT episode_index, topic, min(hour_ns) AS first_ns, max(hour_ns) AS last_ns FROM m GROUP BY 1, 2),
+bounds AS (SELECT episode_index, max(first_ns) AS a, max(last_ns) AS b FROM firsts GROUP BY 1 HAVING count(*) = 5),
+ticks AS (SELECT episode_index, k AS frame_index, a + k * 1800000000000 AS tick_ns FROM bounds, LATERAL (SELECT unnest(generate_series(0, (b - a) // 1800000000000)) AS k)),
+wanted AS (SELECT t.*, topic FROM ticks t, (VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view')) v(topic))
+SELECT w.episode_index, w.frame_index, w.topic, l.source_index FROM wanted w ASOF JOIN latest l ON w.episode_index = l.episode_index AND w.topic = l.topic AND w.tick_ns >= l.hour_ns"""
+
+
+@query(TIES_SQL)
+def hold_of_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of messages of one time the last one is held; many have the same hour here."""
+    hour = 3600 * clock.NANOS
+    rows = messages(spark, sf_dir).withColumn("bag_stamp_ns", F.floor(F.col("bag_stamp_ns") / hour).cast("bigint") * hour)
+    # within a topic and episode the log is in the order of time
+    order = Window.partitionBy("episode_index", "topic", "bag_stamp_ns")
+    frames = resample.resample(rows.withColumn("n", F.count(F.lit(1)).over(order)), TOPICS, Fraction(1, 1800), payload=["value"])
+    each = F.explode(F.array(*(F.struct(F.lit(t).alias("topic"), F.col(f"{t}.source_index").alias("source_index")) for t in TOPICS)))
+    return frames.select("episode_index", "frame_index", each.alias("x")).select("episode_index", "frame_index", "x.topic", "x.source_index")
+
+
+@query(
+    f"""WITH {STEPPED_SQL}, grouped AS (SELECT *, sum(CASE WHEN score <= 0.1 THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY transition ROWS UNBOUNDED PRECEDING) AS run FROM scores),
+runs AS (SELECT user_id, min(transition) AS a, max(transition) + 1 AS b FROM grouped WHERE score <= 0.1 GROUP BY user_id, run HAVING count(*) + 1 >= 4),
+ended AS (SELECT r.user_id, s.score AS jump, jump_threshold FROM runs r JOIN limits USING (user_id) LEFT JOIN scores s ON s.user_id = r.user_id AND s.transition = r.b),
+frozen AS (SELECT count(*) AS n FROM ended WHERE jump IS NULL OR jump >= jump_threshold),
+users AS (SELECT count(DISTINCT user_id) - 1 AS n FROM events)
+SELECT CAST(0 AS INTEGER) AS position, 'metadata and boundaries' AS "check", 'PASS' AS severity, n FROM users
+UNION ALL SELECT 1, 'frozen frames', CASE WHEN n > 0 THEN 'FAIL' ELSE 'PASS' END, n FROM frozen
+UNION ALL SELECT 2, 'repeated motion', 'PASS', 0 UNION ALL SELECT 3, 'visual integrity', 'PASS', 0 UNION ALL SELECT 4, 'temporal continuity', 'PASS', 0"""
+)
+def check_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = signatures.frame_scores(stepped(spark, sf_dir), ["user_id"])
+    found = signatures.freezes(scores, ["user_id"], 4, STEPPED)
+    parts = read(spark, sf_dir, "events").select(F.col("user_id").alias("episode_index"), F.lit("front").alias("feature")).distinct()
+    return signatures.check_rollup(found, parts)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, (f, _) in CATALOGUE.items()}
 

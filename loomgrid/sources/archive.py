@@ -44,6 +44,8 @@ def destinations(bags: list[tuple[str, str | None]], archive: str) -> list[tuple
     for source, place in out:
         if source == place or source in place.parents or place in source.parents:
             raise ValueError(f"{source} and {place} overlap")
+        if source == Path(archive) or Path(archive) in source.parents:
+            raise ValueError(f"{source} lies in the archive {archive} already")
     return out
 
 

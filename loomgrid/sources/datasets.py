@@ -43,10 +43,13 @@ def read_episodes(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_states(spark: SparkSession, root: str, feature: str = "observation.state") -> DataFrame | None:
-    """``episode_index, frame_index, state``; None if the dataset has no such feature."""
+    """``episode_index, frame_index, state``; None if the dataset has no such feature, no rows if it has no files."""
     meta = read_metadata(spark, root)
     if meta["features"].get(feature, {}).get("dtype", "video") == "video":
         return None
+    place, fs = _filesystem(spark, f"{root}/data")
+    if not (fs.exists(place) and spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(f"{root}/data").select("path").take(1)):
+        return spark.createDataFrame([], "episode_index bigint, frame_index bigint, state array<double>")
     rows = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/data")
     return rows.select("episode_index", "frame_index", F.col(f"`{feature}`").alias("state")) if feature in rows.columns else None
 
@@ -57,7 +60,10 @@ def _filesystem(spark: SparkSession, path: str):
 
 
 def write_dataset(frames: DataFrame, path: str, info: dict) -> None:
-    """All or nothing: frames and metadata are written beside the target, which then gets its name in one step."""
+    """All or nothing: frames, one row an episode and metadata are written beside the target, which then gets its name in one step.
+
+    The episode index stays a column of the frames' files, which are sorted by it. ``info`` gets the totals.
+    """
     spark = frames.sparkSession
     target, fs = _filesystem(spark, path)
     if fs.exists(target):
@@ -66,8 +72,16 @@ def write_dataset(frames: DataFrame, path: str, info: dict) -> None:
     partial = f"{parent}/.{name}.partial-{uuid.uuid4().hex}"
     staging, _ = _filesystem(spark, partial)
     try:
-        frames.write.partitionBy("episode_index").parquet(f"{partial}/data")
-        spark.createDataFrame([(json.dumps(info),)], "value string").coalesce(1).write.text(f"{partial}/meta/info")
+        frames.repartitionByRange("episode_index", "frame_index").sortWithinPartitions("episode_index", "frame_index").write.parquet(f"{partial}/data")
+        written = spark.read.schema(frames.schema).parquet(f"{partial}/data")
+        written.groupBy("episode_index").agg(F.count(F.lit(1)).alias("length")).write.parquet(f"{partial}/meta/episodes")
+        episodes = spark.read.parquet(f"{partial}/meta/episodes").agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+        whole = info | {"total_episodes": episodes[0], "total_frames": episodes[1]}
+        stream = fs.create(_filesystem(spark, f"{partial}/meta/info.json")[0])
+        try:
+            stream.write((json.dumps(whole, indent=2) + "\n").encode())
+        finally:
+            stream.close()
         if not fs.rename(staging, target):
             raise OSError(f"can't rename {partial}")
     except BaseException:
@@ -106,7 +120,7 @@ def conversion_manifest(output: str, fps: float, policy: str, drop_on: str, epis
 
 def statistics_markdown(rows: list[dict]) -> str:
     """Camera statistics as a table; ``-`` where there is no median."""
-    heads = ["Episode", "Camera", "Source", "Output", "Resampled reuse", "Source duplicates", "Median period (ms)", "Max age (ms)"]
+    heads = ["episode", "topic", "frames in", "frames out", "held again", "repeats", "median step, ms", "oldest held, ms"]
     lines = ["| " + " | ".join(heads) + " |", "|" + " --- |" * len(heads)]
     for r in rows:
         median = r["median_source_period_ms"]
@@ -115,10 +129,19 @@ def statistics_markdown(rows: list[dict]) -> str:
     return "\n".join(lines) + "\n"
 
 
+def findings_markdown(findings: list[dict]) -> str:
+    """Findings as a list, one line each with whatever a finding has beside its severity and kind."""
+    lines = ["## Findings", ""] if findings else ["No findings."]
+    for f in findings:
+        rest = ", ".join(f"{k} {v:.3f}" if isinstance(v, float) else f"{k} {v}" for k, v in f.items() if k not in ("severity", "kind") and v is not None)
+        lines.append(f"- **{f.get('severity', 'WARN')}** {f.get('kind', 'finding')}: {rest}")
+    return "\n".join(lines) + "\n"
+
+
 def write_report(value: dict, path: str, rows: list[dict] | None = None) -> None:
     """JSON, or Markdown if the name ends in ``.md``."""
     if path.lower().endswith(".md"):
         with open(path, "w") as file:
-            file.write(f"# Report\n\nSeverity: {value.get('overall_severity', 'PASS')}\n\n{statistics_markdown(rows or [])}")
+            file.write(f"# Report\n\nSeverity: {value.get('overall_severity', 'PASS')}\n\n{statistics_markdown(rows or [])}\n{findings_markdown(value.get('findings') or [])}")
     else:
         write_json(value, path)

@@ -11,23 +11,31 @@ from loomgrid.operators.severity import RANKS
 from loomgrid.operators.signatures import EMISSION, AnalysisConfig, check_rollup
 
 
-def video_report(findings: DataFrame, segments: DataFrame, path: str, fps: float, config: AnalysisConfig, decode_error: str | None = None) -> dict:
-    """Checks are decided on all findings; then the first ``max_findings`` of them, in order, are listed.
+def video_report(findings: DataFrame, segments: DataFrame, path: str, fps: float, config: AnalysisConfig, decode_error: str | None = None, features: list[str] | None = None) -> dict:
+    """Checks are decided on all findings; then the first ``max_findings`` of them are listed: by file (``video_path`` of the
+    segments) and place in it (``start_frame``) where segments have those, else by episode and feature; then by kind and start.
 
-    Only those and one row a check come to the driver.
+    Frames are counted over the first of ``features`` (as the metadata list them; without it the first by name). Only what is
+    listed and one row a check come to the driver.
     """
-    totals = segments.agg(F.countDistinct("episode_index").alias("episodes"), F.coalesce(F.sum(F.when(F.col("feature") == segments.agg(F.min("feature")).first()[0], F.col("length"))), F.lit(0)).alias("frames")).first()
+    first_feature = features[0] if features else segments.agg(F.min("feature")).first()[0]
+    totals = segments.agg(F.countDistinct("episode_index").alias("episodes"), F.coalesce(F.sum(F.when(F.col("feature") == F.lit(first_feature), F.col("length"))), F.lit(0)).alias("frames")).first()
     checks = [{"name": r["check"], "severity": r["severity"], "messages": [{"severity": r["severity"], "message": f"{r['n']} {'boundaries skipped' if k == 0 else 'findings'}"}]} for k, r in enumerate(check_rollup(findings, segments).collect())]
     checks.insert(1, {"name": "decode and frame counts", "severity": "FAIL" if decode_error else "PASS", "messages": [{"severity": "FAIL", "message": decode_error}] if decode_error else []})
     order = F.array_position(F.array(*map(F.lit, EMISSION)), F.col("kind"))
-    first = findings.orderBy("episode_index", "feature", order, "start_frame").limit(config.max_findings + 1).collect()
+    if {"video_path", "start_frame"} <= set(segments.columns):
+        places = segments.select("episode_index", "feature", F.col("video_path").alias("__file"), F.col("start_frame").alias("__place"))
+        ordered = findings.join(places, ["episode_index", "feature"], "left").orderBy("__file", "__place", "episode_index", "feature", order, "start_frame").drop("__file", "__place")
+    else:
+        ordered = findings.orderBy("episode_index", "feature", order, "start_frame")
+    first = ordered.limit(config.max_findings + 1).collect()
     listed = [r.asDict() | {"start_time_s": r["start_frame"] / fps, "end_time_s": r["end_frame"] / fps} for r in first[: config.max_findings]]
     if len(first) > config.max_findings:
         last = checks[-1]
         last["messages"].append({"severity": "WARN", "message": f"only the first {config.max_findings} findings are listed"})
         last["severity"] = max(last["severity"], "WARN", key=RANKS.__getitem__)
     levels = [c["severity"] for c in checks]
-    return {
+    return {  # fixed keys of the report
         "version": "1.0",
         "dataset_path": path,
         "total_episodes": totals["episodes"],

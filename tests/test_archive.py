@@ -40,6 +40,8 @@ def test_refusals(tmp_path):
         archive.destinations([("/x/b", None), ("/y/b", None)], "/a")
     with pytest.raises(ValueError):
         archive.destinations([("/a/b", None)], "/a/b/c")
+    with pytest.raises(ValueError, match="already"):
+        archive.destinations([("/a/x/b", None)], "/a")
 
 
 def test_video_report(spark):

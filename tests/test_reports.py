@@ -1,6 +1,8 @@
 """Reports, selection, profiles, workflow, inventories and text functions."""
 
+import hashlib
 import json
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,13 +44,57 @@ def test_contract_violations():
     assert reports.contract_violations(good | {"status": "pass"}, "fail")
 
 
-def test_flatten_agrees(spark):
-    document = {"a": 1, "checks": [{"messages": [{"severity": "FAIL", "message": "x"}]}], "deletable_episode_indices": [3, True, 1], "n": {"deletable_episode_indices": [9]}}
-    df = spark.createDataFrame([(1, json.dumps(document)), (2, "not json"), (3, None)], "report_id int, report string")
-    walked = sorted((r.report_id, r.path, r.key) for r in reports.flatten(df).where("key IS NOT NULL").collect())
-    leveled = sorted((r.report_id, r.path, r.key) for r in reports.flatten_depth(df, 6).collect())
-    assert walked == leveled and len(walked) == 8
-    assert sorted(r.episode_index for r in reports.deletable_indices(df).collect()) == [1, 3, 9]
+DOCUMENT = {"a": 1, "checks": [{"messages": [{"severity": "FAIL", "message": "x } ]"}]}], "deletable_episode_indices": [3, True, 1], "n": {"deletable_episode_indices": [9]}}
+
+
+def test_flatten(spark):
+    def walk(node, path="$"):
+        items = node.items() if isinstance(node, dict) else enumerate(node) if isinstance(node, list) else ()
+        for key, value in items:
+            if isinstance(node, dict):
+                yield path, key, value
+            yield from walk(value, f"{path}.{key}" if isinstance(node, dict) else f"{path}[{key}]")
+
+    deep = {"x": 1}
+    for k in range(20):
+        deep = {"k": [deep, k]} if k % 2 else {"d": deep, "e": None}
+    documents = [DOCUMENT, deep, {}]
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(documents)], "report_id int, report string")
+    found = sorted((r.report_id, r.path, r.key, json.loads(r.value)) for r in reports.flatten(df).collect() if r.key != "k")
+    assert [x[:3] for x in found] == sorted((i, p, k) for i, d in enumerate(documents) for p, k, _ in walk(d) if k != "k")
+    for i, path, key, value in found:
+        assert value == next(v for p, k, v in walk(documents[i]) if (p, k) == (path, key))
+    assert sorted(r.episode_index for r in reports.deletable_indices(df).collect()) == [1, 3]
+
+
+@pytest.mark.parametrize("text", ["not json", "[1]", "3", None])
+def test_what_is_no_report(spark, text):
+    df = spark.createDataFrame([(1, json.dumps(DOCUMENT)), (2, text)], "report_id int, report string")
+    for f in (reports.flatten, reports.deletable_indices, lambda x: reports.episode_selection(x, "fail"), lambda x: reports.report_states(x, "fail")):
+        with pytest.raises(Exception, match="report 2 is not a JSON object"):
+            f(df).collect()
+    assert reports.flatten(df, strict=False).count() == 8
+
+
+def test_selection_by_severity(spark):
+    finding = lambda i, level: {"episode_index": i, "severity": level}
+    documents = [
+        {"checks": [{"findings": [finding(3, "FAIL"), finding(4, "warn"), finding("5", "FAIL"), finding(6, "odd"), finding(True, "FAIL"), {"severity": "FAIL"}]}], "n": {"deletable_episode_indices": [9]}},
+        {"overall_severity": "fail", "checks": []},
+        {"overall_severity": "FAIL", "deletable_episode_indices": [2, 2, "x"], "non_episode_blockers": ["no \"meta\"", 3]},
+        {"overall_severity": "PASS", "deletable_episode_indices": "all", "non_episode_blockers": "many"},
+    ]
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(documents)], "report_id int, report string")
+    picked = lambda level: sorted((r.report_id, r.episode_index) for r in reports.episode_selection(df, level).collect())
+    assert picked("fail") == [(0, 3), (2, 2)] and picked("warn") == [(0, 3), (0, 4), (2, 2)]
+    states = {r.report_id: (r.n_indices, r.blockers, r.problem) for r in reports.report_states(df, "fail").collect()}
+    assert states == {0: (1, [], None), 1: (0, [], "threshold reached without episodes"), 2: (1, ['no "meta"', "3"], "blockers that concern no episode"), 3: (0, [], None)}
+    rows = spark.createDataFrame([(e,) for e in range(8)], "episode_index int")
+    for number, match in ((1, "without episodes"), (2, "meta")):
+        with pytest.raises(ValueError, match=match):
+            selection.remove_failed(rows, reports.episode_selection(df, "fail"), 8, states=reports.report_states(df.where(f"report_id = {number}"), "fail"))
+    kept = selection.remove_failed(rows, reports.episode_selection(df, "fail"), 8, states=reports.report_states(df.where("report_id IN (0, 3)"), "fail"))
+    assert kept[0] == "filtered" and kept[1].count() == 6
 
 
 def test_combined(spark):
@@ -61,7 +107,7 @@ def test_removal(spark):
     rows = spark.createDataFrame([(e, f) for e in range(4) for f in range(2)], "episode_index int, frame_index int")
     pick = lambda *i: spark.createDataFrame([(x,) for x in i], "episode_index int")
     status, kept, removed = selection.remove_failed(rows, pick(1), 4)
-    assert status == "filtered" and removed == [1] and sorted({r.episode_index for r in kept.collect()}) == [0, 1, 2]
+    assert status == "filtered" and [r[0] for r in removed.collect()] == [1] and sorted({r.episode_index for r in kept.collect()}) == [0, 1, 2]
     assert selection.remove_failed(rows, pick(), 4)[0] == "no_change"
     assert selection.remove_failed(rows, pick(2), 4, dry_run=True)[0] == "dry_run"
     for bad in ((0, 1, 2, 3), (4,)):
@@ -151,3 +197,34 @@ def test_paths_tasks_text(spark):
     assert text.parse_command("n=run --x 'a b'") == ("n", ["run", "--x", "a b"])
     with pytest.raises(ValueError):
         text.parse_command("n=run --fail-on=x")
+
+
+def test_renumbering_in_spans(spark):
+    rows = spark.createDataFrame([(i * i,) for i in range(60)], "episode_index int")
+    assert sorted((r.episode_index, r.new_index) for r in selection.renumbered(rows, span=100).collect()) == [(i * i, i) for i in range(60)]
+
+
+def test_inventory_of_hidden_and_large_files(spark, tmp_path):
+    for name, content in ((".hidden", b"1"), ("_under/x", b"22"), ("plain", b"a" * 100_001)):
+        path = tmp_path / name
+        path.parent.mkdir(exist_ok=True)
+        path.write_bytes(content)
+    found = {r.relative_path: (r.size, r.sha256) for r in inventory.file_inventory(spark, str(tmp_path), block=1000).collect()}
+    assert found == {n: (len(c), hashlib.sha256(c).hexdigest()) for n, c in ((".hidden", b"1"), ("_under/x", b"22"), ("plain", b"a" * 100_001))}
+    (tmp_path / "link").symlink_to("plain")
+    with pytest.raises(ValueError):
+        inventory.file_inventory(spark, str(tmp_path))
+
+
+def test_dataset_round_trip(spark, tmp_path):
+    rows = spark.createDataFrame([(e, f, [float(e), float(f)]) for e in range(3) for f in range(4)], "episode_index bigint, frame_index bigint, `observation.state` array<double>")
+    path = str(tmp_path / "set")
+    datasets.write_dataset(rows, path, {"fps": 10, "features": {"observation.state": {"dtype": "float32"}, "cam": {"dtype": "video"}}, "video_path": "v"})
+    meta = datasets.read_metadata(spark, path)
+    assert (meta["video_features"], meta["info"]["total_episodes"], meta["info"]["total_frames"]) == (["cam"], 3, 12)
+    assert sorted((r.episode_index, r.length) for r in datasets.read_episodes(spark, path).collect()) == [(e, 4) for e in range(3)]
+    assert sorted(map(tuple, datasets.read_states(spark, path).collect())) == sorted(map(tuple, rows.collect()))
+    with pytest.raises(FileExistsError):
+        datasets.write_dataset(rows, path, {})
+    shutil.rmtree(f"{path}/data")
+    assert datasets.read_states(spark, path).collect() == []

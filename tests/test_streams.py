@@ -2,11 +2,13 @@
 
 import itertools
 import random
+import time
 from fractions import Fraction
 
 import pytest
 
 from loomgrid.operators import islands, resample, source_quality
+from loomgrid.streaming import live
 from pyspark.sql import functions as F
 
 MS = 1_000_000
@@ -118,3 +120,62 @@ def test_insufficient_and_tail(spark):
     assert kinds == {("a", "camera_source_tail_gap")}
     few = {(r.topic, r.source_frames) for r in source_quality.insufficient_frames(rows, ["a", "b", "c"], 2).collect()}
     assert few == {("b", 1), ("c", 0)}
+
+
+def control(spark, rows):
+    return spark.createDataFrame([(1, at, i, c) for i, (at, c) in enumerate(rows)], "recorder int, at_ns bigint, seq bigint, command string")
+
+
+def test_sessions(spark):
+    given = [(1, "stop"), (5, "start"), (20, "start"), (35, "status"), (65, "stop"), (66, "discard"), (70, "start"), (80, "discard"), (90, "start"), (95, "status")]
+    answers = [(r.accepted, r.state, r.session) for r in live.session_control(control(spark, given)).orderBy("at_ns").collect()]
+    assert answers == [
+        (False, "idle", 0), (True, "recording", 1), (False, "recording", 1), (True, "recording", 1), (True, "idle", 1),
+        (False, "idle", 1), (True, "recording", 2), (True, "idle", 2), (True, "recording", 3), (True, "recording", 3),
+    ]
+    rows = spark.createDataFrame([(1, t) for t in range(0, 120, 5)], "recorder int, bag_stamp_ns bigint")
+    kept = lambda **more: sorted((r.session, r.bag_stamp_ns) for r in live.with_sessions(rows, control(spark, given), **more).collect())
+    first = [(1, t) for t in range(5, 65, 5)]
+    assert kept() == first and kept(keep_open=True) == first + [(3, t) for t in range(90, 120, 5)]
+
+
+def streamed(spark, tmp_path, batches, schema, plan):
+    """All rows of ``plan`` over a stream of the batches, one file each."""
+    folder = tmp_path / "in"
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(folder))
+        time.sleep(0.05)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
+    query = plan(stream).writeStream.format("memory").queryName("streamed").option("checkpointLocation", str(tmp_path / "at")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.sql("SELECT * FROM streamed").collect()
+
+
+def test_stream_equals_batch(spark, tmp_path):
+    dice = random.Random(3)
+    stamps = sorted(dice.randrange(0, 2000) * MS for _ in range(60))
+    rows = [(0, i, dice.choice(["a", "b"]), t, t, dice.choice("xy"), float(i)) for i, t in enumerate(stamps)]
+    # topics of the streams end with messages that have no topic, or no content
+    last = rows[-1][3]
+    end = [(0, 100, None, last, last, None, 0.0)]
+    held = streamed(spark, tmp_path / "hold", [rows[:20], rows[20:45], rows[45:], end], SCHEMA, lambda s: live.online_hold(s, ["a", "b"], 10))
+    batch = resample.resample(spark.createDataFrame(rows, SCHEMA), ["a", "b"], 10, payload=["value"]).collect()
+    assert sorted((r.frame_index, r.tick_ns, r.values["a"], r.values["b"]) for r in held) == sorted((r.frame_index, r.tick_ns, r.a.value, r.b.value) for r in batch)
+    ends = [(0, 100 + i, t, last, last, None, 0.0) for i, t in enumerate("ab")]
+    runs = streamed(spark, tmp_path / "runs", [rows[:20], rows[20:45], rows[45:], ends], SCHEMA, live.online_runs)
+    wanted = source_quality.duplicate_runs(spark.createDataFrame(rows, SCHEMA)).select("episode_index", "topic", "run_start_ns", "run_end_ns", "source_frames").collect()
+    assert sorted(map(tuple, runs)) == sorted(map(tuple, wanted)) and wanted
+
+
+def test_stream_of_disorder(spark, tmp_path):
+    stamp = [5, 9, 7, 9, 3, 12, 11]
+    rows = [(0, i, "a", t, t, None, 0.0) for i, t in enumerate(stamp)]
+    late = streamed(spark, tmp_path, [rows[:3], rows[3:5], rows[5:]], SCHEMA, live.disordered)
+    assert sorted((r.seq, r.clock_ns) for r in late) == [(2, 9), (4, 9), (6, 12)]
+
+
+def test_camera_without_a_message(spark):
+    rows = table(spark, GOLDEN)
+    frames = resample.resample(rows, ["act", "cam", "st"], 10)
+    found = {r.topic: r for r in source_quality.camera_statistics(rows, resample.reuse_statistics(frames, ["act", "cam", "st"]), ["cam", "none"]).collect()}
+    assert found["cam"].source_frames == 3 and (found["none"].source_frames, found["none"].median_source_period_ms) == (0, None)
