@@ -127,8 +127,10 @@ def test_merkle(documents, odd, empty, texts):
 
 def test_merkle_branches():
     text = "\n".join(f"Paragraph {i} has a few words. And one more sentence." for i in range(40))
-    assert merkle.differing(text, text) == [] and "".join(merkle.blocks(text)) == text
-    assert merkle.differing(text, text.replace("Paragraph 20 ", "Paragraph X ")) == [(1, 4)]
+    place = lambda x, y: merkle.edited_place(merkle.fingerprint(x), merkle.fingerprint(y))
+    assert place(text, text) == "" and "".join(merkle.blocks(text)) == text
+    assert place(text, text.replace("Paragraph 20 ", "Paragraph X ")) == "1.4.0-1.4.0"
+    assert place(text, text.replace("Paragraph 3 ", "P ").replace("39 has a few words. And", "39 has a few words. But")) == "0.3.0-2.7.1"
     assert merkle.likeness(merkle.fingerprint(text), merkle.fingerprint(text)) == 1.0
 
 
@@ -255,3 +257,61 @@ def test_field_messages_agree_with_enumeration():
 
 def test_json_is_whole():
     assert json.load(open(WORDS))["model"]["type"] == "BPE"
+
+
+def naive_tree(text):
+    """Sections of paragraphs of blocks, cut by hand."""
+    sections, lines = [], text.split("\n")
+    for k, line in enumerate(lines):
+        if not sections or len(sections[-1]) == 16 or (not lines[k - 1].strip() and line.strip()):
+            sections.append([])
+        blocks, words, word, space = [], 0, 0, False
+        current = ""
+        ended = False
+        for c in line:
+            stop = c in ".!?。！？"
+            # a sentence ends after its marks and the white space behind them
+            if current and ended and not c.isspace() and not (stop and not current[-1].isspace()):
+                blocks, current, words, word, space, ended = [*blocks, current], "", 0, 0, False, False
+            if not c.isspace():
+                fresh = not word or space or word == 32
+                if fresh and words == 8:
+                    blocks, current, words = [*blocks, current], "", 0
+                word = 1 if fresh else word + 1
+                words += fresh
+            space = c.isspace()
+            ended = ended or stop
+            current += c
+        sections[-1].append([*blocks, current] if current else blocks)
+    return sections
+
+
+def test_merkle_against_naive_cuts(texts):
+    dice = random.Random(9)
+    noise = ["".join(dice.choice("ab c.!\n?。字") for _ in range(dice.randrange(400))) for _ in range(300)]
+    for text in [*noise, *texts.values(), "x" * 1000, "字" * 300 + "。" + "字" * 100, "", " ", "\n\n"]:
+        sections = naive_tree(text)
+        assert "\n".join("".join(p) for s in sections for p in s) == text
+        digits = lambda b: hashlib.blake2b(b.encode(), digest_size=16).hexdigest()[:6]
+        assert merkle.fingerprint(text).partition(":")[2] == ";".join(",".join("".join(map(digits, p)) for p in s) for s in sections)
+
+
+def test_merkle_likeness_and_places(texts):
+    dice = random.Random(10)
+    own = [t for t in texts.values() if t]
+    for text in own:
+        a, b = sorted(dice.randrange(len(text) + 1) for _ in range(2))
+        other = text[:a] + dice.choice(["", "Something else. ", "x"]) + text[b:]
+        one, two = ([x for s in naive_tree(t) for p in s for x in p] for t in (text, other))
+        marks = merkle.fingerprint(text), merkle.fingerprint(other)
+        common = sum((Counter(one) & Counter(two)).values())
+        assert merkle.likeness(*marks) == pytest.approx(2 * common / max(1, len(one) + len(two)) if text != other else 1.0)
+        place = merkle.edited_place(*marks)
+        assert (place == "") == (text == other)
+        if place:
+            (s, p, k), (s2, p2, _) = (tuple(map(int, x.split("."))) for x in place.split("-"))
+            tree, changed = naive_tree(text), naive_tree(other)
+            # all before the first block named is the same in both texts
+            assert tree[:s] == changed[:s] and (len(changed) <= s or (tree[s][:p] == changed[s][:p] and (len(changed[s]) <= p or tree[s][p][:k] == changed[s][p][:k])))
+            assert tree[s2 + 1 :] == changed[len(changed) - (len(tree) - s2 - 1) :] or len(changed) < len(tree) - s2
+    assert merkle.likeness(merkle.fingerprint("字" * 4000), merkle.fingerprint("字" * 3000 + "x" * 1000)) > 0.65
