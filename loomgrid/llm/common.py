@@ -16,10 +16,13 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
+    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only where that is unset and all executors are
+    this machine (tests). Elsewhere each executor would write to a disk of its own, so that is an error."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = context.getConf().get("spark.checkpoint.dir", None)
+        if named is None and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="loomgrid-"))
     return context.getCheckpointDir()
 

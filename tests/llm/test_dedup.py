@@ -9,6 +9,8 @@ import pytest
 
 from loomgrid.llm import components as cc
 from loomgrid.llm import exact_dedup, simhash
+from loomgrid.llm.common import checkpoint_root, materialize
+from pyspark.sql import functions as F
 
 from .conftest import components
 
@@ -41,6 +43,34 @@ def test_exact(documents, odd, empty, fan_in):
         exact_dedup.exact_dedup(empty, fan_in=3)
 
 
+def test_hub_rows_are_split(spark):
+    """A hub's rows in the join with the written minima are dealt to several tasks."""
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        rows = spark.range(20_000, numPartitions=8).selectExpr("IF(id % 3 < 2, 7, id) AS a", "id AS b")
+        least = materialize(rows.groupBy("a").agg(F.min("b").alias("m")))
+        joined = cc.with_least(rows, least)
+        assert joined.count() == 20_000
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_shared_folder(spark):
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(lambda: type("Conf", (), {"get": staticmethod(lambda k, d: d)}))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(type("Session", (), {"sparkContext": Context}))
+
+
 def test_components(spark):
     dice = random.Random(3)
     edges = [(i, i + 1) for i in range(60)] + [(dice.randrange(100, 400), dice.randrange(100, 400)) for _ in range(200)] + [(1000, k) for k in range(1001, 1200)] + [(5, 5), (3, 2)]
