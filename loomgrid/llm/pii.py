@@ -6,15 +6,19 @@ are a document's mentions, its labels "none" and the four kinds. Each node has l
 shape; neighbours in the text have transition potentials; and mentions that are equal or end in the same
 digits, wherever they stand, share a skip potential that favours equal labels. Mentions which a pattern has
 found are fixed to its kind. Loopy sum-product passes messages along both kinds of edges; a free mention whose
-most likely label is a kind, with enough of the probability, is added. Skip edges run from each occurrence to
-the next one of its group, so a string that occurs n times has n - 1 of them.
+most likely label is a kind, with enough of the probability, is added. Skip edges run from each free mention of a group to
+one that a pattern has found, if there is one, else to the next of its group, so a string that occurs n times has at most n - 1 of them
+and what is known of it is one step away from all of them. Neighbours that are also linked by a skip edge share one factor.
 
-Weights are fitted on mentions of a bounded sample of documents, labelled by the patterns.
+All weights, of shapes, transitions and the skip potential, are fitted together by pseudo-likelihood (each label given its
+neighbours' along both kinds of edges), on mentions of a bounded sample of documents. They are labelled by the patterns; a free mention
+has the label of its group's mentions that a pattern found.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -122,45 +126,72 @@ def mentions(text: str, found: list[Span]) -> list[Mention]:
 
 
 def skip_edges(nodes: list[Mention]) -> list[tuple[int, int]]:
-    last: dict[str, int] = {}
-    edges = []
+    groups: dict[str, list[int]] = {}
     for i, node in enumerate(nodes):
         if node.group is not None:
-            if node.group in last:
-                edges.append((last[node.group], i))
-            last[node.group] = i
+            groups.setdefault(node.group, []).append(i)
+    edges = []
+    for own in groups.values():
+        known = [i for i in own if nodes[i].label >= 0]
+        if known:
+            edges += [(min(known[0], i), max(known[0], i)) for i in own if nodes[i].label < 0]
+        else:
+            edges += list(zip(own, own[1:], strict=False))
     return edges
 
 
+#: What a label's neighbours are: features, own label, labels before and after (-1: none), and those over skip edges, in order.
+Setting = tuple[tuple[str, ...], int, int, int, tuple[int, ...]]
+
+
+def settings(nodes: list[Mention]) -> Iterator[Setting]:
+    """Each node's, for the fit."""
+    by_group = {x.group: x.label for x in nodes if x.label >= 0 and x.group is not None}
+    labels = [x.label if x.label >= 0 else by_group.get(x.group, 0) for x in nodes]
+    linked: list[list[int]] = [[] for _ in nodes]
+    for i, j in skip_edges(nodes):
+        linked[i].append(labels[j])
+        linked[j].append(labels[i])
+    for i, x in enumerate(nodes):
+        # of many equal ones, as of a mention that a hundred free ones refer to, three tell as much
+        few = [k for label in sorted(set(linked[i])) for k in [label] * min(3, linked[i].count(label))]
+        yield x.features, labels[i], labels[i - 1] if i else -1, labels[i + 1] if i + 1 < len(nodes) else -1, tuple(few)
+
+
 class SkipChainField:
     """Weights and inference."""
 
-    def __init__(self, shapes: Counter, steps: Counter, agree: Counter, penalty: float = 1.0, rounds: int = 300) -> None:
-        """``shapes``: counts of (features, label); ``steps``: of neighbouring labels; ``agree``: of equality over skip edges."""
-        names = sorted({f for features, _ in shapes for f in features})
+    def __init__(self, counts: Counter, penalty: float = 1.0, rounds: int = 300, prior_skip: float = 4.0) -> None:
+        """``counts`` of settings. The pseudo-log-likelihood with an L2 penalty is climbed for all weights at once. The skip
+        weight is drawn to ``prior_skip``, as a sample may have few repeated mentions or none; all others to 0."""
+        rows = sorted(counts)
+        names = sorted({f for r in rows for f in r[0]})
         self.index = {f: i for i, f in enumerate(names)}
         size = len(LABELS)
-        rows = sorted(shapes)
         x = np.zeros((len(rows), len(names) + 1))
         x[:, -1] = 1
-        y, n = np.zeros((len(rows), size)), np.array([shapes[r] for r in rows], dtype=float)
-        for i, (features, label) in enumerate(rows):
+        y, n = np.zeros((len(rows), size)), np.array([counts[r] for r in rows], dtype=float)
+        before, after, skips = (np.zeros((len(rows), size)) for _ in range(3))
+        for i, (features, label, left, right, linked) in enumerate(rows):
             x[i, [self.index[f] for f in features]] = 1
             y[i, label] = 1
-        self.weights = np.zeros((len(names) + 1, size))
+            if left >= 0:
+                before[i, left] = 1
+            if right >= 0:
+                after[i, right] = 1
+            for k in linked:
+                skips[i, k] += 1
+        self.weights, self.step, self.skip = np.zeros((len(names) + 1, size)), np.zeros((size, size)), prior_skip
+        shrink = min(0.1, penalty / max(n.sum(), 1))  # a prior of variance 1 / penalty, whatever the sample's size
         n = n / max(n.sum(), 1)
-        for _ in range(rounds if rows else 0):  # multinomial log-likelihood with an L2 penalty
-            z = x @ self.weights
+        for _ in range(rounds if rows else 0):
+            z = x @ self.weights + before @ self.step + after @ self.step.T + self.skip * skips
             p = np.exp(z - z.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
-            self.weights += 2.0 * (x.T @ ((y - p) * n[:, None]) - penalty * 1e-3 * self.weights)
-        table = np.ones((size, size))
-        for (a, b), k in steps.items():
-            table[a, b] += k
-        own = table / table.sum(axis=1, keepdims=True)
-        self.step = np.log(own) - np.log(table.sum(axis=0) / table.sum())
-        self.step = np.clip(self.step, -1.0, 1.0)
-        self.skip = float(np.clip(np.log((agree[True] + 1) / (agree[False] + 1)), 2.0, 6.0))
+            error = (y - p) * n[:, None]
+            self.weights += 2.0 * (x.T @ error - shrink * self.weights)
+            self.step += 1.0 * (before.T @ error + error.T @ after - shrink * self.step)
+            self.skip += 2.0 * (float((error * skips).sum()) - shrink * (self.skip - prior_skip))
 
     def unary(self, node: Mention) -> np.ndarray:
         out = self.weights[-1].copy()
@@ -169,23 +200,25 @@ class SkipChainField:
                 out += self.weights[self.index[f]]
         return out
 
-    def marginals(self, nodes: list[Mention], rounds: int = 12) -> np.ndarray:
-        """Label probabilities of each node by loopy sum-product."""
+    def marginals(self, nodes: list[Mention], rounds: int = 100) -> np.ndarray:
+        """Label probabilities of each node by loopy sum-product, until messages no longer change (or for ``rounds``)."""
         size = len(LABELS)
         local = np.array([self.unary(x) for x in nodes])
         for i, node in enumerate(nodes):
             if node.label >= 0:
                 local[i] = np.where(np.arange(size) == node.label, 0.0, -60.0)
         local -= local.max(axis=1, keepdims=True)
+        factors = {(i, i + 1): self.step for i in range(len(nodes) - 1)}
         same = self.skip * np.eye(size)
-        edges = [(i, i + 1, self.step) for i in range(len(nodes) - 1)] + [(a, b, same) for a, b in skip_edges(nodes)]
-        if not edges:
+        for pair in skip_edges(nodes):
+            factors[pair] = factors[pair] + same if pair in factors else same
+        if not factors:
             p = np.exp(local)
             return p / p.sum(axis=1, keepdims=True)
-        source = np.array([e[0] for e in edges] + [e[1] for e in edges])
-        target = np.array([e[1] for e in edges] + [e[0] for e in edges])
-        factor = np.exp(np.array([e[2] for e in edges] + [e[2].T for e in edges]))
-        back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
+        ends = np.array(list(factors))
+        source, target = np.concatenate([ends[:, 0], ends[:, 1]]), np.concatenate([ends[:, 1], ends[:, 0]])
+        factor = np.exp(np.array([*factors.values(), *(f.T for f in factors.values())]))
+        back = np.roll(np.arange(len(source)), len(ends))
         message = np.zeros((len(source), size))
         for _ in range(rounds):
             belief = local.copy()
@@ -225,24 +258,15 @@ def fit_field(documents: DataFrame, id_column: str = "doc_id", text_column: str
         counts: Counter = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                nodes = mentions(text, base_spans(text))
-                labels = [max(x.label, 0) for x in nodes]
-                counts.update("\t".join(["shape", str(k), *x.features]) for x, k in zip(nodes, labels, strict=True))
-                counts.update(f"step\t{a}\t{b}" for a, b in zip(labels, labels[1:], strict=False))
-                counts.update(f"agree\t{int(labels[a] == labels[b])}" for a, b in skip_edges(nodes))
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["what", "n"])
-
-    shapes, steps, agree = Counter(), Counter(), Counter()
-    # one row per kind of shape: their number has a bound whatever the sample
-    for what, n in sample.mapInArrow(count, "what string, n bigint").groupBy("what").agg(F.sum("n")).collect():
-        kind, *rest = what.split("\t")
-        if kind == "shape":
-            shapes[tuple(rest[1:]), int(rest[0])] += n
-        elif kind == "step":
-            steps[int(rest[0]), int(rest[1])] += n
-        else:
-            agree[rest[0] == "1"] += n
-    return SkipChainField(shapes, steps, agree)
+                counts.update(json.dumps(x) for x in settings(mentions(text, base_spans(text))))
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["setting", "n"])
+
+    # one row a setting: their number has a bound, that of shapes times labels around, whatever the sample
+    found: Counter = Counter()
+    for setting, n in sample.mapInArrow(count, "setting string, n bigint").groupBy("setting").agg(F.sum("n")).collect():
+        features, label, left, right, linked = json.loads(setting)
+        found[tuple(features), label, left, right, tuple(linked)] += n
+    return SkipChainField(found)
 
 
 def written(spans: list[Span]) -> str:
@@ -253,7 +277,9 @@ def find_personal_data(documents: DataFrame, field: SkipChainField, id_column: s
     """One row per document: ``<id>, n_email, n_ip, n_card, n_phone, base_sha256, spans``.
 
     Counts and digest cover the patterns' spans; ``spans`` has those and the field's, as kind:start:end
-    (code points, end exclusive) by kind, then start. A null text is an empty one; other columns are ignored.
+    (code points, end exclusive) by kind, then start. A null text is an empty one; rows that repeat are kept and alike; an empty table
+    gives no rows; a very long text is one task's, in memory its mentions only; ties between labels go to the first in the list
+    of kinds. Other columns are ignored.
     """
     id_type = dict(documents.dtypes)[id_column]
 

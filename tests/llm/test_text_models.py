@@ -237,22 +237,71 @@ def test_personal_data(spark, documents, odd, empty):
     assert pii.fit_field(empty).skip > 0
 
 
-def test_field_messages_agree_with_enumeration():
+def small_field():
+    names = (("a",), ("b",))
+    counts = Counter({(names[0], 0, -1, 0, ()): 6, (names[0], 0, 0, -1, (0,)): 5, (names[1], 1, 0, -1, (1,)): 7, (names[1], 1, -1, 1, (1, 1)): 3, (names[0], 1, 1, 0, ()): 1, (names[1], 4, 4, 4, (4,)): 2})
+    return pii.SkipChainField(counts), counts
+
+
+def enumerate_field(field, nodes):
+    """Exact marginals over all labellings."""
     import itertools
 
-    field = pii.SkipChainField(Counter({(("a",), 0): 5, (("b",), 1): 3, (("a",), 1): 1}), Counter({(0, 1): 2, (1, 1): 3}), Counter({True: 9}))
-    nodes = pii.mentions("12 34", [])
-    assert nodes
-    text = "5551234 x 7771234567"
-    nodes = pii.mentions(text, [])
-    p = field.marginals(nodes, rounds=60)
     local = np.array([field.unary(x) for x in nodes])
-    weight = np.zeros((5, 5))
-    for a, b in itertools.product(range(5), repeat=2):
-        weight[a, b] = math.exp(local[0, a] + local[1, b] + field.step[a, b])
-    weight /= weight.sum()
-    assert not pii.skip_edges(nodes)
-    assert np.allclose(p[0], weight.sum(axis=1), atol=1e-3) and np.allclose(p[1], weight.sum(axis=0), atol=1e-3)
+    total = np.zeros((len(nodes), 5))
+    for labels in itertools.product(range(5), repeat=len(nodes)):
+        if any(x.label >= 0 and x.label != k for x, k in zip(nodes, labels, strict=True)):
+            continue
+        score = sum(local[i, k] for i, k in enumerate(labels) if nodes[i].label < 0) + sum(field.step[a, b] for a, b in zip(labels, labels[1:], strict=False))
+        score += sum(field.skip for i, j in pii.skip_edges(nodes) if labels[i] == labels[j])
+        for i, k in enumerate(labels):
+            total[i, k] += math.exp(score)
+    return total / total.sum(axis=1, keepdims=True)
+
+
+def test_field_agrees_with_enumeration():
+    field, _ = small_field()
+    for text, links, within in (("5551234 x 7771234567", 0, 1e-3), ("5551234567 x 1235551234567", 1, 1e-3), ("555123456 or 8881234 x 99555123456", 1, 0.05), ("+1 988 555 24850 now 55524850 so 9885552485 x 0955524850", 2, 0.05)):
+        nodes = pii.mentions(text, pii.base_spans(text))
+        assert len(pii.skip_edges(nodes)) == links, text
+        assert np.allclose(field.marginals(nodes), enumerate_field(field, nodes), atol=within), text
+
+
+def test_fit_climbs_the_pseudo_likelihood():
+    """All weights together are at a maximum: no small step of any of them helps."""
+    field, counts = small_field()
+
+    def value(field):
+        out = 0.0
+        for (features, label, left, right, linked), n in counts.items():
+            z = field.weights[-1] + sum(field.weights[field.index[f]] for f in features)
+            z = z + (field.step[left] if left >= 0 else 0) + (field.step[:, right] if right >= 0 else 0) + field.skip * np.array([linked.count(k) for k in range(5)])
+            out += n / sum(counts.values()) * (z[label] - np.log(np.exp(z).sum()))
+        return out - 0.5 / sum(counts.values()) * ((field.weights**2).sum() + (field.step**2).sum() + (field.skip - 4.0) ** 2)
+
+    field = pii.SkipChainField(counts, rounds=20_000)
+    best = value(field)
+    for name in ("weights", "step"):
+        for at in np.ndindex(getattr(field, name).shape):
+            for d in (-0.05, 0.05):
+                getattr(field, name)[at] += d
+                assert value(field) < best + 1e-7
+                getattr(field, name)[at] -= d
+    for d in (-0.05, 0.05):
+        field.skip += d
+        assert value(field) < best + 1e-7
+        field.skip -= d
+
+
+def test_spread_of_labels(documents):
+    """Bare repeats of found mentions, by kind, however far away and many; other numbers stay."""
+    field = pii.fit_field(documents)
+    filler = " and so on with 12 things of 3 kinds"
+    given = {"phone": ("+1 (988) 555-2485", "(988) 555-2485"), "card": ("4111 1111 1111 1111", "41111111 11111111"), "email": ("jo.doe@mail.org", "Jo.Doe@mail.org,")}
+    for kind, (found, bare) in given.items():
+        text = f"first {found}" + "".join(f"{filler} then {bare} again" for _ in range(40))
+        spans = [x.split(":")[0] for x in pii.written(pii.base_spans(text) + field.added(text, pii.base_spans(text), 0.9)).split(",")]
+        assert spans.count(kind) == 41 and set(spans) == {kind}, (kind, Counter(spans))
 
 
 def test_json_is_whole():
