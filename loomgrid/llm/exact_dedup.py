@@ -1,6 +1,6 @@
 """Exact de-duplication by a tree merge of sorted digest runs.
 
-Every input partition is a leaf of the tree. It holds a run: its distinct digests in sorted order, each with
+Every input partition is a leaf of the tree, or one of several of a leaf where there are more than ``MOST_LEAVES``. It holds a run: its distinct digests in sorted order, each with
 the smallest identifier and the number of rows. The leaves then exchange runs in rounds. In round k the leaves
 whose numbers differ only in digit k (base ``fan_in``, a power of two: ``log2(fan_in)`` binomial rounds folded
 into one multiway merge) trade runs, each keeping the digests that have its digit; so after the last round each
@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from loomgrid.llm.common import materialize
 
 KEY = ["sha", "n_bytes", "check"]
+#: Leaves exchange with each other in every round, so their number stops here, at which a slice of 10^11 digests still fits a task.
+MOST_LEAVES = 4096
 
 
 def normalized(text: Column) -> Column:
@@ -71,9 +73,9 @@ def exact_dedup(documents: DataFrame, id_column: str = "doc_id", text_column: st
     digests = materialize(digest_table(documents, id_column, text_column))
     parts = digests.agg(F.max("part")).first()[0]
     leaves = fan_in
-    while leaves < (parts or 0) + 1:
+    while leaves < min((parts or 0) + 1, MOST_LEAVES):
         leaves *= fan_in
-    digests = digests.withColumn("leaf", F.col("part"))
+    digests = digests.withColumn("leaf", F.col("part") % F.lit(leaves))
     first = F.struct(F.col("id").isNull().alias("no_id"), "id", "rid")
     runs = digests.groupBy("leaf", *KEY).agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("n"))
     groups = merge_tree(runs, leaves, fan_in)
