@@ -78,25 +78,35 @@ def _part(url: str, pattern: str) -> str:
     return f"regexp_extract(CASE WHEN strpos({url}, '://') > 0 THEN substr({url}, strpos({url}, '://') + 3) ELSE '' END, '{pattern}', 1)"
 
 
+def _without_dots(path: str) -> str:
+    plain = f"regexp_extract({path}, '^[^?#]*')"
+    done = f"""list_reduce(list_prepend(CAST([] AS VARCHAR[]), list_transform(string_split(substr({plain}, 2), '/'), lambda x: [x])),
+      lambda a, b: CASE b[1] WHEN '..' THEN a[1:len(a) - 1] WHEN '.' THEN a ELSE list_concat(a, b) END)"""
+    return f"""CASE WHEN regexp_matches({plain}, '^/(.*/)?\\.\\.?(/|$)') THEN '/' || array_to_string({done}, '/')
+      || CASE WHEN regexp_matches({plain}, '/\\.\\.?$') AND len({done}) > 0 THEN '/' ELSE '' END || regexp_extract({path}, '(?s)^[^?#]*(.*)$', 1) ELSE {path} END"""
+
+
 def _key(url: str) -> str:
     rest = _part(url, "^[^/?#]*([^#]*)")
-    return f"{_host(url)} || CASE WHEN starts_with({rest}, '/') THEN {rest} ELSE '/' || {rest} END"
+    return f"{_host(url)} || " + _without_dots(f"(CASE WHEN starts_with({rest}, '/') THEN {rest} ELSE '/' || {rest} END)")
 
 
 _PATH = "^[^/?#]*([^?#]*)"
 URL_SQL = rf"""
 WITH RECURSIVE tags AS (
-  SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM pages WHERE url IS NOT NULL
+  SELECT url, unnest(regexp_extract_all(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM pages WHERE url IS NOT NULL
 ), values_of AS (
   SELECT url, replace(trim(CASE
     WHEN starts_with(lower(tag), '<link') THEN CASE WHEN regexp_matches(lower({_attribute("rel")}), '(^|\s)canonical(\s|$)') THEN {_attribute("href")} END
     WHEN lower({_attribute("http-equiv")}) = 'refresh' THEN regexp_extract({_attribute("content")}, '(?is)^[^;,]*[;,]\s*url\s*=\s*[''"]?([^''"]*)', 1) END), '&amp;', '&') AS target,
     'http://' || {_host("url")} AS root, {_part("url", _PATH)} AS path FROM tags
-), links AS (
+), whole AS (
   SELECT url AS source, CASE WHEN regexp_matches(target, '^(?i)https?://') THEN target WHEN starts_with(target, '//') THEN 'http:' || target
     WHEN target = '' OR regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*:') OR starts_with(target, '#') THEN NULL
     WHEN starts_with(target, '/') THEN root || target
     ELSE root || CASE WHEN path LIKE '%/%' THEN regexp_extract(path, '(?s)^(.*/)', 1) ELSE '/' END || target END AS target FROM values_of
+), links AS (
+  SELECT source, regexp_extract(target, '^[^:]*://[^/?#]*') || {_without_dots("regexp_extract(target, '(?s)^[^:]*://[^/?#]*(.*)$', 1)")} AS target FROM whole
 ), edges AS (
   SELECT {_key("source")} AS a, {_key("target")} AS b FROM links WHERE target IS NOT NULL
 ), both_ways AS (

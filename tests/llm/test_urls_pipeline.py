@@ -1,9 +1,11 @@
 """URL filters, the registered queries and the pipeline."""
 
 import itertools
+import random
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from loomgrid.llm import queries, simhash, url_filter
@@ -42,6 +44,25 @@ def test_rules(spark):
     ]
 
 
+def test_many_rules(spark):
+    """The joins of a large table of rules against the expression."""
+    dice = random.Random(8)
+    word = lambda: dice.choice(["a", "b", "net", "org", "x-y"])
+    path = lambda n: "".join("/" + word() for _ in range(dice.randrange(n))) + dice.choice(["", "/"])
+    rules = list({".".join(word() for _ in range(dice.randrange(1, 4))) + path(3): dice.choice(["allow", "block"]) for _ in range(150)}.items())
+    rows = [(i, f"http://{'.'.join(word() for _ in range(dice.randrange(1, 5)))}{path(5)}") for i in range(2000)] + [(5000, None), (5001, "no"), (5002, "http:///a")]
+    table = spark.createDataFrame(rows, "page_id bigint, url string")
+    named = table.select("page_id", url_filter.host_of(F.col("url")).alias("host"), url_filter.path_of(F.col("url")).alias("path"))
+    found = {r.page_id: r.own for r in url_filter.with_rules(named, rules, most=10).collect()}
+    wanted = {r.page_id: r.own for r in url_filter.with_rules(named, rules).collect()}
+    assert found == wanted and len(found) == len(rows) and any(found.values()) and not all(found.values())
+
+
+@pytest.mark.parametrize(("path", "wanted"), [("/a/../b", "/b"), ("/a/./b/..", "/a/"), ("/../..", "/"), ("/a/b/../../c?x=/../y", "/c?x=/../y"), ("/a..b/.c", "/a..b/.c"), ("/.", "/"), ("/a//../b", "/a/b"), ("/", "/"), ("", "")])
+def test_dot_segments(spark, path, wanted):
+    assert spark.createDataFrame([(path,)], "p string").select(url_filter.without_dots(F.col("p"))).first()[0] == wanted
+
+
 def test_aliases(spark):
     pages = [(1, "http://a.com/1", "", 1), (2, "https://a.com/1#x", "", 1), (3, "http://b.com/", "", 1), (4, "http://c.com/", "", 1), (5, "http://d.org/fr/1", "", 1), (6, "http://e.com/", "", 1), (7, "http://spam.net/", "", 1), (8, "http://f.com/", "", 1), (8, "http://f.com/", "", 1)]
     edges = [("http://a.com/1", "http://b.com"), ("http://b.com/", "http://unseen.net/x"), ("http://c.com/", "http://d.org/fr/1"), ("http://e.com/", "http://d.org/fr/1"), ("http://e.com/", "http://spam.net/"), ("http://a.com/1", "http://a.com/1")]
@@ -76,6 +97,10 @@ def test_sql_follows_links(spark, tmp_path):
         (9, "http://f.com", canon("")),
         (10, "http://g.com/p?x=1", canon("/p?x=1&amp;y=2")),
         (11, "http://g.com/p?x=1&y=2", canon("http://block.net/")),
+        (12, "http://c.com/z", canon("http://h.net/")),  # row 4 links here
+        (13, "http://i.com/a/./b/../c", "<!-- " + canon("http://h.net/") + " -->"),
+        (14, "http://i.com/q/", canon("../a/c?x=../y")),
+        (15, "http://i.com/a/c?x=../y", canon("http://spam.net/1/..")),
     ]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
     pages.write.parquet(str(tmp_path / "pages.parquet"))
