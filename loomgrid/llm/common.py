@@ -36,7 +36,20 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/table-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more, and have the driver collect its garbage: only then does
+    Spark delete the shuffle files of the plans that wrote them, which would fill executors' disks in a long job."""
+    for table in tables:
+        spark = table.sparkSession
+        place = spark._jvm.org.apache.hadoop.fs.Path(table.written_path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    if tables:
+        tables[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 @contextlib.contextmanager

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomgrid.llm.common import SPACE_CLASS, materialize
+from loomgrid.llm.common import SPACE_CLASS, materialize, release
 
 BLANKS = " \t\n\r\x0b\x0c"
 #: Scripts that don't part words: Thai, Lao, Tibetan, Burmese, Khmer, kana and Han.
@@ -114,8 +114,9 @@ def window_runs(text: Column, min_words: int, gram: int) -> Column:
     return _winnowed(text, min_words, gram, runs)
 
 
-def repeated_windows(texts: DataFrame, min_words: int, gram: int) -> DataFrame:
-    """``doc, s, e``: the first words (first and last in a row) of windows of ``texts(doc, text)`` that also occur earlier."""
+def repeated_windows(texts: DataFrame, min_words: int, gram: int) -> tuple[DataFrame, list[DataFrame]]:
+    """``doc, s, e``: the first words (first and last in a row) of windows of ``texts(doc, text)`` that also occur earlier. Second,
+    the written tables that it reads."""
     # a condition on the array, also one that explode infers, would have it computed twice
     runs = texts.select("doc", F.explode_outer(window_runs(F.col("text"), min_words, gram)).alias("run")).where("run IS NOT NULL")
     runs = materialize(runs.select("run.mark", F.xxhash64("run.keys").alias("whole"), "doc", "run.at", F.size("run.keys").alias("n"), "run.keys"))
@@ -126,12 +127,14 @@ def repeated_windows(texts: DataFrame, min_words: int, gram: int) -> DataFrame:
         .withColumn("again", F.size(F.array_distinct("keys")) < F.size("keys"))
     )
     whole = runs.select("mark", "whole", "n", "doc", "at").join(distinct.where("rows > 1").select("mark", "whole", "n", "first"), ["mark", "whole", "n"])
-    whole = whole.where(place > F.col("first")).select("doc", F.col("at").alias("s"), (F.col("at") + F.col("n") - 1).alias("e"))
+    whole = materialize(whole.where(place > F.col("first")).select("doc", F.col("at").alias("s"), (F.col("at") + F.col("n") - 1).alias("e")))
+    release(runs)
     several = materialize(distinct.groupBy("mark").agg(F.count(F.lit(1)).alias("runs"), F.max("again").alias("again")).where("runs > 1 OR again").select("mark"))
-    each = distinct.join(several, "mark").select("mark", F.posexplode("keys").alias("k", "key"), "first.doc", "first.at").select("mark", "key", "doc", (F.col("at") + F.col("k")).alias("at"))
+    each = materialize(distinct.join(several, "mark").select("mark", F.posexplode("keys").alias("k", "key"), "first.doc", "first.at").select("mark", "key", "doc", (F.col("at") + F.col("k")).alias("at")))
+    release(distinct, several)
     firsts = materialize(each.groupBy("mark", "key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1").select("mark", "key", "first"))
     single = each.join(firsts, ["mark", "key"]).where(place > F.col("first")).select("doc", F.col("at").alias("s"), F.col("at").alias("e"))
-    return whole.union(single)
+    return whole.union(single), [whole, each, firsts]
 
 
 def dedup_passages(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = 40, gram: int = 8) -> DataFrame:
@@ -163,12 +166,14 @@ def dedup_passages(documents: DataFrame, id_column: str = "doc_id", text_column:
     some = marked.select("n", "doc").join(with_shared, "n").select("doc", F.lit(False).alias("copy"))
     some = materialize(some.union(copies.where("copy").select("doc", "copy")).groupBy("doc").agg(F.max("copy").alias("copy")))
     rows = materialize(rows.join(some, "doc", "left"))
+    release(marked, heads, copies, shared, some)
 
-    found = repeated_windows(rows.where("NOT copy").select("doc", text.alias("text")), min_words, gram)
+    found, written = repeated_windows(rows.where("NOT copy").select("doc", text.alias("text")), min_words, gram)
     found = found.groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("w"))
     ends = F.filter("w", lambda x, i: F.coalesce(F.get("w", i + 1)["s"] > x["e"] + min_words, F.lit(True)))
     starts = F.filter("w", lambda x, i: F.coalesce(F.get("w", i - 1)["e"] + min_words < x["s"], F.lit(True)))
     runs = materialize(found.select("doc", F.zip_with(starts, ends, lambda x, y: F.struct(x["s"].alias("first"), (y["e"] + min_words - 1).alias("last"))).alias("runs")))
+    release(*written)
 
     def left(p: Column) -> Column:
         """What stands before, between and after the runs."""
