@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -49,6 +50,7 @@ def release(*tables: DataFrame) -> None:
         place = spark._jvm.org.apache.hadoop.fs.Path(table.written_path)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
     if tables:
+        gc.collect()  # Python's objects hold the JVM's
         tables[0].sparkSession.sparkContext._jvm.System.gc()
 
 

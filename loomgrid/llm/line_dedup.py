@@ -114,12 +114,13 @@ def window_runs(text: Column, min_words: int, gram: int) -> Column:
     return _winnowed(text, min_words, gram, runs)
 
 
-def repeated_windows(texts: DataFrame, min_words: int, gram: int) -> tuple[DataFrame, list[DataFrame]]:
+def repeated_windows(texts: DataFrame, min_words: int, gram: int, *read: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """``doc, s, e``: the first words (first and last in a row) of windows of ``texts(doc, text)`` that also occur earlier. Second,
-    the written tables that it reads."""
+    the written tables that it reads. Those in ``read`` are deleted on the way."""
     # a condition on the array, also one that explode infers, would have it computed twice
     runs = texts.select("doc", F.explode_outer(window_runs(F.col("text"), min_words, gram)).alias("run")).where("run IS NOT NULL")
     runs = materialize(runs.select("run.mark", F.xxhash64("run.keys").alias("whole"), "doc", "run.at", F.size("run.keys").alias("n"), "run.keys"))
+    release(*read)
     place = F.struct("doc", "at")
     distinct = materialize(
         runs.groupBy("mark", "whole", "n")
@@ -166,9 +167,9 @@ def dedup_passages(documents: DataFrame, id_column: str = "doc_id", text_column:
     some = marked.select("n", "doc").join(with_shared, "n").select("doc", F.lit(False).alias("copy"))
     some = materialize(some.union(copies.where("copy").select("doc", "copy")).groupBy("doc").agg(F.max("copy").alias("copy")))
     rows = materialize(rows.join(some, "doc", "left"))
-    release(marked, heads, copies, shared, some)
+    release(marked, heads, copies, shared)
 
-    found, written = repeated_windows(rows.where("NOT copy").select("doc", text.alias("text")), min_words, gram)
+    found, written = repeated_windows(rows.where("NOT copy").select("doc", text.alias("text")), min_words, gram, some)
     found = found.groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("w"))
     ends = F.filter("w", lambda x, i: F.coalesce(F.get("w", i + 1)["s"] > x["e"] + min_words, F.lit(True)))
     starts = F.filter("w", lambda x, i: F.coalesce(F.get("w", i - 1)["e"] + min_words < x["s"], F.lit(True)))
