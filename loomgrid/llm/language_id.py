@@ -23,6 +23,8 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomgrid.llm.common import trim_worker
+
 LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 BORDER = 0
 #: Words whose scores a worker keeps; emptied beyond that, which changes no result.
@@ -218,9 +220,13 @@ def identify_languages(documents: DataFrame, models: LanguageModels, id_column:
     """The columns ``keep`` (default: the identifier) and ``lang_pred, score, rejected`` for every document.
 
     ``lang_pred`` is ``und`` and the score 0 if the text is null or has no letter (such a text is rejected).
-    The score is the share of the best language in 2^(-4 * bits per character) over all languages.
+    The score is the share of the best language in 2^(-4 * bits per character) over all languages. Rows that repeat are judged
+    alike, of equal cross-entropies the first language by name wins, a very long text is held by one task as its words; an empty
+    table gives no rows. Kept columns with the names of the results aren't allowed; other columns are ignored.
     """
     kept = keep or [id_column]
+    if clash := {"lang_pred", "score", "rejected"} & set(kept):
+        raise ValueError(f"columns of the result: {', '.join(sorted(clash))}")
     spark = documents.sparkSession
     shared = spark.sparkContext.broadcast(models)  # bounded by the sample
     fields = [f for f in documents.select(*kept).schema.fields]
@@ -236,5 +242,7 @@ def identify_languages(documents: DataFrame, models: LanguageModels, id_column:
                     [*part.columns[: len(kept)], pa.array(languages, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],
                     [*kept, "lang_pred", "score", "rejected"],
                 )
+        own.__dict__.update(own.__getstate__())  # the memo goes with the task
+        trim_worker()
 
     return documents.select(*kept, F.col(text_column).alias("__text")).mapInArrow(predict, ddl)
