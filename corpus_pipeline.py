@@ -18,7 +18,11 @@ def _with_text_of(docs: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; those that no model accepts (or without a letter) go."""
+    """Documents whose language is recognised; those that no model accepts (or without a letter) go.
+
+    Rows are whole texts here, and both the JVM and the Python workers hold a batch of them, so batches are kept small from
+    this stage on."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
     models = language_id.fit_languages(docs.where(hash_remainder(F.col("doc_id"), 5) != 0))
     judged = language_id.identify_languages(docs.select(*COLUMNS), models, keep=COLUMNS)
     return judged.where("NOT rejected").select(*COLUMNS)
