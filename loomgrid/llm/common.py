@@ -41,19 +41,40 @@ def materialize(df: DataFrame) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_path = path
+    for tables in _GATHERED:
+        tables.append(out)
     return out
 
 
+_GATHERED: list[list[DataFrame]] = []
+
+
+@contextlib.contextmanager
+def gathered() -> Iterator[list[DataFrame]]:
+    """A list of the tables that are written within this: once its result is written too, a caller may release them."""
+    tables: list[DataFrame] = []
+    _GATHERED.append(tables)
+    try:
+        yield tables
+    finally:
+        _GATHERED[:] = [x for x in _GATHERED if x is not tables]
+
+
 def release(*tables: DataFrame) -> None:
-    """Delete written tables that nothing reads any more, and have the driver collect its garbage: only then does
-    Spark delete the shuffle files of the plans that wrote them, which would fill executors' disks in a long job."""
+    """Delete written tables that nothing reads any more, and the shuffle files of the plans that wrote them."""
     for table in tables:
         spark = table.sparkSession
         place = spark._jvm.org.apache.hadoop.fs.Path(table.written_path)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
     if tables:
-        gc.collect()  # Python's objects hold the JVM's
-        tables[0].sparkSession.sparkContext._jvm.System.gc()
+        drop_shuffles(tables[0].sparkSession)
+
+
+def drop_shuffles(spark: SparkSession) -> None:
+    """Have the driver collect its garbage: only then does Spark delete the shuffle files of plans that nothing holds any more,
+    which would fill executors' disks in a long job."""
+    gc.collect()  # Python's objects hold the JVM's
+    spark.sparkContext._jvm.System.gc()
 
 
 @contextlib.contextmanager

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomgrid.llm.common import SPACE_CLASS, materialize, release
+from loomgrid.llm.common import SPACE_CLASS, drop_shuffles, materialize, release
 
 BLANKS = " \t\n\r\x0b\x0c"
 #: Scripts that don't part words: Thai, Lao, Tibetan, Burmese, Khmer, kana and Han.
@@ -30,6 +30,8 @@ LOW = r"^[\x00-\u0DFF]*+\z"
 #: Where words end: before what follows white space, and on both sides of each character of those scripts.
 SPACE_END = r"(?<=[\x20\x09-\x0D])(?![\x20\x09-\x0D])"
 WORD_END = rf"{SPACE_END}|(?<={ALONE})(?![\x20\x09-\x0D])|(?={ALONE})"
+#: Shared fingerprints of one text up to which each of its runs is looked up among them, one by one.
+LOOKED_UP = 5_000
 
 
 def _doc(id_column: str, text_column: str) -> Column:
@@ -103,22 +105,25 @@ def fingerprints(text: Column, min_words: int, gram: int) -> Column:
     return _winnowed(text, min_words, gram, marks)
 
 
-def window_runs(text: Column, min_words: int, gram: int) -> Column:
-    """Arrays of ``mark, at, keys``: windows one after the other with the same minimum, from the piece ``at`` on, and their hashes."""
+def window_runs(text: Column, min_words: int, gram: int, shared: Column) -> Column:
+    """Arrays of ``mark, at, keys``: windows one after the other with the same minimum, from the piece ``at`` on, and their hashes,
+    of the minima in ``shared`` (of all, where those are so many that looking them up would take longer)."""
 
     def runs(h: Column, g: Column, m: Column) -> Column:
         starts = F.filter(F.sequence(F.lit(0), F.size(m) - 1), lambda i: (i == 0) | (F.get(m, i) != F.get(m, i - 1)))
-        run = lambda k, s, at, i: F.struct(F.get(m, at).alias("mark"), (lead(text) + at).alias("at"), F.slice(k, at + 1, F.coalesce(F.get(s, i + 1), F.size(m)) - at).alias("keys"))
-        return _let(_over(h, min_words, lambda x, y: F.xxhash64(x, y)), lambda k: _let(starts, lambda s: F.transform(s, lambda at, i: run(k, s, at, i))))
+        spans = _let(starts, lambda s: F.transform(s, lambda at, i: F.struct(at.alias("at"), F.coalesce(F.get(s, i + 1), F.size(m)).alias("end"))))
+        known = F.filter(spans, lambda x: (F.size(shared) > LOOKED_UP) | F.array_contains(shared, F.get(m, x["at"])))
+        run = lambda k, x: F.struct(F.get(m, x["at"]).alias("mark"), (lead(text) + x["at"]).alias("at"), F.slice(k, x["at"] + 1, x["end"] - x["at"]).alias("keys"))
+        return _let(known, lambda s: F.when(F.size(s) > 0, _let(_over(h, min_words, lambda x, y: F.xxhash64(x, y)), lambda k: F.transform(s, lambda x: run(k, x)))))
 
     return _winnowed(text, min_words, gram, runs)
 
 
 def repeated_windows(texts: DataFrame, min_words: int, gram: int, *read: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
-    """``doc, s, e``: the first words (first and last in a row) of windows of ``texts(doc, text)`` that also occur earlier. Second,
-    the written tables that it reads. Those in ``read`` are deleted on the way."""
+    """``doc, s, e``: the first words (first and last in a row) of windows of ``texts(doc, text, marks)`` that also occur earlier; ``marks``
+    are the text's shared fingerprints. Second, the written tables that it reads. Those in ``read`` are deleted on the way."""
     # a condition on the array, also one that explode infers, would have it computed twice
-    runs = texts.select("doc", F.explode_outer(window_runs(F.col("text"), min_words, gram)).alias("run")).where("run IS NOT NULL")
+    runs = texts.select("doc", F.explode_outer(window_runs(F.col("text"), min_words, gram, F.col("marks"))).alias("run")).where("run IS NOT NULL")
     runs = materialize(runs.select("run.mark", F.xxhash64("run.keys").alias("whole"), "doc", "run.at", F.size("run.keys").alias("n"), "run.keys"))
     release(*read)
     place = F.struct("doc", "at")
@@ -134,6 +139,7 @@ def repeated_windows(texts: DataFrame, min_words: int, gram: int, *read: DataFra
     each = materialize(distinct.join(several, "mark").select("mark", F.posexplode("keys").alias("k", "key"), "first.doc", "first.at").select("mark", "key", "doc", (F.col("at") + F.col("k")).alias("at")))
     release(distinct, several)
     firsts = materialize(each.groupBy("mark", "key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1").select("mark", "key", "first"))
+    drop_shuffles(texts.sparkSession)
     single = each.join(firsts, ["mark", "key"]).where(place > F.col("first")).select("doc", F.col("at").alias("s"), F.col("at").alias("e"))
     return whole.union(single), [whole, each, firsts]
 
@@ -163,13 +169,14 @@ def dedup_passages(documents: DataFrame, id_column: str = "doc_id", text_column:
     copies = materialize(copies.select("n", "doc", (F.col("doc") != F.col("head.doc")).alias("copy")))
     each = marked.join(copies.select("n"), "n", "left_anti").select("n", F.explode("marks").alias("mark"))
     shared = materialize(each.groupBy("mark").count().where("count > 1").select("mark"))
-    with_shared = each.join(shared, "mark").select("n").distinct()
-    some = marked.select("n", "doc").join(with_shared, "n").select("doc", F.lit(False).alias("copy"))
-    some = materialize(some.union(copies.where("copy").select("doc", "copy")).groupBy("doc").agg(F.max("copy").alias("copy")))
+    with_shared = each.join(shared, "mark").groupBy("n").agg(F.collect_set("mark").alias("shared"))
+    some = marked.select("n", "doc").join(with_shared, "n").select("doc", F.lit(False).alias("copy"), "shared")
+    some = some.union(copies.where("copy").select("doc", "copy", F.array().cast("array<bigint>")))
+    some = materialize(some.groupBy("doc").agg(F.max("copy").alias("copy"), F.flatten(F.collect_list("shared")).alias("shared")))
     rows = materialize(rows.join(some, "doc", "left"))
     release(marked, heads, copies, shared)
 
-    found, written = repeated_windows(rows.where("NOT copy").select("doc", text.alias("text")), min_words, gram, some)
+    found, written = repeated_windows(rows.where("NOT copy").select("doc", text.alias("text"), F.col("shared").alias("marks")), min_words, gram, some)
     found = found.groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("w"))
     ends = F.filter("w", lambda x, i: F.coalesce(F.get("w", i + 1)["s"] > x["e"] + min_words, F.lit(True)))
     starts = F.filter("w", lambda x, i: F.coalesce(F.get("w", i - 1)["e"] + min_words < x["s"], F.lit(True)))
