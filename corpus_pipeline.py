@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomgrid.llm import language_id, line_dedup, packing, pii, simhash
-from loomgrid.llm.common import hash_remainder, materialize
+from loomgrid.llm.common import gathered, hash_remainder, materialize, release
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -38,11 +38,12 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Of each group of near-duplicates (five-word shingles, similarity 0.8 or more) the document with the smallest identifier:
     one row, also of rows that repeat an identifier, or an identifier and a text."""
     groups = simhash.similar_groups(docs, seeds=3)
-    kept = groups.where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
-    rows = docs.select(*COLUMNS, F.xxhash64("text").alias("text_hash"))
-    rows = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_hash") == F.col("kept_hash")), "left_semi")
+    # plain columns in place of a null-safe comparison: the texts are then dealt once for the join and the window
+    place = [F.coalesce("doc_id", F.lit(0)).alias("place"), F.col("doc_id").isNull().alias("no_id")]
+    kept = groups.where("kept").select(*place, "text_hash")
+    rows = docs.select(*COLUMNS, *place, F.xxhash64("text").alias("text_hash")).join(kept, ["place", "no_id", "text_hash"], "left_semi")
     # rows with the same identifier and text are in one group, of which one row is kept
-    same = Window.partitionBy("doc_id", "text_hash").orderBy("lang", "source")
+    same = Window.partitionBy("place", "no_id", "text_hash").orderBy("lang", "source")
     return rows.withColumn("copy", F.row_number().over(same)).where("copy = 1").select(*COLUMNS)
 
 
@@ -70,8 +71,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``, each written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir))
+    """All stages over the documents of ``sf_dir``, each written and read again. What a stage has read and written on the way is
+    deleted as soon as its result is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
+    for _, stage in STAGES[:-1]:
+        with gathered() as tables:
+            docs = materialize(stage(spark, docs, sf_dir))
+        release(*before, *tables[:-1])
+        before = tables[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -26,6 +26,7 @@ differ by at least as many shingles as their parities differ in bits.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -35,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgrid.llm.common import arrow_rows, materialize
+from loomgrid.llm.common import arrow_rows, drop_shuffles, gathered, materialize, release
 from loomgrid.llm.components import connected_components
 
 SEED, RADIUS = 42, 3
@@ -354,14 +355,22 @@ def similar_groups(
                 columns = [*lists, pa.array([n for _, n, _ in heads], pa.int32()), pa.array([b for _, _, b in heads], pa.int64())]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), content, *columns], ["id", "text_hash", "content", "fps", "prefix", "size", "bits"])
 
+    spark = documents.sparkSession
     source = documents.select(F.col(id_column).alias("id"), F.xxhash64(text_column).alias("text_hash"), F.col(text_column).alias("text"))
     common = common_shingles(source, shingle)
-    with arrow_rows(documents.sparkSession, 1000):
+    with arrow_rows(spark, 1000):
         marked = materialize(source.mapInArrow(marks, f"id {id_type}, text_hash bigint, content binary, fps array<bigint>, prefix array<bigint>, size int, bits bigint").withColumn("rid", F.monotonically_increasing_id()))
+    drop_shuffles(spark)
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "rid", "text_hash")).alias("first")
     nodes = materialize(marked.groupBy("content").agg(first, F.first("fps").alias("fps")).withColumn("node", F.col("first.rid")))
-    rows = nodes.select("node", F.posexplode("fps").alias("t", "fp"))
-    pairs = materialize(fingerprint_links(rows, radius, Forest(radius), bucket))
+    # fingerprints of one seed only compare with each other, and their index is the widest exchange: one seed at a time
+    seen = []
+    for t in range(seeds):
+        with gathered() as index:
+            seen.append(materialize(fingerprint_links(nodes.select("node", F.lit(t).alias("t"), F.get("fps", F.lit(t)).alias("fp")), radius, Forest(radius), bucket)))
+        release(*index[:-1])
+    pairs = materialize(functools.reduce(DataFrame.union, seen).distinct())
+    release(*seen)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -370,12 +379,16 @@ def similar_groups(
 
     def similar(pairs: DataFrame) -> DataFrame:
         # the texts of the nodes that have a candidate, and only those
+        drop_shuffles(spark)
         wanted = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "first"), "node"))
         found = source.join(wanted.select("node", F.col("first.id").alias("wanted_id"), F.col("first.text_hash").alias("wanted_hash")), F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("text_hash") == F.col("wanted_hash")))
         texts = materialize(found.select("node", "text").dropDuplicates(["node"]))
+        release(wanted)
         both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
-        with arrow_rows(documents.sparkSession, 200):
-            return materialize(both.select("a", "b", "left", "right").mapInArrow(verify, "a bigint, b bigint"))
+        with arrow_rows(spark, 200):
+            good = materialize(both.select("a", "b", "left", "right").mapInArrow(verify, "a bigint, b bigint"))
+        release(pairs, texts)
+        return good
 
     links = similar(pairs)
     labels = connected_components(links).select("node", F.col("component").alias("label"))
@@ -388,4 +401,7 @@ def similar_groups(
     joined = nodes.select("content", "first", "node").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     firsts = joined.groupBy("component").agg(F.min("first").alias("head"))
     named = materialize(joined.join(firsts, "component").select("content", "head"))
-    return marked.join(named, "content").select(F.col("id").alias(id_column), F.col("head.id").alias("component_id"), (F.col("rid") == F.col("head.rid")).alias("kept"), "text_hash")
+    out = marked.join(named, "content").select(F.col("id").alias(id_column), F.col("head.id").alias("component_id"), (F.col("rid") == F.col("head.rid")).alias("kept"), "text_hash")
+    out = materialize(out)  # without the prefixes, which are most of what is written here
+    release(marked, nodes, links, missed, named)
+    return out

@@ -1,14 +1,22 @@
 """What the operators write on the way: no more than is needed, and deleted when it is read."""
 
+import os
 import random
 
 import pytest
 
-from loomgrid.llm import line_dedup
+import corpus_pipeline
+from loomgrid.llm import line_dedup, simhash
+from loomgrid.llm.common import gathered
 
+from .conftest import DATA
 from .test_passages import passages_brute
 
 
+def left(tables):
+    return [t for t in tables if os.path.exists(t.written_path.removeprefix("file:"))]
+
+
 def passages(dice):
     fresh = lambda n: [f"w{dice.randrange(10**9)}" for _ in range(n)]
     shared = fresh(60)
@@ -38,3 +46,25 @@ def test_more_shared_fingerprints_than_are_looked_up(spark, monkeypatch, most):
     rows = passages(random.Random(22))
     out = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert out == passages_brute(rows, 40)
+
+
+def test_seeds_are_dealt_one_at_a_time(spark, documents, monkeypatch):
+    seeds = []
+
+    def spy(rows, *more, real=simhash.fingerprint_links):
+        seeds.append({r.t for r in rows.select("t").distinct().collect()})
+        return real(rows, *more)
+
+    monkeypatch.setattr(simhash, "fingerprint_links", spy)
+    with gathered() as tables:
+        groups = simhash.similar_groups(documents, seeds=3)
+    assert seeds == [{0}, {1}, {2}]
+    assert groups.count() == documents.count()
+    wide = [t for t in left(tables) if {"prefix", "text", "fps", "key"} & set(t.columns)]
+    assert not wide
+
+
+def test_pipeline_deletes_what_it_has_read(spark, documents):
+    with gathered() as tables:
+        packed = corpus_pipeline.run(spark, DATA)
+    assert len(left(tables)) == 1 and packed.count() > 0
