@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomgrid.llm import language_id, line_dedup, packing, pii, simhash
-from loomgrid.llm.common import gathered, hash_remainder, materialize, release
+from loomgrid.llm.common import gathered, hash_remainder, materialize, release, shrink_executors
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -30,6 +30,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later repetitions of passages are deleted; documents of which nothing is left go."""
+    shrink_executors(spark)
     cleaned = line_dedup.dedup_passages(docs.select(*COLUMNS))
     return _with_text_of(cleaned.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")))
 

@@ -98,6 +98,13 @@ def trim_worker() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def shrink_executors(spark: SparkSession) -> None:
+    """Have the executors' JVMs collect their garbage and give back the heap that earlier stages left: Python workers, which stay
+    for a minute, and the next stage need it."""
+    tasks = max(2, spark.sparkContext.defaultParallelism)
+    spark.range(0, tasks, 1, tasks).selectExpr("reflect('java.lang.System', 'gc') AS done").collect()
+
+
 def ascii_lower(column: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
