@@ -30,6 +30,14 @@ LOW = r"^[\x00-\u0DFF]*+\z"
 #: Where words end: before what follows white space, and on both sides of each character of those scripts.
 SPACE_END = r"(?<=[\x20\x09-\x0D])(?![\x20\x09-\x0D])"
 WORD_END = rf"{SPACE_END}|(?<={ALONE})(?![\x20\x09-\x0D])|(?={ALONE})"
+#: Runs of white space other than one space.
+OTHER_SPACE = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
+#: Low bits of a word's number that are its place: more than an array can have.
+PLACE_BITS = 31
+#: Hashes below this are a quarter of all.
+LOW_QUARTER = -(1 << 62)
+#: After so many, what stays is about a tenth more than the least of the windows.
+PASSES = 7
 #: Shared fingerprints of one text up to which each of its runs is looked up among them, one by one.
 LOOKED_UP = 5_000
 
@@ -59,62 +67,76 @@ def lead(text: Column) -> Column:
     return F.when(F.instr(F.lit(BLANKS), F.substring(text, 1, 1)) > 0, 1).otherwise(0)
 
 
-def word_hashes(text: Column) -> Column:
-    """The costly expression is only for texts with the scripts that need it."""
+def words(text: Column) -> Column:
+    """A text's words without white space. The costly expression is only for texts with the scripts that need it; a split at one
+    plain character needs no pattern."""
     trimmed = F.btrim(text, F.lit(BLANKS))
-    cut = F.filter(F.split(text, WORD_END), lambda x: F.rtrim(x, F.lit(BLANKS)) != "")
-    return (
-        F.when(trimmed == "", F.array().cast("array<bigint>"))
-        .when(_alone(text), F.transform(cut, lambda x: F.xxhash64(F.rtrim(x, F.lit(BLANKS)))))
-        .otherwise(F.transform(F.split(trimmed, SPACE_CLASS + "+"), lambda x: F.xxhash64(x)))
-    )
+    cut = F.filter(F.transform(F.split(text, WORD_END), lambda x: F.rtrim(x, F.lit(BLANKS))), lambda x: x != "")
+    return F.when(trimmed == "", F.array().cast("array<string>")).when(_alone(text), cut).otherwise(F.split(F.regexp_replace(trimmed, OTHER_SPACE, " "), " "))
+
 
+def _place(number: Column) -> Column:
+    return number.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int")
 
-def _over(values: Column, size: int, both) -> Column:
-    """At each place, ``both`` over the next ``size`` elements, folded from halves that may overlap. The last
-    ``size - 1`` places have less before them and are left out."""
 
-    def folded(values: Column, step: int) -> Column:
-        if step * 2 > size:
-            last = _let(values, lambda v: F.zip_with(v, F.slice(v, size - step + 1, F.size(v)), both)) if step < size else values
-            return _let(last, lambda v: F.slice(v, 1, F.size(v) - (size - 1)))
-        return folded(_let(values, lambda v: F.zip_with(v, F.slice(v, step + 1, F.size(v)), both)), step * 2)
+def _least(order: Column, lines: int) -> Column:
+    """From the numbers of a text's lines, in order of place: those that are the least of ``lines`` in a row, and few others.
 
-    return folded(values, 1)
+    One that stands between two lesser ones (or the ends) that leave no room for a window is the least of none, and every window's least stays.
+    The passes begin with the lowest quarter, unless some window has none of it."""
+    apart = lambda x, before: _place(x) - F.coalesce(_place(before), F.lit(-1)) > lines
+    empty = lambda c: F.size(F.filter(c, lambda x, i: apart(x, F.get(c, i - 1)))) > 0
+    ends = lambda c: F.size(order) - F.coalesce(_place(F.get(c, F.size(c) - 1)), F.lit(-1)) > lines
+    between = lambda c, i: F.coalesce(_place(F.get(c, i + 1)), F.size(order)) - F.coalesce(_place(F.get(c, i - 1)), F.lit(-1))
+    lesser = lambda y, x: F.coalesce(y < x, F.lit(True))
+    kept = lambda c: F.filter(c, lambda x, i: ~(lesser(F.get(c, i - 1), x) & lesser(F.get(c, i + 1), x) & (between(c, i) <= lines)))
+    out = _let(F.filter(order, lambda x: x < LOW_QUARTER), lambda c: F.when(ends(c) | empty(c), order).otherwise(c))
+    for _ in range(PASSES):
+        out = _let(out, kept)
+    return out
 
 
 def _winnowed(text: Column, min_words: int, gram: int, body) -> Column:
-    """``body`` of a text's word hashes, line hashes and window minima; null for less than a window. Line hashes only have to
-    be alike where lines are: what decides is the hash of the window."""
-    mixed = lambda x, y: x.bitwiseXOR(F.shiftleft(y, 5))
-    less = lambda x, y: F.when(x < y, x).otherwise(y)
-    lines = 1 << (min_words - gram + 1).bit_length() - 1  # of a window's first lines, as many as a power of two
-    window = lambda m: F.slice(m, 1, F.size(m) - (min_words - gram + 1 - lines))
-    inner = lambda h: _let(_over(h, gram, mixed), lambda g: _let(window(_over(g, lines, less)), lambda m: body(h, g, m)))
-    return _let(word_hashes(text), lambda h: F.when(F.size(h) >= min_words, inner(h)))
+    """``body`` of a text's words and the least numbers of its windows; null for less than a window.
 
+    The number of a line is the hash of its first word above its place, so of equal words the first is less. Where windows are
+    alike, so are their least lines: what decides is the hash of the window."""
+    number = lambda w, i: F.xxhash64(w).bitwiseAND(F.lit(-1 << PLACE_BITS)).bitwiseOR(i.cast("bigint"))
+    order = lambda w: F.slice(F.transform(w, number), 1, F.size(w) - gram + 1)
+    inner = lambda w: _let(order(w), lambda o: _let(_least(o, min_words - gram + 1), lambda m: body(w, m)))
+    return _let(words(text), lambda w: F.when(F.size(w) >= min_words, inner(w)))
 
-def fingerprints(text: Column, min_words: int, gram: int) -> Column:
-    """The distinct window minima of a text; those whose line it repeats itself are named twice."""
 
-    def marks(h: Column, g: Column, m: Column) -> Column:
-        repeated = _let(F.sort_array(g), lambda s: F.filter(s, lambda x, i: x == F.get(s, i + 1)))
-        again = F.when(F.size(F.array_distinct(g)) < F.size(g), repeated)
-        return _let(F.array_distinct(m), lambda d: F.coalesce(F.concat(d, F.array_intersect(d, again)), d))
+def _line(w: Column, at: Column, gram: int) -> Column:
+    """The hash of ``gram`` words; a slice of an array would cost as much as all of it."""
+    return F.xxhash64(*(F.get(w, at + k) for k in range(gram)))
 
-    return _winnowed(text, min_words, gram, marks)
 
+def fingerprints(text: Column, min_words: int, gram: int) -> Column:
+    """The least lines of a text's windows; those that it repeats itself are named twice."""
+    twice = lambda s: F.filter(s, lambda x, i: (i < 2) | (x != F.get(s, i - 2)))
+    capped = lambda m: F.when(F.size(F.array_distinct(m)) < F.size(m), _let(F.sort_array(m), twice)).otherwise(m)
+    return _winnowed(text, min_words, gram, lambda w, m: _let(F.transform(m, lambda x: _line(w, _place(x), gram)), capped))
 
-def window_runs(text: Column, min_words: int, gram: int, shared: Column) -> Column:
-    """Arrays of ``mark, at, keys``: windows one after the other with the same minimum, from the piece ``at`` on, and their hashes,
-    of the minima in ``shared`` (of all, where those are so many that looking them up would take longer)."""
 
-    def runs(h: Column, g: Column, m: Column) -> Column:
-        starts = F.filter(F.sequence(F.lit(0), F.size(m) - 1), lambda i: (i == 0) | (F.get(m, i) != F.get(m, i - 1)))
-        spans = _let(starts, lambda s: F.transform(s, lambda at, i: F.struct(at.alias("at"), F.coalesce(F.get(s, i + 1), F.size(m)).alias("end"))))
-        known = F.filter(spans, lambda x: (F.size(shared) > LOOKED_UP) | F.array_contains(shared, F.get(m, x["at"])))
-        run = lambda k, x: F.struct(F.get(m, x["at"]).alias("mark"), (lead(text) + x["at"]).alias("at"), F.slice(k, x["at"] + 1, x["end"] - x["at"]).alias("keys"))
-        return _let(known, lambda s: F.when(F.size(s) > 0, _let(_over(h, min_words, lambda x, y: F.xxhash64(x, y)), lambda k: F.transform(s, lambda x: run(k, x)))))
+def window_runs(text: Column, min_words: int, gram: int, shared: Column) -> Column:
+    """Arrays of ``mark, at, keys``: windows one after the other with the same least line, from the piece ``at`` on, and their hashes,
+    of the lines in ``shared`` (of all, where those are so many that looking them up would take longer)."""
+    lines = min_words - gram + 1
+
+    def runs(w: Column, m: Column) -> Column:
+        marked = F.transform(m, lambda x, k: F.struct(_line(w, _place(x), gram).alias("mark"), k.alias("k")))
+        known = F.filter(marked, lambda x: (F.size(shared) > LOOKED_UP) | F.array_contains(shared, x["mark"]))
+        # the nearest lesser one on a side, of as many as a window may have
+        lesser = lambda k, side: _place(F.get(m, k + side * F.get(F.filter(F.sequence(F.lit(1), F.lit(lines)), lambda d: F.get(m, k + side * d) < F.get(m, k)), F.lit(0))))
+        begin = lambda k, p: F.greatest(F.coalesce(lesser(k, -1) + 1, F.lit(0)), p - lines + 1)
+        end = lambda k, p: F.least(F.coalesce(lesser(k, 1) - lines, p), p, F.size(w) - min_words)
+        spans = F.transform(known, lambda x: F.struct(x["mark"].alias("mark"), begin(x["k"], _place(F.get(m, x["k"]))).alias("at"), end(x["k"], _place(F.get(m, x["k"]))).alias("last")))
+        starts = [*range(0, min_words - gram, gram), min_words - gram]  # lines that cover a window
+        keys = lambda g, x: F.transform(F.sequence(x["at"], x["last"]), lambda at: F.xxhash64(*(F.get(g, at + k) for k in starts)))
+        run = lambda g, x: F.struct(x["mark"].alias("mark"), (lead(text) + x["at"]).alias("at"), keys(g, x).alias("keys"))
+        hashed = F.transform(w, lambda x, i: _line(w, i, gram))
+        return _let(F.filter(spans, lambda x: x["at"] <= x["last"]), lambda s: F.when(F.size(s) > 0, _let(hashed, lambda g: F.transform(s, lambda x: run(g, x)))))
 
     return _winnowed(text, min_words, gram, runs)
 
@@ -130,12 +152,11 @@ def repeated_windows(texts: DataFrame, min_words: int, gram: int, *read: DataFra
     distinct = materialize(
         runs.groupBy("mark", "whole", "n")
         .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("rows"), F.any_value("keys").alias("keys"))
-        .withColumn("again", F.size(F.array_distinct("keys")) < F.size("keys"))
     )
     whole = runs.select("mark", "whole", "n", "doc", "at").join(distinct.where("rows > 1").select("mark", "whole", "n", "first"), ["mark", "whole", "n"])
     whole = materialize(whole.where(place > F.col("first")).select("doc", F.col("at").alias("s"), (F.col("at") + F.col("n") - 1).alias("e")))
     release(runs)
-    several = materialize(distinct.groupBy("mark").agg(F.count(F.lit(1)).alias("runs"), F.max("again").alias("again")).where("runs > 1 OR again").select("mark"))
+    several = materialize(distinct.groupBy("mark").count().where("count > 1").select("mark"))
     each = materialize(distinct.join(several, "mark").select("mark", F.posexplode("keys").alias("k", "key"), "first.doc", "first.at").select("mark", "key", "doc", (F.col("at") + F.col("k")).alias("at")))
     release(distinct, several)
     firsts = materialize(each.groupBy("mark", "key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1").select("mark", "key", "first"))

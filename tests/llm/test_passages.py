@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from loomgrid.llm import line_dedup
 
@@ -83,3 +84,20 @@ def test_clashing_names(spark):
     table = spark.createDataFrame(rows, "doc_id bigint, text string, row int, doc int, some int, runs int, `a.b` int")
     out = sorted(line_dedup.dedup_passages(table).collect())
     assert [tuple(r) for r in out] == [(*rows[0], 0, ""), (1, "x1 ", 1, 2, 3, 4, 5, 50, "1-50")]
+
+
+def test_least_lines_of_all_windows(spark):
+    """The least line of every window stays, also where no word of a window is in the lowest quarter and where words repeat; of fresh
+    words few others stay."""
+    dice = random.Random(8)
+    texts = [" ".join(f"w{dice.randrange(10**9)}" for _ in range(n)) for n in (40, 41, 75, 3000)]
+    texts += [" ".join(f"w{dice.randrange(3)}" for _ in range(300)), "one " * 100, " ".join(f"w{k}" for k in range(50)) + " same" * 90]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    number = "(xxhash64(w) & -2147483648L) | i"
+    for r in frame.selectExpr("i", f"transform(split(trim(text), ' '), (w, i) -> {number}) AS all").join(
+        frame.select("i", line_dedup._winnowed(F.col("text"), 40, 8, lambda w, m: m).alias("least")), "i"
+    ).collect():
+        lines = r["all"][: len(r["all"]) - 7]
+        wanted = {min(lines[s : s + 33]) for s in range(len(lines) - 32)}
+        assert wanted <= set(r.least) and r.least == [x for x in lines if x in set(r.least)]
+        assert r.i > 3 or len(r.least) <= 1.3 * len(wanted) + 3
