@@ -1,8 +1,8 @@
 """Removal of repeated passages by winnowing over line hashes, in DataFrame operations only.
 
 Passages are pasted anywhere, also into the middle of a physical line, so the lines that are hashed are the ``gram`` words from
-each word on: they are cut alike wherever they stand. From every word starts a window of ``min_words`` words; the least
-of its lines' hashes is its fingerprint. Two equal windows have the same fingerprint, so nothing of that length is missed, and as
+each word on: they are cut alike wherever they stand. From every word starts a window of ``min_words`` words; that of
+its lines whose first word has the least hash is its fingerprint. Two equal windows have the same fingerprint, so nothing of that length is missed, and as
 windows beside each other mostly share theirs, few are selected: about two in ``min_words - gram + 2`` words.
 
 The fingerprints are the join keys. Those that occur at one place only, as nearly all do, are settled by a count, and so are the
