@@ -17,12 +17,16 @@ or window is against a written table of one row a key, so Spark can split the ro
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomgrid.llm.common import SPACE_CLASS, drop_shuffles, materialize, release
 
 BLANKS = " \t\n\r\x0b\x0c"
+#: Put where words end, so that a split needs no pattern; texts that have it are split by one.
+CUT = "\x01"
 #: Scripts that don't part words: Thai, Lao, Tibetan, Burmese, Khmer, kana and Han.
 ALONE = r"[฀-႟ក-៿぀-ヿ㐀-䶿一-鿿豈-﫿\x{20000}-\x{3FFFF}]"
 #: Texts that have nothing beyond the first of them, found at less cost.
@@ -30,14 +34,14 @@ LOW = r"^[\x00-\u0DFF]*+\z"
 #: Where words end: before what follows white space, and on both sides of each character of those scripts.
 SPACE_END = r"(?<=[\x20\x09-\x0D])(?![\x20\x09-\x0D])"
 WORD_END = rf"{SPACE_END}|(?<={ALONE})(?![\x20\x09-\x0D])|(?={ALONE})"
-#: Runs of white space other than one space.
-OTHER_SPACE = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
 #: Low bits of a word's number that are its place: more than an array can have.
 PLACE_BITS = 31
-#: Hashes below this are a quarter of all.
-LOW_QUARTER = -(1 << 62)
+#: Hashes below this are about a seventh of all; its place bits are zero, so numbers compare with it as their hashes do.
+LOW_SEVENTH = (-(1 << 63) + (1 << 64) // 7) >> PLACE_BITS << PLACE_BITS
 #: After so many, what stays is about a tenth more than the least of the windows.
-PASSES = 7
+PASSES = 5
+#: Neighbours that are tried for a lesser one before all that a window may have.
+NEAR = 4
 #: Shared fingerprints of one text up to which each of its runs is looked up among them, one by one.
 LOOKED_UP = 5_000
 
@@ -59,7 +63,9 @@ def _alone(text: Column) -> Column:
 
 def pieces(text: Column) -> Column:
     """A text's words, each with the white space after it; what is blank before the first is a piece too."""
-    return F.when(_alone(text), F.split(text, WORD_END)).otherwise(F.split(text, SPACE_END))
+    ended = functools.reduce(lambda t, blank: F.replace(t, F.lit(blank), F.lit(blank + CUT)), BLANKS, text)
+    ended = functools.reduce(lambda t, blank: F.replace(t, F.lit(CUT + blank), F.lit(blank)), BLANKS, ended)
+    return F.when(_alone(text), F.split(text, WORD_END)).when(F.contains(text, F.lit(CUT)), F.split(text, SPACE_END)).otherwise(F.split(ended, CUT))
 
 
 def lead(text: Column) -> Column:
@@ -70,40 +76,47 @@ def lead(text: Column) -> Column:
 def words(text: Column) -> Column:
     """A text's words without white space. The costly expression is only for texts with the scripts that need it; a split at one
     plain character needs no pattern."""
-    trimmed = F.btrim(text, F.lit(BLANKS))
     cut = F.filter(F.transform(F.split(text, WORD_END), lambda x: F.rtrim(x, F.lit(BLANKS))), lambda x: x != "")
-    return F.when(trimmed == "", F.array().cast("array<string>")).when(_alone(text), cut).otherwise(F.split(F.regexp_replace(trimmed, OTHER_SPACE, " "), " "))
+    spaced = functools.reduce(lambda t, blank: F.replace(t, F.lit(blank), F.lit(" ")), BLANKS[1:], text)
+    return F.when(_alone(text), cut).otherwise(F.array_remove(F.split(spaced, " "), ""))
 
 
 def _place(number: Column) -> Column:
     return number.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int")
 
 
-def _least(order: Column, lines: int) -> Column:
-    """From the numbers of a text's lines, in order of place: those that are the least of ``lines`` in a row, and few others.
+def _number(word: Column, at: Column) -> Column:
+    """The hash of a line's first word above its place, so of equal words the first is less."""
+    return F.xxhash64(word).bitwiseAND(F.lit(-1 << PLACE_BITS)).bitwiseOR(at.cast("bigint"))
+
+
+def _least(w: Column, count: Column, lines: int) -> Column:
+    """Of the ``count`` lines of a text's words, in order of place, the numbers of those that are the least of ``lines`` in a row, and
+    few others.
 
     One that stands between two lesser ones (or the ends) that leave no room for a window is the least of none, and every window's least stays.
-    The passes begin with the lowest quarter, unless some window has none of it."""
-    apart = lambda x, before: _place(x) - F.coalesce(_place(before), F.lit(-1)) > lines
-    empty = lambda c: F.size(F.filter(c, lambda x, i: apart(x, F.get(c, i - 1)))) > 0
-    ends = lambda c: F.size(order) - F.coalesce(_place(F.get(c, F.size(c) - 1)), F.lit(-1)) > lines
-    between = lambda c, i: F.coalesce(_place(F.get(c, i + 1)), F.size(order)) - F.coalesce(_place(F.get(c, i - 1)), F.lit(-1))
+    The passes begin with the lowest seventh, and with all lines of the stretches where some window has none of it."""
+    last = lambda c: F.coalesce(_place(F.get(c, F.size(c) - 1)), F.lit(-1))
+    before = lambda c, i: F.coalesce(_place(F.get(c, i - 1)), F.lit(-1))
+    stretch = lambda begin, end: F.transform(F.sequence(begin, end), lambda at: _number(F.get(w, at), at))
+    apart = lambda c, x, i: _place(x) - before(c, i) > lines
+    filled = lambda c: F.transform(c, lambda x, i: F.when(apart(c, x, i), F.concat(stretch(before(c, i) + 1, _place(x) - 1), F.array(x))).otherwise(F.array(x)))
+    inner = lambda c: F.when(F.size(F.filter(c, lambda x, i: apart(c, x, i))) > 0, F.flatten(filled(c))).otherwise(c)
+    whole = lambda c: F.when(count - last(c) > lines, F.concat(inner(c), stretch(last(c) + 1, count - 1))).otherwise(inner(c))
+    low = F.transform(w, lambda x, i: F.when(F.xxhash64(x) < LOW_SEVENTH, _number(x, i)))
+    between = lambda c, i: F.coalesce(_place(F.get(c, i + 1)), count) - before(c, i)
     lesser = lambda y, x: F.coalesce(y < x, F.lit(True))
     kept = lambda c: F.filter(c, lambda x, i: ~(lesser(F.get(c, i - 1), x) & lesser(F.get(c, i + 1), x) & (between(c, i) <= lines)))
-    out = _let(F.filter(order, lambda x: x < LOW_QUARTER), lambda c: F.when(ends(c) | empty(c), order).otherwise(c))
+    out = _let(F.filter(low, lambda x: x.isNotNull() & (_place(x) < count)), whole)
     for _ in range(PASSES):
         out = _let(out, kept)
     return out
 
 
 def _winnowed(text: Column, min_words: int, gram: int, body) -> Column:
-    """``body`` of a text's words and the least numbers of its windows; null for less than a window.
-
-    The number of a line is the hash of its first word above its place, so of equal words the first is less. Where windows are
+    """``body`` of a text's words and the least numbers of its windows; null for less than a window. Where windows are
     alike, so are their least lines: what decides is the hash of the window."""
-    number = lambda w, i: F.xxhash64(w).bitwiseAND(F.lit(-1 << PLACE_BITS)).bitwiseOR(i.cast("bigint"))
-    order = lambda w: F.slice(F.transform(w, number), 1, F.size(w) - gram + 1)
-    inner = lambda w: _let(order(w), lambda o: _let(_least(o, min_words - gram + 1), lambda m: body(w, m)))
+    inner = lambda w: _let(_least(w, F.size(w) - gram + 1, min_words - gram + 1), lambda m: body(w, m))
     return _let(words(text), lambda w: F.when(F.size(w) >= min_words, inner(w)))
 
 
@@ -112,11 +125,24 @@ def _line(w: Column, at: Column, gram: int) -> Column:
     return F.xxhash64(*(F.get(w, at + k) for k in range(gram)))
 
 
+def _marks(w: Column, m: Column, gram: int) -> Column:
+    return F.transform(F.transform(m, _place), lambda at: _line(w, at, gram))
+
+
+def _stretches(w: Column, n: int, body, length: int = 1) -> Column:
+    """``body`` of the hashes of all stretches of ``n`` words: each of two that overlap or meet, of half the length or more."""
+    if length == n:
+        return body(w)
+    step = min(length, n - length)
+    paired = F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + step)))
+    return _let(paired, lambda longer: _stretches(longer, n, body, length + step))
+
+
 def fingerprints(text: Column, min_words: int, gram: int) -> Column:
     """The least lines of a text's windows; those that it repeats itself are named twice."""
     twice = lambda s: F.filter(s, lambda x, i: (i < 2) | (x != F.get(s, i - 2)))
     capped = lambda m: F.when(F.size(F.array_distinct(m)) < F.size(m), _let(F.sort_array(m), twice)).otherwise(m)
-    return _winnowed(text, min_words, gram, lambda w, m: _let(F.transform(m, lambda x: _line(w, _place(x), gram)), capped))
+    return _winnowed(text, min_words, gram, lambda w, m: _let(_marks(w, m, gram), capped))
 
 
 def window_runs(text: Column, min_words: int, gram: int, shared: Column) -> Column:
@@ -124,21 +150,30 @@ def window_runs(text: Column, min_words: int, gram: int, shared: Column) -> Colu
     of the lines in ``shared`` (of all, where those are so many that looking them up would take longer)."""
     lines = min_words - gram + 1
 
-    def runs(w: Column, m: Column) -> Column:
-        marked = F.transform(m, lambda x, k: F.struct(_line(w, _place(x), gram).alias("mark"), k.alias("k")))
+    def runs(w: Column, m: Column, g: Column) -> Column:
+        marked = F.transform(_marks(w, m, gram), lambda mark, k: F.struct(mark.alias("mark"), k.alias("k")))
         known = F.filter(marked, lambda x: (F.size(shared) > LOOKED_UP) | F.array_contains(shared, x["mark"]))
-        # the nearest lesser one on a side, of as many as a window may have
-        lesser = lambda k, side: _place(F.get(m, k + side * F.get(F.filter(F.sequence(F.lit(1), F.lit(lines)), lambda d: F.get(m, k + side * d) < F.get(m, k)), F.lit(0))))
+
+        def lesser(k: Column, side: int) -> Column:
+            """The place of the nearest lesser one on a side, of as many as a window may have; most often it is among the first."""
+            x = F.get(m, k)
+            far = F.filter(F.sequence(F.lit(NEAR + 1), F.lit(max(lines, NEAR + 1))), lambda d: F.get(m, k + side * d) < x)
+            out = _place(F.get(m, k + side * F.get(far, F.lit(0))))
+            for d in range(NEAR, 0, -1):
+                y = F.get(m, k + side * d)
+                beyond = F.coalesce((_place(y) - _place(x)) * side >= lines, F.lit(True))
+                out = F.when(y < x, _place(y)).when(beyond, F.lit(None)).otherwise(out)
+            return out
+
         begin = lambda k, p: F.greatest(F.coalesce(lesser(k, -1) + 1, F.lit(0)), p - lines + 1)
         end = lambda k, p: F.least(F.coalesce(lesser(k, 1) - lines, p), p, F.size(w) - min_words)
         spans = F.transform(known, lambda x: F.struct(x["mark"].alias("mark"), begin(x["k"], _place(F.get(m, x["k"]))).alias("at"), end(x["k"], _place(F.get(m, x["k"]))).alias("last")))
         starts = [*range(0, min_words - gram, gram), min_words - gram]  # lines that cover a window
-        keys = lambda g, x: F.transform(F.sequence(x["at"], x["last"]), lambda at: F.xxhash64(*(F.get(g, at + k) for k in starts)))
-        run = lambda g, x: F.struct(x["mark"].alias("mark"), (lead(text) + x["at"]).alias("at"), keys(g, x).alias("keys"))
-        hashed = F.transform(w, lambda x, i: _line(w, i, gram))
-        return _let(F.filter(spans, lambda x: x["at"] <= x["last"]), lambda s: F.when(F.size(s) > 0, _let(hashed, lambda g: F.transform(s, lambda x: run(g, x)))))
+        keys = lambda x: F.transform(F.sequence(x["at"], x["last"]), lambda at: F.xxhash64(*(F.get(g, at + k) for k in starts)))
+        run = lambda x: F.struct(x["mark"].alias("mark"), (lead(text) + x["at"]).alias("at"), keys(x).alias("keys"))
+        return F.transform(F.filter(spans, lambda x: x["at"] <= x["last"]), run)
 
-    return _winnowed(text, min_words, gram, runs)
+    return _winnowed(text, min_words, gram, lambda w, m: _stretches(w, gram, lambda g: runs(w, m, g)))
 
 
 def repeated_windows(texts: DataFrame, min_words: int, gram: int, *read: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
@@ -159,10 +194,14 @@ def repeated_windows(texts: DataFrame, min_words: int, gram: int, *read: DataFra
     several = materialize(distinct.groupBy("mark").count().where("count > 1").select("mark"))
     each = materialize(distinct.join(several, "mark").select("mark", F.posexplode("keys").alias("k", "key"), "first.doc", "first.at").select("mark", "key", "doc", (F.col("at") + F.col("k")).alias("at")))
     release(distinct, several)
-    firsts = materialize(each.groupBy("mark", "key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1").select("mark", "key", "first"))
+    # nearly all occur once, which a count by hash tells at less cost than the least place, which needs a sort
+    repeated = materialize(each.groupBy("mark", "key").count().where("count > 1").select("mark", "key"))
+    again = materialize(each.join(repeated, ["mark", "key"]))
+    release(each, repeated)
+    firsts = materialize(again.groupBy("mark", "key").agg(F.min(place).alias("first")))
     drop_shuffles(texts.sparkSession)
-    single = each.join(firsts, ["mark", "key"]).where(place > F.col("first")).select("doc", F.col("at").alias("s"), F.col("at").alias("e"))
-    return whole.union(single), [whole, each, firsts]
+    single = again.join(firsts, ["mark", "key"]).where(place > F.col("first")).select("doc", F.col("at").alias("s"), F.col("at").alias("e"))
+    return whole.union(single), [whole, again, firsts]
 
 
 def dedup_passages(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = 40, gram: int = 8) -> DataFrame:
@@ -208,7 +247,9 @@ def dedup_passages(documents: DataFrame, id_column: str = "doc_id", text_column:
         """What stands before, between and after the runs."""
         r = F.col("runs")
         begin = lambda i: F.coalesce(F.get(r, i - 1)["last"] + 1, F.lit(0))
-        return F.transform(F.sequence(F.lit(0), F.size(r)), lambda i: F.array_join(F.slice(p, begin(i) + 1, F.coalesce(F.get(r, i)["first"], F.size(p)) - begin(i)), ""))
+        until = lambda i: F.coalesce(F.get(r, i)["first"], F.size(p))
+        part = lambda i: F.array_join(F.transform(F.sequence(begin(i), until(i) - 1), lambda at: F.get(p, at)), "")
+        return F.transform(F.sequence(F.lit(0), F.size(r)), lambda i: F.when(until(i) > begin(i), part(i)).otherwise(""))  # a slice would cost as much as all pieces
 
     def columns(text: Column, removed: Column, named: Column) -> list[Column]:
         return [*((text if c == text_column else F.col("row").getField(c)).alias(c) for c in kept), removed.cast("bigint").alias("n_removed"), named.alias("removed")]

@@ -4,6 +4,7 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from loomgrid.llm import line_dedup, simhash
@@ -40,6 +41,23 @@ def test_only_windows_of_shared_fingerprints_are_written(spark, monkeypatch):
     assert written and max(written) <= 20 * 21 * 5  # 21 windows of a passage; runs at its ends reach beyond it
 
 
+def test_windows_that_occur_once_are_not_sorted(spark, monkeypatch):
+    """Those of fingerprints with several runs are counted by hash first: the least place is taken of the others only."""
+    written = []
+
+    def spy(df, real=line_dedup.materialize):
+        out = real(df)
+        if {"mark", "key", "doc", "at"} <= set(out.columns):
+            written.append(out.groupBy("mark", "key").count().groupBy().agg(F.min("count"), F.sum("count")).first())
+        return out
+
+    monkeypatch.setattr(line_dedup, "materialize", spy)
+    rows = passages(random.Random(23))
+    out = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert out == passages_brute(rows, 40)
+    assert written[0][0] == 1 and written[-1][0] > 1 and written[-1][1] < written[0][1]
+
+
 @pytest.mark.parametrize("most", [0, 1])
 def test_more_shared_fingerprints_than_are_looked_up(spark, monkeypatch, most):
     monkeypatch.setattr(line_dedup, "LOOKED_UP", most)

@@ -101,3 +101,22 @@ def test_least_lines_of_all_windows(spark):
         wanted = {min(lines[s : s + 33]) for s in range(len(lines) - 32)}
         assert wanted <= set(r.least) and r.least == [x for x in lines if x in set(r.least)]
         assert r.i > 3 or len(r.least) <= 1.3 * len(wanted) + 3
+
+
+def test_pieces_without_patterns(spark):
+    """Pieces and words are cut as by the patterns, also of texts with any white space, or with the character that stands for a cut."""
+    dice = random.Random(9)
+    texts = ["".join(dice.choice(" \t\n\r\x0b\x0cab\u00e9\u00a0") for _ in range(n)) for n in range(60)] + ["a\x01 b \x01c", "\x01", "", " ", "a", None]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    for r in frame.select("text", line_dedup.pieces(F.col("text")).alias("p"), F.split("text", line_dedup.SPACE_END).alias("q"), line_dedup.words(F.col("text")).alias("w")).collect():
+        assert r.p == r.q and r.w == (None if r.text is None else [x for x in re.split(r"[ \t\n\r\x0b\x0c]+", r.text) if x])
+
+
+def test_stretches_without_low_words(spark):
+    """Long texts of few words, so that many windows have no word of the lowest hashes."""
+    dice = random.Random(10)
+    some = lambda k, n: [f"v{k}{dice.randrange(4)}" for _ in range(n)]
+    part = [w for k in range(12) for w in some(k, 120)]
+    rows = [(1, " ".join(part)), (2, " ".join([*some("x", 90), *part[300:700], *some("y", 200)])), (3, " ".join(some("z", 3000)))]
+    out = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert out == passages_brute(rows, 40) and out[2][1] >= 400
