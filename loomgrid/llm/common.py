@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,6 +75,9 @@ def drop_shuffles(spark: SparkSession) -> None:
     """Have the driver collect its garbage: only then does Spark delete the shuffle files of plans that nothing holds any more,
     which would fill executors' disks in a long job."""
     gc.collect()  # Python's objects hold the JVM's
+    spark.sql("SELECT 1").collect()  # the listener bus holds the event, and so the plan, of the query that ended last: this one
+    with contextlib.suppress(Py4JError):  # it is still busy
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
     spark.sparkContext._jvm.System.gc()
 
 

@@ -20,8 +20,9 @@ segments); the candidates that these find are then verified by the exact similar
 That sees most pairs, not all: copies that differ by a block are missed, and so are members of a key whose link in its forest
 fails the verification. A second round therefore is exact. Two sets with a similarity of t share an element of their prefixes, the first
 n - ceil(t n) + 1 of n shingles in an order that is the same for all texts; texts that share one and aren't yet in one group are
-verified as well, unless sizes, places or parities rule them out. Parities are 64 bits that each shingle toggles one of: two sets
-differ by at least as many shingles as their parities differ in bits.
+verified as well, unless sizes, places or parities rule them out. Parities are bits that each shingle toggles one of: two sets
+differ by at least as many shingles as their parities differ in bits. 64 of them move with the prefixes; of the pairs that these leave, a parity of
+about a bit a shingle rules out nearly all that aren't similar, so that few whole texts move.
 """
 
 from __future__ import annotations
@@ -42,6 +43,8 @@ from loomgrid.llm.components import connected_components
 SEED, RADIUS = 42, 3
 #: Fingerprints under one key that are compared in place; keys with more are dealt again.
 BUCKET = 20_000
+#: The prefixes of the second round are dealt in so many parts, one after the other: only one of them is on disk.
+PARTS = 4
 
 
 def fingerprint(text: str | None, shingle: int) -> int:
@@ -266,16 +269,16 @@ def common_shingles(source: DataFrame, k: int, documents: int = 20_000, times: i
         return np.sort(np.array([r.h for r in counted.where(F.col("count") >= times).orderBy(F.desc("count"), "h").limit(most).collect()], dtype=np.int64))
 
 
-def prefix(text: str | None, k: int, least: float, common: np.ndarray) -> tuple[list[int], int, int]:
+def prefix(text: str | None, k: int, least: float, common: np.ndarray) -> tuple[list[int], int, int, bytes]:
     """The first hashes of a text's shingles, as many as must hold one that any text as similar as ``least`` also has
-    among its own, the number of shingles and their parity. They are in one order for all texts, which is all that it takes: common ones
+    among its own, the number of shingles, their parity and their sketch. They are in one order for all texts, which is all that it takes: common ones
     last, so that few texts meet under a hash without being similar."""
     hashes = shingle_hashes(text, k)
-    n, bits = len(hashes), parity(hashes)
+    n, bits, wide = len(hashes), parity(hashes), sketch(hashes)
     if len(common):
         known = common[np.minimum(np.searchsorted(common, hashes), len(common) - 1)] == hashes
         hashes = np.concatenate([hashes[~known], hashes[known]])
-    return hashes[: n - math.ceil(least * n - 1e-9) + 1].tolist() if n else [], n, bits
+    return hashes[: n - math.ceil(least * n - 1e-9) + 1].tolist() if n else [], n, bits, wide
 
 
 def parity(hashes: np.ndarray) -> int:
@@ -284,6 +287,21 @@ def parity(hashes: np.ndarray) -> int:
     return int(np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")[0])
 
 
+def sketch(hashes: np.ndarray) -> bytes:
+    """The parity of the hashes in as many bits as their number, rounded up to a power of two (64 at least)."""
+    width = max(64, 1 << (len(hashes) - 1).bit_length())
+    odd = np.bincount((hashes.view(np.uint64) & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def apart(left: bytes, right: bytes) -> int:
+    """By how many hashes two sets of these sketches differ at least. A sketch folds to one of half its bits."""
+    x, y = sorted((np.frombuffer(left, "<u8"), np.frombuffer(right, "<u8")), key=len)
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def shared_pairs(least: float, chunk: int = 1_000_000):
     """Runs over (key, size, label, node, place, bits) sorted by key and size: pairs (a, b) of nodes of different labels under a key
     that may be as similar as ``least``, going by their sizes, the key's places in them and their parities."""
@@ -351,18 +369,18 @@ def similar_groups(
                 found = [word_marks(t, seeds) for t in part.column(2).to_pylist()]
                 heads = [prefix(t, shingle, least_similarity, common) for t in part.column(2).to_pylist()]
                 content = pa.array([c for c, _ in found], pa.binary())
-                lists = [pa.array(x, pa.list_(pa.int64())) for x in ([m for _, m in found], [h for h, _, _ in heads])]
-                columns = [*lists, pa.array([n for _, n, _ in heads], pa.int32()), pa.array([b for _, _, b in heads], pa.int64())]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), content, *columns], ["id", "text_hash", "content", "fps", "prefix", "size", "bits"])
+                lists = [pa.array(x, pa.list_(pa.int64())) for x in ([m for _, m in found], [h for h, *_ in heads])]
+                columns = [*lists, *(pa.array(x, kind) for x, kind in zip(list(zip(*heads, strict=True))[1:], (pa.int32(), pa.int64(), pa.binary()), strict=True))]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), content, *columns], ["id", "text_hash", "content", "fps", "prefix", "size", "bits", "sketch"])
 
     spark = documents.sparkSession
     source = documents.select(F.col(id_column).alias("id"), F.xxhash64(text_column).alias("text_hash"), F.col(text_column).alias("text"))
     common = common_shingles(source, shingle)
     with arrow_rows(spark, 1000):
-        marked = materialize(source.mapInArrow(marks, f"id {id_type}, text_hash bigint, content binary, fps array<bigint>, prefix array<bigint>, size int, bits bigint").withColumn("rid", F.monotonically_increasing_id()))
+        marked = materialize(source.mapInArrow(marks, f"id {id_type}, text_hash bigint, content binary, fps array<bigint>, prefix array<bigint>, size int, bits bigint, sketch binary").withColumn("rid", F.monotonically_increasing_id()))
     drop_shuffles(spark)
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "rid", "text_hash")).alias("first")
-    nodes = materialize(marked.groupBy("content").agg(first, F.first("fps").alias("fps")).withColumn("node", F.col("first.rid")))
+    nodes = materialize(marked.groupBy("content").agg(first, *(F.first(c).alias(c) for c in ("fps", "size", "sketch"))).withColumn("node", F.col("first.rid")))
     # fingerprints of one seed only compare with each other, and their index is the widest exchange: one seed at a time
     seen = []
     for t in range(seeds):
@@ -372,14 +390,27 @@ def similar_groups(
     pairs = materialize(functools.reduce(DataFrame.union, seen).distinct())
     release(*seen)
 
+    def may(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = batch.column(2).to_numpy() + batch.column(3).to_numpy().astype(np.int64)
+            differ = [apart(x, y) for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)]
+            good = np.array(differ, np.int64) * (1 + least_similarity) <= (1 - least_similarity) * both + 1e-6
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = [similarity(x, y, shingle) >= least_similarity for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     def similar(pairs: DataFrame) -> DataFrame:
-        # the texts of the nodes that have a candidate, and only those
         drop_shuffles(spark)
+        side = lambda end: nodes.select(F.col("node").alias(end), F.col("size").alias(f"size_{end}"), F.col("sketch").alias(f"sketch_{end}"))
+        sketched = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b")
+        with arrow_rows(spark, 1000):
+            near = materialize(sketched.mapInArrow(may, "a bigint, b bigint"))
+        release(pairs)
+        pairs = near
+        # the texts of the nodes that have a candidate, and only those
         wanted = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "first"), "node"))
         found = source.join(wanted.select("node", F.col("first.id").alias("wanted_id"), F.col("first.text_hash").alias("wanted_hash")), F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("text_hash") == F.col("wanted_hash")))
         texts = materialize(found.select("node", "text").dropDuplicates(["node"]))
@@ -393,15 +424,24 @@ def similar_groups(
     links = similar(pairs)
     labels = connected_components(links).select("node", F.col("component").alias("label"))
     labelled = nodes.select("node").join(labels, "node", "left").select(F.col("node").alias("rid"), F.coalesce("label", "node").alias("label"))
-    heads = marked.select("rid", "size", "bits", "prefix").join(labelled, "rid").select("label", F.col("rid").alias("node"), "size", "bits", F.posexplode("prefix").alias("place", "key"))
-    dealt = heads.select("key", "size", "label", "node", "place", "bits").repartition("key").sortWithinPartitions("key", "size")
-    missed = similar(materialize(dealt.mapInArrow(shared_pairs(least_similarity), "a bigint, b bigint").distinct()))
+    heads = materialize(marked.select("rid", "size", "bits", "prefix").join(labelled, "rid").select("label", F.col("rid").alias("node"), "size", "bits", "prefix"))
+    rows = materialize(marked.select("id", "text_hash", "content", "rid"))
+    release(marked)  # the prefixes, most of it, are in heads again
+    met = []
+    for part in range(PARTS):
+        each = heads.select("label", "node", "size", "bits", F.posexplode("prefix").alias("place", "key")).where(F.pmod("key", F.lit(PARTS)) == part)
+        dealt = each.select("key", "size", "label", "node", "place", "bits").repartition("key").sortWithinPartitions("key", "size")
+        met.append(materialize(dealt.mapInArrow(shared_pairs(least_similarity), "a bigint, b bigint").distinct()))
+        drop_shuffles(spark)
+    pairs = materialize(functools.reduce(DataFrame.union, met).distinct())
+    release(heads, *met)
+    missed = similar(pairs)
     links = materialize(links.union(missed))
     parts = connected_components(links)
     joined = nodes.select("content", "first", "node").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     firsts = joined.groupBy("component").agg(F.min("first").alias("head"))
     named = materialize(joined.join(firsts, "component").select("content", "head"))
-    out = marked.join(named, "content").select(F.col("id").alias(id_column), F.col("head.id").alias("component_id"), (F.col("rid") == F.col("head.rid")).alias("kept"), "text_hash")
-    out = materialize(out)  # without the prefixes, which are most of what is written here
-    release(marked, nodes, links, missed, named)
+    out = rows.join(named, "content").select(F.col("id").alias(id_column), F.col("head.id").alias("component_id"), (F.col("rid") == F.col("head.rid")).alias("kept"), "text_hash")
+    out = materialize(out)  # without what it is made of
+    release(rows, nodes, links, missed, named)
     return out

@@ -82,6 +82,33 @@ def test_seeds_are_dealt_one_at_a_time(spark, documents, monkeypatch):
     assert not wide
 
 
+def test_texts_that_only_share_a_passage_do_not_move(spark, monkeypatch):
+    """30 pairs of texts of 400 words that share 40, and 5 near copies: the texts of the copies move for verification; the prefixes are dealt in parts."""
+    written, dealt = [], []
+
+    def spy(df, real=simhash.materialize):
+        out = real(df)
+        if out.columns == ["node", "text"]:
+            written.append(out.count())
+        return out
+
+    def parts(*more, real=simhash.shared_pairs):
+        dealt.append(more)
+        return real(*more)
+
+    monkeypatch.setattr(simhash, "materialize", spy)
+    monkeypatch.setattr(simhash, "shared_pairs", parts)
+    dice = random.Random(24)
+    fresh = lambda n: [f"w{dice.randrange(10**9)}" for _ in range(n)]
+    texts = [[*shared, *fresh(360)] for shared in map(fresh, [40] * 30) for _ in range(2)]
+    texts += [[*text, *fresh(40)] for text in texts[:5]]
+    table = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(4)
+    found = {r.doc_id: r.component_id for r in simhash.similar_groups(table, seeds=3).collect()}
+    assert found == {i: i if i < 60 else i - 60 for i in range(65)}
+    assert sum(written) <= 20
+    assert len(dealt) == simhash.PARTS > 1
+
+
 def test_pipeline_deletes_what_it_has_read(spark, documents):
     with gathered() as tables:
         packed = corpus_pipeline.run(spark, DATA)

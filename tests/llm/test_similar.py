@@ -73,6 +73,19 @@ def test_parity_bounds_the_difference():
         assert bits.bit_count() <= len(set(a.tolist()) ^ set(b.tolist()))
 
 
+def test_sketches_bound_the_difference():
+    """Of sets of any two sizes, by at least as many bits as 64 give, and close for sets that share little."""
+    dice = np.random.default_rng(5)
+    for _ in range(300):
+        a = dice.integers(-(1 << 63), 1 << 63, dice.integers(0, 900))
+        b = np.concatenate([a[dice.random(len(a)) < dice.random()], dice.integers(-(1 << 63), 1 << 63, dice.integers(0, 900))])
+        left, right = simhash.sketch(a), simhash.sketch(b)
+        assert simhash.apart(left, right) == simhash.apart(right, left) <= len(set(a.tolist()) ^ set(b.tolist()))
+    a, b = (dice.integers(-(1 << 63), 1 << 63, 700) for _ in range(2))
+    assert simhash.apart(simhash.sketch(a), simhash.sketch(a)) == 0 and 350 < simhash.apart(simhash.sketch(a), simhash.sketch(b)) <= 1400
+    assert len(simhash.sketch(a)) == 128 and len(simhash.sketch(a[:0])) == 8
+
+
 def test_dense_clusters(spark):
     """Clusters whose members share a key by the hundred, many of them below 0.8 of the member they are linked to first."""
     dice, rows = random.Random(13), {}
