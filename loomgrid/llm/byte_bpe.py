@@ -16,7 +16,9 @@ whole characters leaves the start state where it is, any other id moves the mach
 from __future__ import annotations
 
 import base64
+import contextlib
 import functools
+import gc
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
@@ -63,9 +65,9 @@ class Transducer:
         start = (b"", -1, ((),))
         self.states = [start]
         self.numbers = {start: 0}
-        self.steps: dict[int, int] = {}  # state << 8 | byte: the next state
+        self.steps: dict[int, int] = {}  # state << 8 | byte: the next state << 8, its bits inverted where ids are emitted
         self.outs: dict[int, bytes] = {}  # by the same key, where ids are emitted
-        self.ends: dict[int, bytes] = {}
+        self.ends: dict[int, bytes] = {}  # by the same key: the ids that are left if the piece ends with that byte
 
     def _halves(self, token: int) -> tuple[int, int]:
         """The two ids whose merge makes the token; the token twice for a byte, (-1, -1) if merges don't make it."""
@@ -111,7 +113,8 @@ class Transducer:
         self.moves[suffix, byte] = out = (ends, on, after[len(after) - lengths[on[0]] - 1 :] if on else b"")
         return out
 
-    def _step(self, state: int, byte: int) -> int:
+    def _chain(self, state: int, byte: int) -> tuple[tuple, list, bytes]:
+        """The ids since the last emitted one if a token ends with this byte, the chains that go on, the new suffix."""
         suffix, emitted, chains = self.states[state]
         ends, on, after = self.moves.get((suffix, byte)) or self._move(suffix, byte)
         pairs = self.pairs
@@ -127,16 +130,27 @@ class Transducer:
                     good = pairs[key] = self._pair(last, token)
                 if not good:
                     continue
-            chain = (*chain, token)
-            break
-        else:
-            raise ValueError("the vocabulary lacks a byte")
+            return (*chain, token), on, after
+        raise ValueError("the vocabulary lacks a byte")
+
+    def _end(self, key: int) -> bytes:
+        """What a piece's last byte emits: no state is made for it."""
+        self.ends[key] = out = b"".join([self.written[t] for t in self._chain(key >> 8, key & 255)[0]])
+        return out
+
+    def _step(self, state: int, byte: int) -> int:
+        chain, on, after = self._chain(state, byte)
+        _, emitted, chains = self.states[state]
         going = [chains[k] for k in on]
-        going.append(chain)
         key = state << 8 | byte
-        first = chain[0]
-        if all(c and c[0] == first for c in going):  # ids that every way has begun with are sure
-            least, sure = min(map(len, going)), 1
+        first, emits = chain[0], False
+        for c in going:
+            if not c or c[0] != first:
+                going.append(chain)
+                break
+        else:  # ids that every way has begun with are sure
+            going.append(chain)
+            least, sure, emits = min(map(len, going)), 1, True
             while sure < least and all(c[sure] == chain[sure] for c in going):
                 sure += 1
             self.outs[key] = b"".join([self.written[t] for t in chain[:sure]])
@@ -146,25 +160,27 @@ class Transducer:
         if number is None:
             number = self.numbers[target] = len(self.states)
             self.states.append(target)
-        self.steps[key] = number
+        self.steps[key] = number = ~(number << 8) if emits else number << 8
         return number
 
     def encode_piece(self, piece: bytes) -> bytes:
         """Ids (32-bit, little-endian) of one piece, in a single left-to-right pass."""
-        if len(self.states) > MEMO_STATES:
+        if not piece:
+            return b""
+        if len(self.states) > MEMO_STATES or len(self.ends) > MEMO_STATES:
             self._clear()
-        steps, outs, state, out = self.steps, self.outs, 0, []
-        for byte in piece:
-            key = state << 8 | byte
-            state = steps.get(key)
+        step, state, out = self.steps.get, 0, []
+        for byte in piece[:-1]:
+            key = state | byte
+            state = step(key)
             if state is None:
                 state = self._step(key >> 8, byte)
-            if key in outs:
-                out.append(outs[key])
-        end = self.ends.get(state)
-        if end is None:
-            end = self.ends[state] = b"".join([self.written[t] for t in self.states[state][2][-1]])
-        out.append(end)
+            if state < 0:
+                state = ~state
+                out.append(self.outs[key])
+        key = state | piece[-1]
+        end = self.ends.get(key)
+        out.append(self._end(key) if end is None else end)
         return b"".join(out)
 
 
@@ -278,6 +294,18 @@ class Utf8Machine:
         return "".join(out)
 
 
+@contextlib.contextmanager
+def uncollected() -> Iterator[None]:
+    """Within this no cycles are looked for: none are made, and each search would walk the memos."""
+    before = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if before:
+            gc.enable()
+
+
 @functools.lru_cache(maxsize=2)
 def byte_bpe(path: str, pattern: str) -> ByteBpe:
     return ByteBpe(path, pattern)
@@ -292,7 +320,8 @@ def encode_documents(documents: DataFrame, rank_path: str, pattern: str, id_colu
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                ids = [np.frombuffer(codec.encode(t or ""), "<u4").astype(np.int32) for t in part.column(1).to_pylist()]
+                with uncollected():
+                    ids = [np.frombuffer(codec.encode(t or ""), "<u4").astype(np.int32) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], [id_column, "ids"])
 
     return documents.select(id_column, text_column).mapInArrow(encode, f"`{id_column}` {id_type}, ids array<int>")
@@ -330,15 +359,16 @@ def round_trip(documents: DataFrame, rank_path: str, pattern: str, id_column: st
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 counts, shas, decoded = [], [], []
-                for text in part.column(1).to_pylist():
-                    raw = codec.encode(text or "")
-                    ids = np.frombuffer(raw, "<u4")
-                    counts.append(len(ids))
-                    shas.append(hashlib.sha256(raw).hexdigest())
-                    back = hashlib.sha256()
-                    for piece in codec.stream(ids[i : i + chunk] for i in range(0, len(ids), chunk)):
-                        back.update(piece.encode())
-                    decoded.append(back.hexdigest())
+                with uncollected():
+                    for text in part.column(1).to_pylist():
+                        raw = codec.encode(text or "")
+                        ids = np.frombuffer(raw, "<u4")
+                        counts.append(len(ids))
+                        shas.append(hashlib.sha256(raw).hexdigest())
+                        back = hashlib.sha256()
+                        for piece in codec.stream(ids[i : i + chunk] for i in range(0, len(ids), chunk)):
+                            back.update(piece.encode())
+                        decoded.append(back.hexdigest())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(counts, pa.int64()), pa.array(shas), pa.array(decoded)],
                     [id_column, "n_tokens", "ids_sha256", "decoded_sha256"],

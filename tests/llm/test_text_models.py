@@ -41,6 +41,15 @@ def test_transducer_equals_merges():
         assert np.frombuffer(codec.transducer.encode_piece(piece), "<u4").tolist() == merged
 
 
+def test_the_last_byte_of_a_piece_makes_no_state():
+    """Pieces that differ in their last byte only share all states, and have the ids of the definition."""
+    codec = byte_bpe.ByteBpe(RANKS, PATTERN)
+    whole = [b"qzvxkw" + bytes([b]) for b in b"abcdefghij"]
+    found = [np.frombuffer(codec.transducer.encode_piece(p), "<u4").tolist() for p in whole]
+    assert found == [[codec.ranks[t] for t in byte_bpe.merge_bytes(p, codec.ranks)] for p in whole]
+    assert len(codec.transducer.states) <= 7 and codec.transducer.encode_piece(b"") == b""
+
+
 def test_utf8_machine():
     for data in (b"\xff", b"\xc3", b"\xe2\x82", b"\xed\xa0\x80", b"\xf4\x90\x80\x80", b"a\xc3\xa9b\x80", "€😀".encode()):
         machine = byte_bpe.Utf8Machine()
