@@ -6,13 +6,14 @@ its lines whose first word has the least hash is its fingerprint. Two equal wind
 windows beside each other mostly share theirs, few are selected: about two in ``min_words - gram + 2`` words.
 
 The fingerprints are the join keys. Those that occur at one place only, as nearly all do, are settled by a count, and so are the
-texts that have no other: they pass through. From each place of a shared fingerprint the match is extended both ways as far as
-windows have that fingerprint: such a run of windows is first compared whole; the windows of a fingerprint
-with several different runs are compared one by one, so an occurrence is held against all earlier ones, not only against the
-first. Windows that also occur earlier are united to runs of words, which are deleted.
-
-What moves: the fingerprints, the texts once, and again those with a shared fingerprint. Every join by a fingerprint
-or window is against a written table of one row a key, so Spark can split the rows of a frequent one.
+texts that have no other: they pass through. The windows around a place that have it as their fingerprint are a run, whose words are
+hashed along with the fingerprint: runs are first compared whole; only where a fingerprint has several different runs are the
+texts read again, and the windows of the first of each kind compared one by one, so an occurrence is held against all
+earlier ones, not only against the first. Windows that also occur earlier are united to runs of words, which are deleted.
+
+What moves: the fingerprints with their runs, and the texts twice, for those windows and for the result. Every join by a fingerprint
+or window is against a written table of one row a key, so Spark can split the rows of a frequent one; that table is hashed, so the
+other side needs no sort.
 """
 
 from __future__ import annotations
@@ -29,7 +30,9 @@ BLANKS = " \t\n\r\x0b\x0c"
 CUT = "\x01"
 #: Scripts that don't part words: Thai, Lao, Tibetan, Burmese, Khmer, kana and Han.
 ALONE = r"[฀-႟ក-៿぀-ヿ㐀-䶿一-鿿豈-﫿\x{20000}-\x{3FFFF}]"
-#: Texts that have nothing beyond the first of them, found at less cost.
+#: Texts without such scripts whose only white space are spaces and line feeds, and without the character above: most need nothing else.
+PLAIN = r"\A[\n\x0E-\u0DFF]*\z"
+#: Texts that have nothing beyond the first of those scripts, found at less cost.
 LOW = r"^[\x00-\u0DFF]*+\z"
 #: Where words end: before what follows white space, and on both sides of each character of those scripts.
 SPACE_END = r"(?<=[\x20\x09-\x0D])(?![\x20\x09-\x0D])"
@@ -42,8 +45,8 @@ LOW_SEVENTH = (-(1 << 63) + (1 << 64) // 7) >> PLACE_BITS << PLACE_BITS
 PASSES = 5
 #: Neighbours that are tried for a lesser one before all that a window may have.
 NEAR = 4
-#: Shared fingerprints of one text up to which each of its runs is looked up among them, one by one.
-LOOKED_UP = 5_000
+#: Words a run from which on lines are hashed run by run, not all of a text.
+LOOKED_UP = 30
 
 
 def _doc(id_column: str, text_column: str) -> Column:
@@ -63,9 +66,13 @@ def _alone(text: Column) -> Column:
 
 def pieces(text: Column) -> Column:
     """A text's words, each with the white space after it; what is blank before the first is a piece too."""
-    ended = functools.reduce(lambda t, blank: F.replace(t, F.lit(blank), F.lit(blank + CUT)), BLANKS, text)
-    ended = functools.reduce(lambda t, blank: F.replace(t, F.lit(CUT + blank), F.lit(blank)), BLANKS, ended)
-    return F.when(_alone(text), F.split(text, WORD_END)).when(F.contains(text, F.lit(CUT)), F.split(text, SPACE_END)).otherwise(F.split(ended, CUT))
+
+    def ended(blanks: str) -> Column:
+        each = functools.reduce(lambda t, blank: F.replace(t, F.lit(blank), F.lit(blank + CUT)), blanks, text)
+        return F.split(functools.reduce(lambda t, blank: F.replace(t, F.lit(CUT + blank), F.lit(blank)), blanks, each), CUT)
+
+    other = F.when(_alone(text), F.split(text, WORD_END)).when(F.contains(text, F.lit(CUT)), F.split(text, SPACE_END))
+    return F.when(text.rlike(PLAIN), ended(" \n")).otherwise(other.otherwise(ended(BLANKS)))
 
 
 def lead(text: Column) -> Column:
@@ -77,8 +84,11 @@ def words(text: Column) -> Column:
     """A text's words without white space. The costly expression is only for texts with the scripts that need it; a split at one
     plain character needs no pattern."""
     cut = F.filter(F.transform(F.split(text, WORD_END), lambda x: F.rtrim(x, F.lit(BLANKS))), lambda x: x != "")
-    spaced = functools.reduce(lambda t, blank: F.replace(t, F.lit(blank), F.lit(" ")), BLANKS[1:], text)
-    return F.when(_alone(text), cut).otherwise(F.array_remove(F.split(spaced, " "), ""))
+
+    def spaced(blanks: str) -> Column:
+        return F.array_remove(F.split(functools.reduce(lambda t, blank: F.replace(t, F.lit(blank), F.lit(" ")), blanks, text), " "), "")
+
+    return F.when(text.rlike(PLAIN), spaced("\n")).when(_alone(text), cut).otherwise(spaced(BLANKS[1:]))
 
 
 def _place(number: Column) -> Column:
@@ -125,38 +135,14 @@ def _line(w: Column, at: Column, gram: int) -> Column:
     return F.xxhash64(*(F.get(w, at + k) for k in range(gram)))
 
 
-def _marks(w: Column, m: Column, gram: int) -> Column:
-    return F.transform(F.transform(m, _place), lambda at: _line(w, at, gram))
-
-
-def _stretches(w: Column, n: int, body, length: int = 1) -> Column:
-    """``body`` of the hashes of all stretches of ``n`` words: each of two that overlap or meet, of half the length or more."""
-    if length == n:
-        return body(w)
-    step = min(length, n - length)
-    paired = F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + step)))
-    return _let(paired, lambda longer: _stretches(longer, n, body, length + step))
-
-
-def fingerprints(text: Column, min_words: int, gram: int) -> Column:
-    """The least lines of a text's windows; those that it repeats itself are named twice."""
-    twice = lambda s: F.filter(s, lambda x, i: (i < 2) | (x != F.get(s, i - 2)))
-    capped = lambda m: F.when(F.size(F.array_distinct(m)) < F.size(m), _let(F.sort_array(m), twice)).otherwise(m)
-    return _winnowed(text, min_words, gram, lambda w, m: _let(_marks(w, m, gram), capped))
-
-
-def window_runs(text: Column, min_words: int, gram: int, shared: Column) -> Column:
-    """Arrays of ``mark, at, keys``: windows one after the other with the same least line, from the piece ``at`` on, and their hashes,
-    of the lines in ``shared`` (of all, where those are so many that looking them up would take longer)."""
+def window_runs(text: Column, min_words: int, gram: int) -> Column:
+    """Arrays of ``mark, whole, at, n``: the hash of a line, and of all words of the windows one after the other whose least line
+    it is: ``n`` of them, from word ``at`` on."""
     lines = min_words - gram + 1
 
-    def runs(w: Column, m: Column, g: Column) -> Column:
-        marked = F.transform(_marks(w, m, gram), lambda mark, k: F.struct(mark.alias("mark"), k.alias("k")))
-        known = F.filter(marked, lambda x: (F.size(shared) > LOOKED_UP) | F.array_contains(shared, x["mark"]))
-
-        def lesser(k: Column, side: int) -> Column:
+    def runs(w: Column, m: Column) -> Column:
+        def lesser(x: Column, k: Column, side: int) -> Column:
             """The place of the nearest lesser one on a side, of as many as a window may have; most often it is among the first."""
-            x = F.get(m, k)
             far = F.filter(F.sequence(F.lit(NEAR + 1), F.lit(max(lines, NEAR + 1))), lambda d: F.get(m, k + side * d) < x)
             out = _place(F.get(m, k + side * F.get(far, F.lit(0))))
             for d in range(NEAR, 0, -1):
@@ -165,42 +151,53 @@ def window_runs(text: Column, min_words: int, gram: int, shared: Column) -> Colu
                 out = F.when(y < x, _place(y)).when(beyond, F.lit(None)).otherwise(out)
             return out
 
-        begin = lambda k, p: F.greatest(F.coalesce(lesser(k, -1) + 1, F.lit(0)), p - lines + 1)
-        end = lambda k, p: F.least(F.coalesce(lesser(k, 1) - lines, p), p, F.size(w) - min_words)
-        spans = F.transform(known, lambda x: F.struct(x["mark"].alias("mark"), begin(x["k"], _place(F.get(m, x["k"]))).alias("at"), end(x["k"], _place(F.get(m, x["k"]))).alias("last")))
-        starts = [*range(0, min_words - gram, gram), min_words - gram]  # lines that cover a window
-        keys = lambda x: F.transform(F.sequence(x["at"], x["last"]), lambda at: F.xxhash64(*(F.get(g, at + k) for k in starts)))
-        run = lambda x: F.struct(x["mark"].alias("mark"), (lead(text) + x["at"]).alias("at"), keys(x).alias("keys"))
+        begin = lambda x, k: F.greatest(F.coalesce(lesser(x, k, -1) + 1, F.lit(0)), _place(x) - lines + 1)
+        last = lambda x, k: F.least(F.coalesce(lesser(x, k, 1) - lines, _place(x)), _place(x), F.size(w) - min_words)
+        spans = F.transform(m, lambda x, k: F.struct(_place(x).alias("p"), begin(x, k).alias("at"), last(x, k).alias("last")))
+        end = lambda x: x["last"] + (min_words - gram)
+        whole = lambda x: F.xxhash64(F.transform(F.sequence(x["at"], end(x), F.lit(gram)), lambda at: _line(w, at, gram)), _line(w, end(x), gram))
+        run = lambda x: F.struct(_line(w, x["p"], gram).alias("mark"), whole(x).alias("whole"), x["at"].alias("at"), (x["last"] - x["at"] + 1).alias("n"))
         return F.transform(F.filter(spans, lambda x: x["at"] <= x["last"]), run)
 
-    return _winnowed(text, min_words, gram, lambda w, m: _stretches(w, gram, lambda g: runs(w, m, g)))
+    return _winnowed(text, min_words, gram, runs)
 
 
-def repeated_windows(texts: DataFrame, min_words: int, gram: int, *read: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
-    """``doc, s, e``: the first words (first and last in a row) of windows of ``texts(doc, text, marks)`` that also occur earlier; ``marks``
-    are the text's shared fingerprints. Second, the written tables that it reads. Those in ``read`` are deleted on the way."""
-    # a condition on the array, also one that explode infers, would have it computed twice
-    runs = texts.select("doc", F.explode_outer(window_runs(F.col("text"), min_words, gram, F.col("marks"))).alias("run")).where("run IS NOT NULL")
-    runs = materialize(runs.select("run.mark", F.xxhash64("run.keys").alias("whole"), "doc", "run.at", F.size("run.keys").alias("n"), "run.keys"))
-    release(*read)
+def window_keys(text: Column, min_words: int, gram: int, runs: Column) -> Column:
+    """Arrays of ``mark, at, keys``: the hashes of all windows of ``runs`` (``mark, at, n``)."""
+    starts = [*range(0, min_words - gram, gram), min_words - gram]  # lines that cover a window
+    keys = lambda g, at, n: F.transform(F.sequence(at, at + n - 1), lambda i: F.xxhash64(*(F.get(g, i + k) for k in starts)))
+    run = lambda x, keys: F.struct(x["mark"].alias("mark"), x["at"].alias("at"), keys.alias("keys"))
+    own = lambda w, x: F.transform(F.sequence(x["at"], x["at"] + x["n"] - 1 + min_words - gram), lambda at: _line(w, at, gram))
+    each = lambda w: F.transform(runs, lambda x: run(x, _let(own(w, x), lambda g: keys(g, F.lit(0), x["n"]))))
+    once = lambda w: _let(F.transform(w, lambda x, at: _line(w, at, gram)), lambda g: F.transform(runs, lambda x: run(x, keys(g, x["at"], x["n"]))))
+    return _let(words(text), lambda w: F.when(F.size(w) >= LOOKED_UP * F.size(runs), each(w)).otherwise(once(w)))
+
+
+def repeated_windows(texts: DataFrame, runs: DataFrame, min_words: int, gram: int) -> tuple[DataFrame, list[DataFrame]]:
+    """``doc, s, e``: the first words (first and last in a row) of windows of ``texts(doc, text)`` that also occur earlier; ``runs(mark,
+    whole, doc, at, n)`` are all runs of shared fingerprints, a written table that is deleted on the way. Second, the written tables that it reads."""
     place = F.struct("doc", "at")
-    distinct = materialize(
-        runs.groupBy("mark", "whole", "n")
-        .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("rows"), F.any_value("keys").alias("keys"))
-    )
-    whole = runs.select("mark", "whole", "n", "doc", "at").join(distinct.where("rows > 1").select("mark", "whole", "n", "first"), ["mark", "whole", "n"])
-    whole = materialize(whole.where(place > F.col("first")).select("doc", F.col("at").alias("s"), (F.col("at") + F.col("n") - 1).alias("e")))
+    distinct = materialize(runs.groupBy("mark", "whole", "n").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("rows")))
+    more = distinct.where("rows > 1").select("mark", "whole", "n", "first").hint("shuffle_hash")
+    whole = runs.join(more, ["mark", "whole", "n"]).where(place > F.col("first"))
+    whole = materialize(whole.select("doc", F.col("at").alias("s"), (F.col("at") + F.col("n") - 1).alias("e")))
     release(runs)
     several = materialize(distinct.groupBy("mark").count().where("count > 1").select("mark"))
-    each = materialize(distinct.join(several, "mark").select("mark", F.posexplode("keys").alias("k", "key"), "first.doc", "first.at").select("mark", "key", "doc", (F.col("at") + F.col("k")).alias("at")))
+    firsts = distinct.join(several.hint("shuffle_hash"), "mark").select("first.doc", F.struct("mark", "first.at", "n").alias("run"))
+    wanted = materialize(firsts.groupBy("doc").agg(F.collect_list("run").alias("runs")))
     release(distinct, several)
+    # a condition on the array, also one that explode infers, would have it computed twice
+    keys = texts.join(wanted.hint("shuffle_hash"), "doc").select("doc", F.explode_outer(window_keys(F.col("text"), min_words, gram, F.col("runs"))).alias("run"))
+    keys = materialize(keys.where("run IS NOT NULL").select("doc", "run.*"))
+    release(wanted)
+    each = materialize(keys.select("mark", F.posexplode("keys").alias("k", "key"), "doc", "at").select("mark", "key", "doc", (F.col("at") + F.col("k")).alias("at")))
     # nearly all occur once, which a count by hash tells at less cost than the least place, which needs a sort
     repeated = materialize(each.groupBy("mark", "key").count().where("count > 1").select("mark", "key"))
-    again = materialize(each.join(repeated, ["mark", "key"]))
-    release(each, repeated)
+    again = materialize(each.join(repeated.hint("shuffle_hash"), ["mark", "key"]))
+    release(keys, each, repeated)
     firsts = materialize(again.groupBy("mark", "key").agg(F.min(place).alias("first")))
     drop_shuffles(texts.sparkSession)
-    single = again.join(firsts, ["mark", "key"]).where(place > F.col("first")).select("doc", F.col("at").alias("s"), F.col("at").alias("e"))
+    single = again.join(firsts.hint("shuffle_hash"), ["mark", "key"]).where(place > F.col("first")).select("doc", F.col("at").alias("s"), F.col("at").alias("e"))
     return whole.union(single), [whole, again, firsts]
 
 
@@ -221,27 +218,24 @@ def dedup_passages(documents: DataFrame, id_column: str = "doc_id", text_column:
     rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"), _doc(id_column, text_column).alias("doc"))
     text = F.col("row").getField(text_column)
     # n spares the exchanges below the longer place of a document
-    marked = rows.where(F.length(text) >= min_words).select(F.monotonically_increasing_id().alias("n"), "doc", F.unhex(F.md5(text)).alias("content"), fingerprints(text, min_words, gram).alias("marks"))
+    marked = rows.where(F.length(text) >= min_words).select(F.monotonically_increasing_id().alias("n"), "doc", F.unhex(F.md5(text)).alias("content"), window_runs(text, min_words, gram).alias("runs"))
     marked = materialize(marked)
-    # equal texts have equal fingerprints throughout: the first stands for all, and of the others everything is repeated
+    # equal texts have equal runs throughout: the first stands for all, and of the others everything is repeated
     heads = materialize(marked.groupBy("content").agg(F.min(F.struct("doc", "n")).alias("head"), F.count(F.lit(1)).alias("rows")).where("rows > 1").select("content", "head"))
-    copies = marked.where("marks IS NOT NULL").select("n", "doc", "content").join(heads, "content").where(F.col("n") != F.col("head.n"))
+    copies = marked.where("runs IS NOT NULL").select("n", "doc", "content").join(heads, "content").where(F.col("n") != F.col("head.n"))
     copies = materialize(copies.select("n", "doc", (F.col("doc") != F.col("head.doc")).alias("copy")))
-    each = marked.join(copies.select("n"), "n", "left_anti").select("n", F.explode("marks").alias("mark"))
-    shared = materialize(each.groupBy("mark").count().where("count > 1").select("mark"))
-    with_shared = each.join(shared, "mark").groupBy("n").agg(F.collect_set("mark").alias("shared"))
-    some = marked.select("n", "doc").join(with_shared, "n").select("doc", F.lit(False).alias("copy"), "shared")
-    some = some.union(copies.where("copy").select("doc", "copy", F.array().cast("array<bigint>")))
-    some = materialize(some.groupBy("doc").agg(F.max("copy").alias("copy"), F.flatten(F.collect_list("shared")).alias("shared")))
-    rows = materialize(rows.join(some, "doc", "left"))
-    release(marked, heads, copies, shared)
-
-    found, written = repeated_windows(rows.where("NOT copy").select("doc", text.alias("text"), F.col("shared").alias("marks")), min_words, gram, some)
-    found = found.groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("w"))
+    each = marked.join(copies.select("n").hint("shuffle_hash"), "n", "left_anti")
+    shared = materialize(each.select(F.explode("runs.mark").alias("mark")).groupBy("mark").count().where("count > 1").select("mark"))
+    runs = materialize(each.select("doc", F.inline("runs")).join(shared.hint("shuffle_hash"), "mark"))
+    release(marked, heads, shared)
+
+    found, written = repeated_windows(rows.select("doc", text.alias("text")), runs, min_words, gram)
+    found = found.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("w"))
     ends = F.filter("w", lambda x, i: F.coalesce(F.get("w", i + 1)["s"] > x["e"] + min_words, F.lit(True)))
     starts = F.filter("w", lambda x, i: F.coalesce(F.get("w", i - 1)["e"] + min_words < x["s"], F.lit(True)))
-    runs = materialize(found.select("doc", F.zip_with(starts, ends, lambda x, y: F.struct(x["s"].alias("first"), (y["e"] + min_words - 1).alias("last"))).alias("runs")))
-    release(*written)
+    found = found.select("doc", F.zip_with(starts, ends, lambda x, y: F.struct(x["s"].alias("first"), (y["e"] + min_words - 1).alias("last"))).alias("runs"))
+    fate = materialize(found.withColumn("copy", F.lit(False)).unionByName(copies.where("copy").select("doc", "copy").distinct(), allowMissingColumns=True))
+    release(copies, *written)
 
     def left(p: Column) -> Column:
         """What stands before, between and after the runs."""
@@ -251,15 +245,19 @@ def dedup_passages(documents: DataFrame, id_column: str = "doc_id", text_column:
         part = lambda i: F.array_join(F.transform(F.sequence(begin(i), until(i) - 1), lambda at: F.get(p, at)), "")
         return F.transform(F.sequence(F.lit(0), F.size(r)), lambda i: F.when(until(i) > begin(i), part(i)).otherwise(""))  # a slice would cost as much as all pieces
 
-    def columns(text: Column, removed: Column, named: Column) -> list[Column]:
-        return [*((text if c == text_column else F.col("row").getField(c)).alias(c) for c in kept), removed.cast("bigint").alias("n_removed"), named.alias("removed")]
-
+    first = lead(text)
+    shifted = F.transform("runs", lambda r: F.struct((r["first"] + first).alias("first"), (r["last"] + first).alias("last")))  # by words until here
+    out = rows.join(fate.hint("shuffle_hash"), "doc", "left").withColumn("runs", shifted)
     removed = F.aggregate("runs", F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1)
     named = F.array_join(F.transform("runs", lambda r: F.concat_ws("-", r["first"], r["last"])), ",")
-    cut = F.when(F.col("runs").isNull(), text).otherwise(F.array_join(_let(pieces(text), left), ""))
-    changed = rows.where("NOT copy").join(runs, "doc", "left").select(*columns(cut, F.coalesce(removed, F.lit(0)), F.coalesce(named, F.lit(""))))
-    words = F.size(F.filter(pieces(text), lambda x: F.btrim(x, F.lit(BLANKS)) != ""))
-    whole = _let(F.struct(lead(text).alias("first"), words.alias("n")), lambda w: F.struct(w["n"].alias("n"), F.concat_ws("-", w["first"], w["first"] + w["n"] - 1).alias("named")))
-    blank = F.when(lead(text) == 1, F.get(pieces(text), F.lit(0))).otherwise("")
-    empty = rows.where("copy").select(*columns(blank, whole["n"], whole["named"]))
-    return rows.where("copy IS NULL").select(*columns(text, F.lit(0), F.lit(""))).union(changed).union(empty)
+    blank = F.when(first == 1, F.get(pieces(text), F.lit(0))).otherwise("")
+    every = _let(F.size(words(text)), lambda n: F.struct(n.alias("n"), F.concat_ws("-", first, first + n - 1).alias("named")))
+    by = lambda copied, cut, whole: F.when(F.col("copy"), copied).when(F.col("copy").isNotNull(), cut).otherwise(whole)
+    kinds = by(
+        F.struct(blank.alias("text"), every["n"].alias("n"), every["named"].alias("named")),
+        F.struct(F.array_join(_let(pieces(text), left), "").alias("text"), removed.alias("n"), named.alias("named")),
+        F.struct(text.alias("text"), F.lit(0).alias("n"), F.lit("").alias("named")),
+    )
+    out = out.select("row", kinds.alias("kind"))
+    columns = [(F.col("kind.text") if c == text_column else F.col("row").getField(c)).alias(c) for c in kept]
+    return out.select(*columns, F.col("kind.n").cast("bigint").alias("n_removed"), F.col("kind.named").alias("removed"))

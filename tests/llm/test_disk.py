@@ -66,6 +66,40 @@ def test_more_shared_fingerprints_than_are_looked_up(spark, monkeypatch, most):
     assert out == passages_brute(rows, 40)
 
 
+def test_windows_of_runs_that_are_alike_are_not_compared(spark, monkeypatch):
+    """A passage of 600 words in 20 texts: its inner runs are told by one hash each, so only windows at its ends are hashed one by one."""
+    written = []
+
+    def spy(df, real=line_dedup.materialize):
+        out = real(df)
+        if "keys" in out.columns:
+            written.append(out.selectExpr("coalesce(sum(size(keys)), 0) AS n").first().n)
+        return out
+
+    monkeypatch.setattr(line_dedup, "materialize", spy)
+    dice = random.Random(24)
+    fresh = lambda n: [f"w{dice.randrange(10**9)}" for _ in range(n)]
+    shared = fresh(600)
+    rows = [(i, " ".join([*fresh(100), *shared, *fresh(100)])) for i in range(20)]
+    out = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert out == passages_brute(rows, 40) and sum(n for _, n in out.values()) == 19 * 600
+    assert written and sum(written) < 20 * 561 / 2
+
+
+@pytest.mark.parametrize("least", [0, 30, 10**6])
+def test_windows_are_hashed_alike_in_any_text(spark, monkeypatch, least):
+    """Run by run in long texts with few runs, all at once in short ones: equal windows of both are found."""
+    monkeypatch.setattr(line_dedup, "LOOKED_UP", least)
+    dice = random.Random(25)
+    fresh = lambda n: [f"w{dice.randrange(10**9)}" for _ in range(n)]
+    rows = []
+    for k in range(10):
+        passage = fresh(45)
+        rows += [(10 * k + j, " ".join([*fresh(n), *passage, *fresh(n)])) for j, n in enumerate((600, 2, 700, 1))]
+    out = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert out == passages_brute(rows, 40) and sum(n for _, n in out.values()) == 30 * 45
+
+
 def test_seeds_are_dealt_one_at_a_time(spark, documents, monkeypatch):
     seeds = []
 
